@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,42 +14,36 @@ CALL_MONTHS = "ABCDEFGHIJKL"
 PUT_MONTHS = "MNOPQRSTUVWX"
 
 
-def _month_code_parts(code: Column) -> tuple[Column, Column]:
-    """Side and month of a one-letter month code; both null for other letters."""
-    single = F.when(F.length(code) == 1, code)
-    in_calls = F.position(single, F.lit(CALL_MONTHS))
-    in_puts = F.position(single, F.lit(PUT_MONTHS))
-    side = F.when(in_calls > 0, "Call").when(in_puts > 0, "Put")
-    month = F.when(in_calls > 0, in_calls).when(in_puts > 0, in_puts)
-    return side, month
+def _side_and_month(code: Column) -> tuple[Column, Column]:
+    """Side and month of a known one-letter month code."""
+    place = F.position(code, F.lit(CALL_MONTHS + PUT_MONTHS))
+    return F.when(place <= 12, "Call").otherwise("Put"), (place - 1) % 12 + 1
 
 
 def parse_product(
     df: DataFrame, prod_id: str = "prod_id", product: str = DEFAULT.product
 ) -> DataFrame:
-    """Add ``product, strike, cp, year, month, yyyymm``; drop ids that do not parse."""
-    pid = F.trim(F.col(prod_id))
-    side, month = _month_code_parts(F.substring(pid, 9, 1))
-    strike = F.substring(pid, 4, 5)
-    digit = F.substring(pid, 10, 1)
-    keep = (
-        (F.length(pid) == 10)
-        & (F.substring(pid, 1, 3) == product)
-        & strike.rlike("^[0-9]{5}$")
-        & digit.rlike("^[0-9]$")
-        & side.isNotNull()
-    )
-    year = F.lit(2020) + digit.try_cast("int")
-    return df.where(keep).withColumns(
-        {
-            prod_id: pid,
-            "product": F.lit(product),
-            "strike": strike.try_cast("int"),
-            "cp": side,
-            "year": year,
-            "month": month,
-            "yyyymm": year * 100 + month,
-        }
+    """Add ``product, strike, cp, year, month, yyyymm``; drop ids that do not parse.
+
+    One pattern decides, so the extracting columns need no checks of their own
+    and stay small enough for compiled code.
+    """
+    pid = F.col(prod_id)
+    side, month = _side_and_month(F.substring(pid, 9, 1))
+    year = F.lit(2020) + F.substring(pid, 10, 1).try_cast("int")
+    return (
+        df.withColumn(prod_id, F.trim(pid))
+        .where(pid.rlike(f"^{re.escape(product)}[0-9]{{5}}[A-X][0-9]$"))
+        .withColumns(
+            {
+                "product": F.lit(product),
+                "strike": F.substring(pid, 4, 5).try_cast("int"),
+                "cp": side,
+                "year": year,
+                "month": month,
+                "yyyymm": year * 100 + month,
+            }
+        )
     )
 
 
@@ -55,27 +51,21 @@ def parse_product_lenient(
     df: DataFrame, prod_id: str = "prod_id", product: str = DEFAULT.product
 ) -> DataFrame:
     """Ids of ten or more characters with the right prefix; keeps the month-year code."""
-    pid = F.trim(F.col(prod_id))
-    code = F.substring(pid, 9, 1000)
-    side, month = _month_code_parts(F.substring(code, 1, 1))
-    strike = F.substring(pid, 4, 5)
-    keep = (
-        (F.length(pid) >= 10)
-        & pid.startswith(product)
-        & strike.rlike("^[0-9]{5}$")
-        & F.substring(code, 2, 1).rlike("^[0-9]$")
-        & side.isNotNull()
-    )
-    year = F.lit(2020) + F.substring(code, 2, 1).try_cast("int")
-    return df.where(keep).withColumns(
-        {
-            prod_id: pid,
-            "product": F.lit(product),
-            "strike": strike.try_cast("int"),
-            "term_code": code,
-            "cp": side,
-            "yyyymm": year * 100 + month,
-        }
+    pid = F.col(prod_id)
+    side, month = _side_and_month(F.substring(pid, 9, 1))
+    year = F.lit(2020) + F.substring(pid, 10, 1).try_cast("int")
+    return (
+        df.withColumn(prod_id, F.trim(pid))
+        .where(pid.rlike(f"^{re.escape(product)}[0-9]{{5}}[A-X][0-9]"))
+        .withColumns(
+            {
+                "product": F.lit(product),
+                "strike": F.substring(pid, 4, 5).try_cast("int"),
+                "term_code": F.substring(pid, 9, 1000),
+                "cp": side,
+                "yyyymm": year * 100 + month,
+            }
+        )
     )
 
 
@@ -97,6 +87,6 @@ def build_product_id(
 def expiry_of_file(path: Column, product: str = DEFAULT.product) -> Column:
     """Expiry month ``yyyymm`` from a tick file name ``...{product}{month}{digit}.csv``."""
     pattern = product + r"([A-X])([0-9])\.csv"
-    _, month = _month_code_parts(F.regexp_extract(path, pattern, 1))
+    _, month = _side_and_month(F.regexp_extract(path, pattern, 1))
     year = F.lit(2020) + F.regexp_extract(path, pattern, 2).try_cast("int")
     return year * 100 + month

@@ -16,12 +16,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotelake.config import DEFAULT, EngineConfig
-from quotelake.functions.quotes import derive_mid, derive_spread, valid_quote
+from quotelake.functions.products import build_product_id
+from quotelake.functions.quotes import derive_mid, derive_spread, is_true, valid_quote
+from quotelake.functions.times import tick_clock
 from quotelake.operators.intervals import assign_intervals
 from quotelake.operators.schedule import strike_grid
 from quotelake.session import bounded_broadcast
 
 SERIES = ["trade_date", "term", "strike"]
+# Above every sequence number of a day; 15 digits.
+SEQNO_RANGE = 10**15
 SIDES = {"call": "Call", "put": "Put"}
 QUOTE_FIELDS = [
     "raw_bid", "raw_ask", "raw_sysid", "carry_bid", "carry_ask", "carry_sysid",
@@ -30,35 +34,78 @@ QUOTE_FIELDS = [
 ]
 
 
-def tick_struct() -> Column:
-    """Order of the fields is the order of ticks; ties of seqno go to later fields."""
-    return F.struct("seqno", "tick_time", "bid", "ask", "prod_id")
+def with_spread_order(ticks: DataFrame, cfg: EngineConfig = DEFAULT) -> DataFrame:
+    """Add ``spread_order``: smallest spread first, and of equal spreads the newest.
 
+    Spread and sequence number share one exact decimal, which keeps the
+    aggregation buffers at a fixed width (hash aggregation instead of sorting
+    every tick). Unknown spreads come last.
+    """
+    units = F.round((F.col("ask") - F.col("bid")) * F.lit(10.0**cfg.spread_digits))
+    ranked = units.try_cast("decimal(22,0)") * F.lit(SEQNO_RANGE).cast("decimal(16,0)")
+    unknown = F.lit("9" * 38).cast("decimal(38,0)")
+    order = F.coalesce(ranked, unknown) - F.col("seqno").cast("decimal(15,0)")
+    return ticks.withColumn("spread_order", order)
 
-def least_spread_struct(bid: Column, ask: Column, seqno: Column, cfg: EngineConfig) -> Column:
-    """Orders by spread, then newest first; smallest wins, unknown spreads lose."""
-    return F.struct(
-        F.coalesce(F.round(ask - bid, cfg.spread_digits), F.lit(float("inf"))).alias("key"),
-        (-seqno).alias("age"),
-        bid.alias("bid"),
-        ask.alias("ask"),
-        seqno.alias("seqno"),
-    )
+
+def newest(seqno: Column, prefix: str, **values: Column) -> list[Column]:
+    """Aggregates taking each value from the row with the largest ``seqno``."""
+    return [
+        F.max(seqno).alias(f"{prefix}_seqno"),
+        *[F.max_by(v, seqno).alias(f"{prefix}_{n}") for n, v in values.items()],
+    ]
+
+
+def least_spread(order: Column, prefix: str) -> list[Column]:
+    """Aggregates taking the quote with the smallest spread order."""
+    return [
+        F.min(order).alias(f"{prefix}_order"),
+        *[
+            F.min_by(F.col(n), order).alias(f"{prefix}_{n}") for n in ("seqno", "bid", "ask")
+        ],
+    ]
 
 
 def fold_ticks(placed: DataFrame, keys: list[str], cfg: EngineConfig = DEFAULT) -> DataFrame:
-    """Newest, newest valid and smallest-spread quote of each side per group."""
-    valid = valid_quote(F.col("bid"), F.col("ask"))
-    least = least_spread_struct(F.col("bid"), F.col("ask"), F.col("seqno"), cfg)
-    aggregates = []
+    """Newest, newest valid and smallest-spread valid quote per group of ticks."""
+    bid, ask, seqno = F.col("bid"), F.col("ask"), F.col("seqno")
+    valid = F.col("valid_seqno").isNotNull()
+    return (
+        with_spread_order(placed, cfg)
+        .withColumn("valid_seqno", F.when(valid_quote(bid, ask), seqno))
+        .withColumn("valid_order", F.when(valid, F.col("spread_order")))
+        .withColumn("clock", tick_clock(F.col("tick_time")).try_cast("bigint"))
+        .groupBy(*keys)
+        .agg(
+            *newest(seqno, "raw", bid=bid, ask=ask),
+            *newest(
+                F.col("valid_seqno"), "valid",
+                bid=bid, ask=ask, clock=F.col("clock"), yyyymm=F.col("yyyymm"),
+            ),
+            *least_spread(F.col("valid_order"), "least"),
+        )
+    )
+
+
+FOLDED = {
+    "raw": ("seqno", "bid", "ask"),
+    "valid": ("seqno", "bid", "ask", "clock", "yyyymm"),
+    "least": ("order", "seqno", "bid", "ask"),
+}
+
+
+def _by_side(folded: DataFrame) -> DataFrame:
+    """Folded quotes as structs ``call_raw`` .. ``put_least``, null for the other side."""
+    structs = []
     for side, cp in SIDES.items():
-        mine = F.col("cp") == cp
-        aggregates += [
-            F.max(F.when(mine, tick_struct())).alias(f"{side}_raw"),
-            F.max(F.when(mine & valid, tick_struct())).alias(f"{side}_valid"),
-            F.min(F.when(mine & valid, least)).alias(f"{side}_least"),
-        ]
-    return placed.groupBy(*keys).agg(*aggregates)
+        for kind, fields in FOLDED.items():
+            quote = F.struct(
+                *([F.col("idx").alias("idx")] if kind == "least" else []),
+                *[F.col(f"{kind}_{f}").alias(f) for f in fields],
+            )
+            known = (F.col("cp") == cp) & F.col(f"{kind}_seqno").isNotNull()
+            structs.append(F.when(known, quote).alias(f"{side}_{kind}"))
+    return folded.select(*SERIES, "idx", *structs)
 
 
 def snapshot_book(
@@ -66,20 +113,22 @@ def snapshot_book(
 ) -> DataFrame:
     """Book of every template strike at every snapshot."""
     placed = assign_intervals(ticks, schedule, cfg)
-    folded = fold_ticks(placed, [*SERIES, "idx"], cfg)
+    folded = _by_side(fold_ticks(placed, [*SERIES, "cp", "idx"], cfg))
     grid = strike_grid(schedule, strikes, with_start=True)
 
     cells = folded.withColumn("on_grid", F.lit(0)).unionByName(
         grid.withColumn("on_grid", F.lit(1)), allowMissingColumns=True
     )
-    order = Window.partitionBy(*SERIES).orderBy("idx", "on_grid")
-    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    same_interval = F.lag("idx").over(order) == F.col("idx")
-    running = {}
-    for side in SIDES:
-        running[f"{side}_raw"] = F.last(f"{side}_raw", ignorenulls=True).over(so_far)
-        running[f"{side}_valid"] = F.last(f"{side}_valid", ignorenulls=True).over(so_far)
-        running[f"{side}_least"] = F.when(same_interval, F.lag(f"{side}_least").over(order))
+    so_far = (
+        Window.partitionBy(*SERIES)
+        .orderBy("idx", "on_grid")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    running = {
+        f"{side}_{kind}": F.last(f"{side}_{kind}", ignorenulls=True).over(so_far)
+        for side in SIDES
+        for kind in FOLDED
+    }
     known = cells.withColumns(running).where("on_grid = 1")
 
     boundary = Window.partitionBy(*SERIES).orderBy("idx")
@@ -91,17 +140,25 @@ def snapshot_book(
         "idx",
         "time",
         F.col("sysid").alias("snapshot_sysid"),
-        *[_quote_struct(side, cfg).alias(side) for side in SIDES],
+        *[_quote_struct(side, cp, cfg).alias(side) for side, cp in SIDES.items()],
     )
 
 
-def _quote_struct(side: str, cfg: EngineConfig) -> Column:
-    raw, carry, valid = (F.col(f"{side}_{n}") for n in ("raw", "carry", "valid"))
-    carried = F.when(
-        valid_quote(carry["bid"], carry["ask"]),
-        least_spread_struct(carry["bid"], carry["ask"], carry["seqno"], cfg),
+def _quote_struct(side: str, cp: str, cfg: EngineConfig) -> Column:
+    raw, carry, valid, fresh = (
+        F.col(f"{side}_{n}") for n in ("raw", "carry", "valid", "least")
+    )
+    # The smallest spread belongs to this snapshot only if it is of its interval.
+    in_interval = F.when(fresh["idx"] == F.col("idx"), fresh)
+    carry_spread = F.round(carry["ask"] - carry["bid"], cfg.spread_digits)
+    fresh_spread = F.round(in_interval["ask"] - in_interval["bid"], cfg.spread_digits)
+    carry_wins = valid_quote(carry["bid"], carry["ask"]) & (
+        fresh_spread.isNull() | (carry_spread < fresh_spread)
+    )
+    least = F.when(is_true(carry_wins), F.struct(carry["bid"], carry["ask"], carry["seqno"]))
+    least = F.coalesce(
+        least, F.when(in_interval.isNotNull(), F.struct(fresh["bid"], fresh["ask"], fresh["seqno"]))
     )
-    least = F.least(F.col(f"{side}_least"), carried)
     return F.struct(
         raw["bid"].alias("raw_bid"),
         raw["ask"].alias("raw_ask"),
@@ -112,8 +169,11 @@ def _quote_struct(side: str, cfg: EngineConfig) -> Column:
         valid["bid"].alias("last_bid"),
         valid["ask"].alias("last_ask"),
         valid["seqno"].alias("last_sysid"),
-        valid["tick_time"].alias("last_time"),
-        valid["prod_id"].alias("last_prod_id"),
+        F.lpad(valid["clock"].cast("string"), 12, "0").alias("last_time"),
+        F.when(
+            valid.isNotNull(),
+            build_product_id(F.col("strike"), F.lit(cp), valid["yyyymm"], cfg.product),
+        ).alias("last_prod_id"),
         least["bid"].alias("min_bid"),
         least["ask"].alias("min_ask"),
         (least["ask"] - least["bid"]).alias("min_spread"),
@@ -155,13 +215,27 @@ def long_to_book(long: DataFrame) -> DataFrame:
 
 def last_quote(placed: DataFrame, keys: list[str]) -> DataFrame:
     """Newest quote per group of already placed ticks."""
-    return placed.groupBy(*keys).agg(F.max(tick_struct()).alias("q")).select(
-        *keys,
-        F.col("q.bid").alias("last_bid"),
-        F.col("q.ask").alias("last_ask"),
-        F.col("q.seqno").alias("last_sysid"),
-        F.col("q.tick_time").alias("last_time"),
-        F.col("q.prod_id").alias("last_prod_id"),
+    picked = newest(
+        F.col("seqno"), "last",
+        bid=F.col("bid"), ask=F.col("ask"),
+        clock=tick_clock(F.col("tick_time")).try_cast("bigint"),
+    )
+    return (
+        placed.groupBy(*keys)
+        .agg(*picked)
+        .withColumn("last_time", F.lpad(F.col("last_clock").cast("string"), 12, "0"))
+        .withColumnRenamed("last_seqno", "last_sysid")
+        .drop("last_clock")
+    )
+
+
+def min_spread_quote(
+    ticks: DataFrame, schedule: DataFrame, strikes: DataFrame, cfg: EngineConfig = DEFAULT
+) -> DataFrame:
+    """Smallest-spread valid quote per series and snapshot, carried quote included."""
+    long = book_to_long(snapshot_book(ticks, schedule, strikes, cfg), with_derived=False)
+    return long.select(
+        *SERIES, "cp", "idx", "time", "min_bid", "min_ask", "min_spread", "min_sysid"
     )
 
 
@@ -177,35 +251,38 @@ def snapshot_at(
     map side.
     """
     series = [*SERIES, "cp"]
+    bid, ask, seqno = F.col("bid"), F.col("ask"), F.col("seqno")
     known = ticks.join(
         bounded_broadcast(target, cfg.broadcast_rows), "trade_date"
     ).where("seqno <= sysid")
-    earlier = F.col("seqno") <= F.col("prev_sysid")
-    least = least_spread_struct(F.col("bid"), F.col("ask"), F.col("seqno"), cfg)
-    folded = known.groupBy(*series).agg(
-        F.max(tick_struct()).alias("last"),
-        F.max(F.when(earlier, tick_struct())).alias("carry"),
-        F.min(F.when(~earlier, least)).alias("fresh"),
-    )
-    carry = F.col("carry")
-    result = folded.withColumn(
-        "least",
-        F.least(
-            F.col("fresh"),
-            F.when(
-                carry.isNotNull(),
-                least_spread_struct(carry["bid"], carry["ask"], carry["seqno"], cfg),
+    earlier = seqno <= F.col("prev_sysid")
+    folded = (
+        with_spread_order(known, cfg)
+        .withColumn("early_seqno", F.when(earlier, seqno))
+        .withColumn("fresh_order", F.when(~earlier, F.col("spread_order")))
+        .groupBy(*series)
+        .agg(
+            *newest(seqno, "last", bid=bid, ask=ask),
+            *newest(
+                F.col("early_seqno"), "carry",
+                bid=bid, ask=ask, order=F.col("spread_order"),
             ),
-        ),
-    ).select(
+            *least_spread(F.col("fresh_order"), "fresh"),
+        )
+    )
+    from_carry = F.col("fresh_order").isNull() | (F.col("carry_order") < F.col("fresh_order"))
+    pick = lambda n: F.when(
+        is_true(from_carry), F.col(f"carry_{n}")
+    ).otherwise(F.col(f"fresh_{n}"))
+    result = folded.select(
         *series,
-        F.col("last.bid").alias("last_bid"),
-        F.col("last.ask").alias("last_ask"),
-        F.col("last.seqno").alias("last_sysid"),
-        F.col("least.bid").alias("min_bid"),
-        F.col("least.ask").alias("min_ask"),
-        (F.col("least.ask") - F.col("least.bid")).alias("min_spread"),
-        F.col("least.seqno").alias("min_sysid"),
+        "last_bid",
+        "last_ask",
+        F.col("last_seqno").alias("last_sysid"),
+        pick("bid").alias("min_bid"),
+        pick("ask").alias("min_ask"),
+        (pick("ask") - pick("bid")).alias("min_spread"),
+        pick("seqno").alias("min_sysid"),
     )
     if strikes is None:
         return result

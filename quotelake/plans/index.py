@@ -1,0 +1,5 @@
+"""Whole index processing of a range of dates."""
+
+from quotelake.operators.index_series import index_series as index_pipeline
+
+__all__ = ["index_pipeline"]
