@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quotelake.config import DEFAULT, EngineConfig
 from quotelake.operators.exploration import last_min_tags, tick_snapshot_interleave
@@ -16,8 +17,13 @@ def tick_stream(
     filtered_book: DataFrame,
     cfg: EngineConfig = DEFAULT,
 ) -> DataFrame:
-    """Ticks and snapshots of every series in order, with tags and verdicts."""
-    placed = assign_intervals(term_ticks, schedule, cfg)
+    """Ticks and snapshots of every series in order, with tags and verdicts.
+
+    Ticks before the start marker belong to the first interval here.
+    """
+    placed = assign_intervals(term_ticks, schedule, cfg).withColumn(
+        "idx", F.greatest("idx", F.lit(0))
+    )
     return tick_snapshot_interleave(
         last_min_tags(placed), schedule, filtered_to_long(filtered_book)
     )

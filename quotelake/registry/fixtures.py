@@ -90,6 +90,14 @@ select trade_date, time, term, strike, case when strike % 97 = 0 then null else
  case when strike % 43 = 0 then '-' else p_min_outlier end as p_min_outlier,
  c_last_sysid, p_last_sysid, c_min_sysid, p_min_sysid, snapshot_sysid
 from {fx_official_wide} o where strike % 211 <> 0""",
+    # Contribution lines of alert reports; three months, some lines cut short.
+    "fx_alert_rows": """
+select trade_date, time, case when term = 'Near' then '202402' when strike % 700 = 0 then '202404' else '202403' end as month,
+ case when strike < 22000 then 'OTM' else 'ITM' end as moneyness, strike,
+ count(*) as quotes, count(contrib) as counted,
+ case when strike % 1100 = 0 then 5 when count(contrib) % 2 = 1 then 17 else 8 end as fields,
+ cast(strike % 7 - 3 as string) || '.5%' as pct
+from {fx_contrib} c group by trade_date, time, term, strike""",
 }
 
 
