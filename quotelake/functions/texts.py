@@ -8,17 +8,22 @@ from pyspark.sql import functions as F
 from quotelake.config import DEFAULT, EngineConfig
 
 
+def _six(value: Column) -> Column:
+    """Halves round up, as in every other output."""
+    return F.round(value, 6)
+
+
 def ema_trace_text(
     prev_ema: Column, spread: Column, ema: Column, cfg: EngineConfig = DEFAULT
 ) -> Column:
     return (
         F.when(prev_ema.isNull() & spread.isNull(), "EMA = null")
-        .when(prev_ema.isNull(), F.format_string("EMA = spread = %.6f", ema))
-        .when(spread.isNull(), F.format_string("EMA = previous EMA = %.6f", ema))
+        .when(prev_ema.isNull(), F.format_string("EMA = spread = %.6f", _six(ema)))
+        .when(spread.isNull(), F.format_string("EMA = previous EMA = %.6f", _six(ema)))
         .otherwise(
             F.format_string(
                 f"EMA = {cfg.alpha:.2f} * %.6f + {1 - cfg.alpha:.2f} * %.6f = %.6f",
-                prev_ema, spread, ema,
+                _six(prev_ema), _six(spread), _six(ema),
             )
         )
     )
@@ -34,9 +39,9 @@ def gamma_reason(
         .when(prev_mid.isNull(), f"no previous mid: gamma {cfg.gamma_up}")
         .when(
             mid <= prev_mid + cfg.mid_tolerance,
-            F.format_string(f"mid %.6f not above %.6f: gamma {cfg.gamma_down}", mid, prev_mid),
+            F.format_string(f"mid %.6f not above %.6f: gamma {cfg.gamma_down}", _six(mid), _six(prev_mid)),
         )
-        .otherwise(F.format_string(f"mid %.6f above %.6f: gamma {cfg.gamma_up}", mid, prev_mid))
+        .otherwise(F.format_string(f"mid %.6f above %.6f: gamma {cfg.gamma_up}", _six(mid), _six(prev_mid)))
     )
 
 

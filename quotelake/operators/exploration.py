@@ -235,8 +235,9 @@ def audit_window(
         *keys, F.col("idx").alias("snapshot_idx"), F.col("time").alias("snapshot_time")
     )
     clock = tick_clock(F.col("tick_time"))
-    micros = seconds_of_day(clock) * F.lit(1_000_000) + F.substring(clock, 7, 6).try_cast("int")
-    since = micros - seconds_of_day(F.col("snapshot_time")) * F.lit(1_000_000)
+    second = F.lit(1_000_000).cast("bigint")
+    micros = seconds_of_day(clock) * second + F.substring(clock, 7, 6).try_cast("int")
+    since = micros - seconds_of_day(F.col("snapshot_time")) * second
     seen = (
         placed.withColumn(
             "snapshot_idx",

@@ -1,14 +1,14 @@
 """Spread average, gamma, outlier test and the filtered quote per series.
 
-The spread average alone is linear and runs as native windows. The filtered
-quote feeds back into its own test one step later, so it is folded in time
-order: Spark clusters and sorts the series, and each task streams its sorted
-rows through a kernel that advances many series at once.
+The filtered quote feeds back into its own test one step later, so no window
+expresses it and it is folded in time order: Spark clusters and sorts the
+series, and each task streams its sorted rows through a kernel that advances
+many series at once. A task never holds more than a block of rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -55,37 +55,56 @@ def session_restart(
     return (rank == 1) | F.coalesce(time == cfg.session_open, F.lit(False))
 
 
-def ema_spread(
-    rows: DataFrame,
-    keys: list[str],
-    order: str,
-    spread: str = "min_spread",
-    time: str = "time",
-    cfg: EngineConfig = DEFAULT,
-) -> DataFrame:
-    """Add ``ema``, the exponential average of the spread within each session.
+class Runs:
+    """Rows between one restart and the next, to be advanced side by side.
 
-    With n non-null spreads so far the recurrence is ``alpha**n * sum(term)``;
-    a null spread adds no term and keeps the average. A session has at most
-    86400 / step_seconds rows, far inside the range of a double's exponent.
+    ``at(step)`` gives the row of each run that is at least that long; runs are
+    ordered by length, so these are always the first ones. A run that began in
+    an earlier block is ``open``.
     """
-    series = Window.partitionBy(*keys).orderBy(order)
-    so_far = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    opened = F.when(F.col(time) == cfg.session_open, 1).otherwise(0)
-    in_session = (
-        Window.partitionBy(*keys, "session")
-        .orderBy(order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    x, n, a = F.col(spread), F.col("quotes"), F.lit(cfg.alpha)
-    term = F.when(n == 1, x / a).otherwise((1 - a) * x / F.pow(a, n))
-    return (
-        rows.withColumn("session", F.sum(opened).over(so_far))
-        .withColumn("quotes", F.count(x).over(in_session))
-        .withColumn("term_value", F.when(x.isNotNull(), term))
-        .withColumn("ema", F.pow(a, n) * F.sum("term_value").over(in_session))
-        .drop("session", "quotes", "term_value")
-    )
+
+    def __init__(self, restart: np.ndarray):
+        starts = np.flatnonzero(restart)
+        if not restart[0]:
+            starts = np.concatenate(([0], starts))
+        lengths = np.diff(np.append(starts, len(restart)))
+        by_length = np.argsort(-lengths, kind="stable")
+        self.starts, lengths = starts[by_length], lengths[by_length]
+        self.alive = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
+        self.open = None if restart[0] else int(np.flatnonzero(self.starts == 0)[0])
+
+    def initial(self, carried: float) -> np.ndarray:
+        state = np.full(len(self.starts), np.nan)
+        if self.open is not None:
+            state[self.open] = carried
+        return state
+
+    def __iter__(self) -> Iterator[np.ndarray]:
+        for step, active in enumerate(self.alive):
+            yield self.starts[:active] + step
+
+
+def _next_ema(prev: np.ndarray, spread: np.ndarray, cfg: EngineConfig) -> np.ndarray:
+    """The first spread starts the average, a missing one keeps it."""
+    moved = np.where(np.isnan(prev), spread, cfg.alpha * prev + (1 - cfg.alpha) * spread)
+    return np.where(np.isnan(spread), prev, moved)
+
+
+class EmaFold:
+    """Exponential average of one column over blocks of rows in series order."""
+
+    def __init__(self, cfg: EngineConfig):
+        self.cfg = cfg
+        self.carry = np.nan
+
+    def block(self, restart: np.ndarray, spread: np.ndarray) -> np.ndarray:
+        runs = Runs(restart)
+        state = runs.initial(self.carry)
+        out = np.empty(len(restart))
+        for at in runs:
+            state[: len(at)] = out[at] = _next_ema(state[: len(at)], spread[at], self.cfg)
+        self.carry = out[-1]
+        return out
 
 
 def _gamma(bid, mid, prev_mid, cfg):
@@ -117,20 +136,8 @@ class SideFold:
     def block(self, restart: np.ndarray, quotes: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
         cfg = self.cfg
         size = len(restart)
-        # A run lasts from one restart to the next; runs advance side by side.
-        starts = np.flatnonzero(restart)
-        if not restart[0]:
-            starts = np.concatenate(([0], starts))
-        lengths = np.diff(np.append(starts, size))
-        by_length = np.argsort(-lengths, kind="stable")
-        starts, lengths = starts[by_length], lengths[by_length]
-        alive = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
-
-        state = {name: np.full(len(starts), np.nan) for name in STATE}
-        if not restart[0]:
-            open_run = int(np.flatnonzero(starts == 0)[0])
-            for name in STATE:
-                state[name][open_run] = self.carry[name]
+        runs = Runs(restart)
+        state = {name: runs.initial(self.carry[name]) for name in STATE}
 
         lb, la = quotes["last_bid"], quotes["last_ask"]
         mb, ma = quotes["min_bid"], quotes["min_ask"]
@@ -143,20 +150,11 @@ class SideFold:
         out |= {name: np.empty(size, dtype=np.int32) for name in ("last_passed", "min_passed")}
         out["pick"] = np.empty(size, dtype=np.int8)
 
-        for step, active in enumerate(alive):
-            at = starts[:active] + step
+        for at in runs:
+            active = len(at)
             prev = {name: state[name][:active] for name in STATE}
             first = restart[at]
-            spread = ms[at]
-            ema = np.where(
-                np.isnan(spread),
-                prev["ema"],
-                np.where(
-                    np.isnan(prev["ema"]),
-                    spread,
-                    cfg.alpha * prev["ema"] + (1 - cfg.alpha) * spread,
-                ),
-            )
+            ema = _next_ema(prev["ema"], ms[at], cfg)
             g_last = _gamma(lb[at], lm[at], prev["mid"], cfg)
             g_min = _gamma(mb[at], mm[at], prev["mid"], cfg)
             p_last = _passed(
@@ -216,22 +214,21 @@ def _side_columns(out: dict[str, np.ndarray]) -> dict[str, pa.Array]:
     }
 
 
-def fold_batches(
-    batches: Iterator[pa.RecordBatch], prefixes: list[str], cfg: EngineConfig
+def stream_blocks(
+    batches: Iterator[pa.RecordBatch],
+    block: Callable[[np.ndarray, pa.Table], dict[str, pa.Array]],
+    limit: int,
 ) -> Iterator[pa.RecordBatch]:
-    """Stream sorted rows through the fold, ``cfg.fold_rows`` at a time.
+    """Hand sorted rows to ``block``, at most about ``limit`` at a time.
 
-    A series may span any number of blocks: its state is carried over.
+    A series may span any number of blocks: the folds carry its state over.
     """
-    folds = {p: SideFold(cfg) for p in prefixes}
 
     def flush(pending):
         table = pa.Table.from_batches(pending).combine_chunks()
         restart = table.column("restart").to_numpy().astype(bool)
-        for p in prefixes:
-            quotes = {name: _floats(table.column(f"{p}_{name}")) for name in SIDE_INPUTS}
-            for name, values in _side_columns(folds[p].block(restart, quotes)).items():
-                table = table.append_column(f"{p}_{name}", values)
+        for name, values in block(restart, table).items():
+            table = table.append_column(name, values)
         yield from table.to_batches()
 
     pending, rows = [], 0
@@ -239,13 +236,59 @@ def fold_batches(
         if batch.num_rows:
             pending.append(batch)
             rows += batch.num_rows
-        if rows >= cfg.fold_rows:
+        if rows >= limit:
             yield from flush(pending)
             pending, rows = [], 0
     if pending:
         yield from flush(pending)
 
 
+def fold_quotes(
+    batches: Iterator[pa.RecordBatch], prefixes: list[str], cfg: EngineConfig
+) -> Iterator[pa.RecordBatch]:
+    folds = {p: SideFold(cfg) for p in prefixes}
+
+    def block(restart, table):
+        columns = {}
+        for p, fold in folds.items():
+            quotes = {name: _floats(table.column(f"{p}_{name}")) for name in SIDE_INPUTS}
+            side = _side_columns(fold.block(restart, quotes))
+            columns |= {f"{p}_{name}": values for name, values in side.items()}
+        return columns
+
+    return stream_blocks(batches, block, cfg.fold_rows)
+
+
+def fold_ema(
+    batches: Iterator[pa.RecordBatch], spread: str, cfg: EngineConfig
+) -> Iterator[pa.RecordBatch]:
+    fold = EmaFold(cfg)
+
+    def block(restart, table):
+        return {"ema": _nullable(fold.block(restart, _floats(table.column(spread))))}
+
+    return stream_blocks(batches, block, cfg.fold_rows)
+
+
+def ema_spread(
+    rows: DataFrame,
+    keys: list[str],
+    order: str,
+    spread: str = "min_spread",
+    time: str = "time",
+    cfg: EngineConfig = DEFAULT,
+) -> DataFrame:
+    """Add ``ema``, the exponential average of the spread within each session.
+
+    The recurrence is run as it is defined, so its value is the same to the
+    last bit as inside the quote filter, however long a session lasts.
+    """
+    restart = session_restart(keys, order, F.col(time), cfg).alias("restart")
+    flat = rows.select("*", restart).sortWithinPartitions(*keys, order)
+    schema = T.StructType([*flat.schema.fields, T.StructField("ema", T.DoubleType())])
+    return flat.mapInArrow(lambda it: fold_ema(it, spread, cfg), schema).drop("restart")
+
+
 def filter_book(book: DataFrame, cfg: EngineConfig = DEFAULT) -> DataFrame:
     """Filtered quotes of both sides from a snapshot book, still wide.
 
@@ -275,7 +318,7 @@ def filter_book(book: DataFrame, cfg: EngineConfig = DEFAULT) -> DataFrame:
             for name, kind in SIDE_OUTPUTS.items()
         ]
     )
-    return flat.mapInArrow(lambda it: fold_batches(it, prefixes, cfg), schema)
+    return flat.mapInArrow(lambda it: fold_quotes(it, prefixes, cfg), schema)
 
 
 def conditions(passed: Column) -> list[Column]:

@@ -13,9 +13,10 @@ KEYS = ["trade_date", "term", "time", "strike"]
 
 
 @query(
-    """select *, 3 as page, count(*) over () as total, cast(ceil(count(*) over () / 100.0e0) as integer) as total_pages
-from (select trade_date, term, time, strike, cp, "column", ours, official from o_diffs) d
-order by time, strike, cp, "column" limit 100 offset 200"""
+    """select * exclude (r) from (select *, cast(greatest(1, least(3, total_pages)) as integer) as page from (
+select trade_date, term, time, strike, cp, "column", ours, official, count(*) over () as total,
+ cast(ceil(count(*) over () / 100.0e0) as integer) as total_pages, row_number() over (order by time, strike, cp, "column") as r from o_diffs) d) p
+where r > (page - 1) * 100 and r <= page * 100"""
 )
 def page_rows(fx):
     from quotelake.registry.comparison_queries import diffs_of

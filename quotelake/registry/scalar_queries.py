@@ -342,8 +342,8 @@ def change_ratio(fx):
 
 @query(
     """select trade_date, term, strike, cp, time, case when p_ema is null and min_spread is null then 'EMA = null'
- when p_ema is null then printf('EMA = spread = %.6f', ema) when min_spread is null then printf('EMA = previous EMA = %.6f', ema)
- else printf('EMA = 0.95 * %.6f + 0.05 * %.6f = %.6f', p_ema, min_spread, ema) end as trace from o_fold"""
+ when p_ema is null then printf('EMA = spread = %.6f', round(ema, 6)) when min_spread is null then printf('EMA = previous EMA = %.6f', round(ema, 6))
+ else printf('EMA = 0.95 * %.6f + 0.05 * %.6f = %.6f', round(p_ema, 6), round(min_spread, 6), round(ema, 6)) end as trace from o_fold"""
 )
 def ema_trace_text(fx):
     from pyspark.sql import Window
@@ -362,7 +362,7 @@ def ema_trace_text(fx):
     f"""select seqno, case when cond_5 then 'first record: no outlier' when cond_6 then 'no previous EMA: no outlier' when {FLAG} is null then 'no quote'
  when {FLAG} then 'no condition passed: outlier' else 'condition ' || {_listed(4)} || ' passed: no outlier' end as outlier_text,
  case when bid is null then 'bid missing: gamma 1.2' when bid = 0 then 'bid zero: gamma 1.2' when prev_mid is null then 'no previous mid: gamma 2.0'
- when mid <= prev_mid + 1e-9 then printf('mid %.6f not above %.6f: gamma 1.5', mid, prev_mid) else printf('mid %.6f above %.6f: gamma 2.0', mid, prev_mid) end as gamma_text from {TESTED}""",
+ when mid <= prev_mid + 1e-9 then printf('mid %.6f not above %.6f: gamma 1.5', round(mid, 6), round(prev_mid, 6)) else printf('mid %.6f above %.6f: gamma 2.0', round(mid, 6), round(prev_mid, 6)) end as gamma_text from {TESTED}""",
     dates=(),
 )
 def reason_text(fx):

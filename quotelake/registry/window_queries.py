@@ -142,7 +142,7 @@ def tick_snapshot_interleave(fx):
 
 
 HOUR = EngineConfig(step_seconds=3600)
-CLOCK = "(cast(substr({c}, 1, 2) as integer) * 3600 + cast(substr({c}, 3, 2) as integer) * 60 + cast(substr({c}, 5, 2) as integer)) * 1000000"
+CLOCK = "(cast(substr({c}, 1, 2) as integer) * 3600 + cast(substr({c}, 3, 2) as integer) * 60 + cast(substr({c}, 5, 2) as integer)) * cast(1000000 as bigint)"
 
 
 @query(

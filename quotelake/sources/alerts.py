@@ -35,7 +35,7 @@ LEAST_FIELDS = 8
 
 
 def read_report_texts(spark: SparkSession, path: str) -> DataFrame:
-    texts = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    texts = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     return texts.select(F.input_file_name().alias("path"), F.col("value").alias("text"))
 
 
@@ -68,7 +68,7 @@ def parse_reports(texts: DataFrame) -> DataFrame:
         F.to_date("date_text", "yyyyMMdd").alias("trade_date"),
         "time",
         display_time(F.col("time")).alias("time_display"),
-        _conditions(F.trim(lines[1])).alias("conditions"),
+        _conditions(F.trim(F.get(lines, F.lit(1)))).alias("conditions"),
         _descriptions(lines, at).alias("descriptions"),
         F.struct(
             _summary_row(lines, at, 1).alias("prev"), _summary_row(lines, at, 2).alias("current")
@@ -85,14 +85,16 @@ def parse_reports(texts: DataFrame) -> DataFrame:
 
 def _conditions(trigger: Column) -> Column:
     numbers = F.split(F.split_part(trigger, F.lit(TRIGGER), F.lit(2)), "&")
-    digits = F.filter(F.transform(numbers, F.trim), lambda n: n.rlike("^[0-9]+$"))
+    digits = F.filter(F.transform(numbers, lambda n: F.trim(n)), lambda n: n.rlike("^[0-9]+$"))
     return F.when(trigger.contains(TRIGGER), F.transform(digits, lambda n: n.cast("int"))).otherwise(
         F.array().cast("array<int>")
     )
 
 
 def _descriptions(lines: Column, summary_at: Column) -> Column:
-    between = F.transform(F.slice(lines, 3, F.greatest(summary_at - 3, F.lit(0))), F.trim)
+    between = F.transform(
+        F.slice(lines, 3, F.greatest(summary_at - 3, F.lit(0))), lambda x: F.trim(x)
+    )
     pattern = r"^condition\s*([0-9]+)\s*:(.*)$"
     listed = F.filter(between, lambda x: x.rlike(pattern))
     return F.map_from_entries(
@@ -107,7 +109,9 @@ def _descriptions(lines: Column, summary_at: Column) -> Column:
 
 def _summary_row(lines: Column, summary_at: Column, offset: int) -> Column:
     """Header name -> value of one summary line; blanks are dropped."""
-    cells = lambda place: F.transform(F.split(F.get(lines, place), "\t"), F.trim)
+    cells = lambda place: F.transform(
+        F.split(F.get(lines, place), "\t"), lambda x: F.trim(x)
+    )
     header, values = cells(summary_at - 1), cells(summary_at - 1 + offset)
     known = F.create_map(*[F.lit(x) for pair in SUMMARY_NAMES.items() for x in pair])
     pairs = F.filter(
