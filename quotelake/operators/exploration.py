@@ -234,14 +234,14 @@ def audit_window(
     snapshots = schedule.select(
         *keys, F.col("idx").alias("snapshot_idx"), F.col("time").alias("snapshot_time")
     )
+    own = F.greatest(F.col("idx"), F.lit(0))
     clock = tick_clock(F.col("tick_time"))
     second = F.lit(1_000_000).cast("bigint")
     micros = seconds_of_day(clock) * second + F.substring(clock, 7, 6).try_cast("int")
     since = micros - seconds_of_day(F.col("snapshot_time")) * second
     seen = (
         placed.withColumn(
-            "snapshot_idx",
-            F.explode(F.sequence(F.greatest(F.col("idx"), F.lit(0)), F.col("idx") + reach)),
+            "snapshot_idx", F.explode(F.sequence(own, own + reach))
         )
         .join(bounded_broadcast(snapshots), [*keys, "snapshot_idx"], "inner")
         .withColumn("since", since)

@@ -8,6 +8,7 @@ from quotelake.registry import (  # noqa: F401
     reshape_queries,
     scalar_queries,
     source_queries,
+    stream_queries,
     window_queries,
 )
 from quotelake.registry.base import ORACLES, QUERIES

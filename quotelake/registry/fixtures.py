@@ -17,7 +17,7 @@ from quotelake.session import small_table
 
 FX = {
     "fx_ticks": """
-select event_id + 1 as seqno, cast(ts as date) as trade_date, hour(ts) as hh, minute(ts) as mi,
+select ts, event_id + 1 as seqno, cast(ts as date) as trade_date, hour(ts) as hh, minute(ts) as mi,
  lpad(cast(hour(ts) as string), 2, '0') || lpad(cast(minute(ts) as string), 2, '0')
  || lpad(cast(cast(floor(second(ts)) as int) as string), 2, '0') || lpad(cast(k as string), 3, '0') || '000' as tick_time,
  case when user_id % 30 = 29 then 'TXF' else 'TXO' end
@@ -118,6 +118,12 @@ class Fixture:
         inputs = {n: self.view(n) for n in [*FX, "events"] if "{" + n + "}" in text}
         return self.spark.sql(text, **inputs)
 
+    def tick_stream(self) -> DataFrame:
+        """The ticks as a stream over the events file, with their timestamp."""
+        source = self.spark.readStream.schema(self.table("events").schema)
+        events = source.option("pathGlobFilter", "events.parquet").parquet(self.sf_dir)
+        return self.spark.sql(FX["fx_ticks"], events=events)
+
     @cached_property
     def ticks(self) -> DataFrame:
         return self.view("fx_ticks").select(

@@ -57,7 +57,7 @@ def _numbers(letter: str, exceptions: bool) -> str:
 
 VIEWS = {name: text.replace("{", "").replace("}", "") for name, text in FX.items()} | {
     "o_parsed": """
-select trade_date, seqno, tick_time, prod_id, bid, ask, hh, mi, 'TXO' as product,
+select ts, trade_date, seqno, tick_time, prod_id, bid, ask, hh, mi, 'TXO' as product,
  cast(substr(prod_id, 4, 5) as integer) as strike,
  case when strpos('ABCDEFGHIJKL', substr(prod_id, 9, 1)) > 0 then 'Call' else 'Put' end as cp,
  2020 + cast(substr(prod_id, 10, 1) as integer) as year,

@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Fixed value: name of a difference report file.
+REPORT_NAME = r"validation_diff_([0-9]{8})\.csv"
+
+
 def list_dates(files: DataFrame) -> DataFrame:
     """Dates in the names of report files, newest first. ``files`` has ``path``."""
-    text = F.regexp_extract("path", r"([0-9]{8})", 1)
+    text = F.regexp_extract("path", REPORT_NAME, 1)
     return (
         files.select(F.to_date(F.try_to_timestamp(text, F.lit("yyyyMMdd"))).alias("trade_date"))
         .where("trade_date is not null")
