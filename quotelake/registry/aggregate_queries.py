@@ -22,7 +22,7 @@ def near_next_terms(fx):
 
 @query("select seqno, term, yyyymm, strike, cp, bid, ask from o_tt", dates=())
 def split_terms(fx):
-    split = terms.split_terms(fx.parsed, terms.near_next_terms(fx.parsed))
+    split = terms.split_terms(fx.parsed, fx.terms)
     return split.select("seqno", "term", "yyyymm", "strike", "cp", "bid", "ask")
 
 

@@ -27,7 +27,7 @@ def snapshot_quotes(fx):
 
 @query(f"select {', '.join(WIDE)} from o_wide_filled", rounded=("c_ema", "p_ema"))
 def quote_pipeline(fx):
-    return quotes.quote_pipeline(fx.ticks, fx.schedule, fx.strikes).select(*WIDE)
+    return quotes.quote_pipeline(fx.ticks, fx.schedule).select(*WIDE)
 
 
 INDEX = [

@@ -150,7 +150,7 @@ class Fixture:
 
     @cached_property
     def strikes(self) -> DataFrame:
-        return small_table(terms.quoted_strikes(self.term_ticks))
+        return terms.quoted_strikes(self.term_ticks)
 
     @cached_property
     def book(self) -> DataFrame:

@@ -10,6 +10,7 @@ from quotelake.operators import schedule as scheduling
 from quotelake.operators import snapshots, terms
 from quotelake.plans import reconciliation
 from quotelake.registry.base import query
+from quotelake.session import small_table
 
 CELL = ["trade_date", "term", "strike", "cp", "idx"]
 
@@ -22,7 +23,7 @@ def spine_inputs(fx):
 
 @query("select seqno, prod_id, strike, cp, yyyymm, bid, ask from o_parsed", dates=())
 def enrich_products(fx):
-    dimension = products.parse_product(fx.ticks.select("prod_id").distinct())
+    dimension = small_table(products.parse_product(fx.ticks.select("prod_id").distinct()))
     return terms.enrich_products(fx.ticks, dimension).select(
         "seqno", "prod_id", "strike", "cp", "yyyymm", "bid", "ask"
     )

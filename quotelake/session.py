@@ -41,7 +41,7 @@ def small_table(df: DataFrame) -> DataFrame:
 
 
 def fits(df: DataFrame, limit: int) -> bool:
-    return df.limit(limit + 1).count() <= limit
+    return df.count() <= limit
 
 
 def bounded_broadcast(df: DataFrame, limit: int = DEFAULT.broadcast_rows) -> DataFrame:

@@ -77,6 +77,15 @@ def read_computed_wide(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*_keys(raw), *[_typed(n) for n in names])
 
 
+def by_file(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Bring the rows of a folder together before writing.
+
+    A rebalance, so adaptive execution splits a large folder over several tasks
+    and merges small ones, instead of every task writing into every folder.
+    """
+    return rows.hint("rebalance", *[F.col(k) for k in keys])
+
+
 def write_quotes_wide(wide: DataFrame, path: str) -> None:
     """Wide CSV files in the fixed column order, one folder per date and term."""
     keys = _keys(wide)
@@ -84,7 +93,9 @@ def write_quotes_wide(wide: DataFrame, path: str) -> None:
         F.col(column_name(c)).cast("string").alias(file_column(column_name(c)))
         for c in WIDE_QUOTE_COLUMNS
     ]
-    wide.select(*keys, *columns).write.partitionBy(*keys).option("header", True).csv(path)
+    by_file(wide.select(*keys, *columns), keys).write.partitionBy(*keys).option(
+        "header", True
+    ).csv(path)
 
 
 def write_official(rows: DataFrame, marker: DataFrame, path: str) -> None:
@@ -172,4 +183,5 @@ def read_diffs(spark: SparkSession, path: str) -> DataFrame:
 
 def write_stage1(long: DataFrame, path: str) -> None:
     """Intermediate long table as Parquet, partitioned by date and term."""
-    long.write.partitionBy("trade_date", "term").parquet(path)
+    keys = ["trade_date", "term"]
+    by_file(long, keys).write.partitionBy(*keys).parquet(path)
