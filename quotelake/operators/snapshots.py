@@ -16,12 +16,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotelake.config import DEFAULT, EngineConfig
-from quotelake.functions.products import build_product_id
+from quotelake.functions.products import CALL_MONTHS, PUT_MONTHS
 from quotelake.functions.quotes import derive_mid, derive_spread, is_true, valid_quote
 from quotelake.functions.times import tick_clock
 from quotelake.operators.intervals import assign_intervals
-from quotelake.operators.schedule import strike_grid
-from quotelake.session import bounded_broadcast
+from quotelake.operators.schedule import schedule_entries, schedule_keys, strike_grid
+from quotelake.session import bounded_broadcast, fits
 
 SERIES = ["trade_date", "term", "strike"]
 # Above every sequence number of a day; 15 digits.
@@ -99,26 +99,71 @@ def _by_side(folded: DataFrame) -> DataFrame:
     structs = []
     for side, cp in SIDES.items():
         for kind, fields in FOLDED.items():
-            quote = F.struct(
-                *([F.col("idx").alias("idx")] if kind == "least" else []),
-                *[F.col(f"{kind}_{f}").alias(f) for f in fields],
+            listed = ", ".join(f"'{f}', {kind}_{f}" for f in fields)
+            structs.append(
+                f"if(cp = '{cp}' and {kind}_seqno is not null, "
+                f"named_struct('idx', idx, {listed}), null) as {side}_{kind}"
             )
-            known = (F.col("cp") == cp) & F.col(f"{kind}_seqno").isNotNull()
-            structs.append(F.when(known, quote).alias(f"{side}_{kind}"))
-    return folded.select(*SERIES, "idx", *structs)
+    return folded.selectExpr(*SERIES, "idx", *structs)
+
+
+def _template_cells(quotes: DataFrame, schedule: DataFrame, strikes: DataFrame) -> DataFrame:
+    """Folded quotes and the grid of a strike template, as rows of one table."""
+    grid = strike_grid(schedule, strikes, with_start=True)
+    return quotes.withColumn("on_grid", F.lit(0)).unionByName(
+        grid.withColumn("on_grid", F.lit(1)), allowMissingColumns=True
+    )
+
+
+def _quoted_cells(quotes: DataFrame, schedule: DataFrame) -> DataFrame:
+    """Folded quotes and the grid of the strikes that have any.
+
+    The first row of a strike unfolds its grid where it is, so no second pass
+    over the ticks is needed to learn the strikes. Only these first rows take
+    the list of snapshots from the (size-checked) broadcast side.
+    """
+    keys = schedule_keys(schedule)
+    rank = F.row_number().over(Window.partitionBy(*SERIES).orderBy("idx"))
+    q = quotes.withColumn("first", rank == 1).alias("q")
+    e = F.broadcast(schedule_entries(schedule, with_start=True)).alias("e")
+    condition = F.col("q.first")
+    for k in keys:
+        condition = condition & (F.col(f"q.{k}") == F.col(f"e.{k}"))
+    kind = "array<struct<idx:int,time:string,sysid:bigint,prev_sysid:bigint>>"
+    unfolded = q.join(e, condition, "left").selectExpr(
+        *[f"q.{c}" for c in quotes.columns],
+        f"explode(concat(cast(array(null) as {kind}), coalesce(entries, cast(array() as {kind})))) as cell",
+    )
+    structs = [c for c in quotes.columns if c not in (*SERIES, "idx")]
+    return unfolded.selectExpr(
+        *SERIES,
+        "coalesce(cell.idx, idx) as idx",
+        "cell.time as time",
+        "cell.sysid as sysid",
+        "if(cell is null, 0, 1) as on_grid",
+        *[f"if(cell is null, {c}, null) as {c}" for c in structs],
+    )
 
 
 def snapshot_book(
-    ticks: DataFrame, schedule: DataFrame, strikes: DataFrame, cfg: EngineConfig = DEFAULT
+    ticks: DataFrame,
+    schedule: DataFrame,
+    strikes: DataFrame | None = None,
+    cfg: EngineConfig = DEFAULT,
 ) -> DataFrame:
-    """Book of every template strike at every snapshot."""
+    """Book of every template strike at every snapshot.
+
+    Without a template the strikes are those quoted up to the last snapshot.
+    """
     placed = assign_intervals(ticks, schedule, cfg)
-    folded = _by_side(fold_ticks(placed, [*SERIES, "cp", "idx"], cfg))
-    grid = strike_grid(schedule, strikes, with_start=True)
+    quotes = _by_side(fold_ticks(placed, [*SERIES, "cp", "idx"], cfg))
+    if strikes is None and not fits(schedule, cfg.broadcast_rows):
+        strikes = quotes.select(*SERIES).distinct()
+    if strikes is None:
+        cells = _quoted_cells(quotes, schedule)
+    else:
+        cells = _template_cells(quotes, schedule, strikes)
 
-    cells = folded.withColumn("on_grid", F.lit(0)).unionByName(
-        grid.withColumn("on_grid", F.lit(1)), allowMissingColumns=True
-    )
     so_far = (
         Window.partitionBy(*SERIES)
         .orderBy("idx", "on_grid")
@@ -135,50 +180,54 @@ def snapshot_book(
     carried = known.withColumns(
         {f"{side}_carry": F.lag(f"{side}_raw").over(boundary) for side in SIDES}
     )
-    return carried.where("idx >= 0").select(
+    return carried.where("idx >= 0").selectExpr(
         *SERIES,
         "idx",
         "time",
-        F.col("sysid").alias("snapshot_sysid"),
-        *[_quote_struct(side, cp, cfg).alias(side) for side, cp in SIDES.items()],
+        "sysid as snapshot_sysid",
+        *[f"{_quote_struct(side, cp, cfg)} as {side}" for side, cp in SIDES.items()],
     )
 
 
-def _quote_struct(side: str, cp: str, cfg: EngineConfig) -> Column:
-    raw, carry, valid, fresh = (
-        F.col(f"{side}_{n}") for n in ("raw", "carry", "valid", "least")
-    )
-    # The smallest spread belongs to this snapshot only if it is of its interval.
-    in_interval = F.when(fresh["idx"] == F.col("idx"), fresh)
-    carry_spread = F.round(carry["ask"] - carry["bid"], cfg.spread_digits)
-    fresh_spread = F.round(in_interval["ask"] - in_interval["bid"], cfg.spread_digits)
-    carry_wins = valid_quote(carry["bid"], carry["ask"]) & (
-        fresh_spread.isNull() | (carry_spread < fresh_spread)
-    )
-    least = F.when(is_true(carry_wins), F.struct(carry["bid"], carry["ask"], carry["seqno"]))
-    least = F.coalesce(
-        least, F.when(in_interval.isNotNull(), F.struct(fresh["bid"], fresh["ask"], fresh["seqno"]))
+def _quote_struct(side: str, cp: str, cfg: EngineConfig) -> str:
+    """SQL text of a side's quotes at a snapshot.
+
+    The folded smallest spread counts only if it is of this interval. The
+    carried quote wins against it with a smaller spread; on a tie the newer
+    one, which is never the carried one, stays.
+    """
+    raw, carry, valid, fresh = (f"{side}_{n}" for n in ("raw", "carry", "valid", "least"))
+    in_interval = f"coalesce({fresh}.idx = idx, false)"
+    carry_valid = (
+        f"coalesce({carry}.bid >= 0 and {carry}.ask > 0 and {carry}.ask > {carry}.bid, false)"
     )
-    return F.struct(
-        raw["bid"].alias("raw_bid"),
-        raw["ask"].alias("raw_ask"),
-        raw["seqno"].alias("raw_sysid"),
-        carry["bid"].alias("carry_bid"),
-        carry["ask"].alias("carry_ask"),
-        carry["seqno"].alias("carry_sysid"),
-        valid["bid"].alias("last_bid"),
-        valid["ask"].alias("last_ask"),
-        valid["seqno"].alias("last_sysid"),
-        F.lpad(valid["clock"].cast("string"), 12, "0").alias("last_time"),
-        F.when(
-            valid.isNotNull(),
-            build_product_id(F.col("strike"), F.lit(cp), valid["yyyymm"], cfg.product),
-        ).alias("last_prod_id"),
-        least["bid"].alias("min_bid"),
-        least["ask"].alias("min_ask"),
-        (least["ask"] - least["bid"]).alias("min_spread"),
-        least["seqno"].alias("min_sysid"),
+    spread = lambda q: f"round({q}.ask - {q}.bid, {cfg.spread_digits})"
+    carry_wins = f"({carry_valid} and (not {in_interval} or {spread(carry)} < {spread(fresh)}))"
+    least = lambda f: (
+        f"case when {carry_wins} then {carry}.{f} when {in_interval} then {fresh}.{f} end"
     )
+    month_code = f"substr('{CALL_MONTHS if cp == 'Call' else PUT_MONTHS}', {valid}.yyyymm % 100, 1)"
+    fields = {
+        "raw_bid": f"{raw}.bid",
+        "raw_ask": f"{raw}.ask",
+        "raw_sysid": f"{raw}.seqno",
+        "carry_bid": f"{carry}.bid",
+        "carry_ask": f"{carry}.ask",
+        "carry_sysid": f"{carry}.seqno",
+        "last_bid": f"{valid}.bid",
+        "last_ask": f"{valid}.ask",
+        "last_sysid": f"{valid}.seqno",
+        "last_time": f"lpad(cast({valid}.clock as string), 12, '0')",
+        "last_prod_id": (
+            f"concat('{cfg.product}', lpad(cast(strike as string), 5, '0'), {month_code}, "
+            f"cast({valid}.yyyymm div 100 % 10 as string))"
+        ),
+        "min_bid": least("bid"),
+        "min_ask": least("ask"),
+        "min_spread": f"({least('ask')}) - ({least('bid')})",
+        "min_sysid": least("seqno"),
+    }
+    return "named_struct(" + ", ".join(f"'{n}', {text}" for n, text in fields.items()) + ")"
 
 
 def book_to_long(book: DataFrame, with_derived: bool = True) -> DataFrame:
@@ -230,7 +279,10 @@ def last_quote(placed: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def min_spread_quote(
-    ticks: DataFrame, schedule: DataFrame, strikes: DataFrame, cfg: EngineConfig = DEFAULT
+    ticks: DataFrame,
+    schedule: DataFrame,
+    strikes: DataFrame | None = None,
+    cfg: EngineConfig = DEFAULT,
 ) -> DataFrame:
     """Smallest-spread valid quote per series and snapshot, carried quote included."""
     long = book_to_long(snapshot_book(ticks, schedule, strikes, cfg), with_derived=False)

@@ -9,7 +9,7 @@ from quotelake.functions.products import parse_product
 from quotelake.operators.filtering import filter_book, filtered_to_long, with_outlier_codes
 from quotelake.operators.reshape import fill_defaults, order_wide
 from quotelake.operators.snapshots import SERIES, snapshot_book
-from quotelake.operators.terms import near_next_terms, quoted_strikes, split_terms
+from quotelake.operators.terms import near_next_terms, split_terms
 from quotelake.session import small_table
 
 
@@ -30,9 +30,7 @@ def snapshots(
     cfg: EngineConfig = DEFAULT,
 ) -> DataFrame:
     """Book of every date; strikes default to the quoted ones of each term."""
-    term_ticks = prepare(ticks, cfg)
-    template = strikes if strikes is not None else quoted_strikes(term_ticks)
-    return snapshot_book(term_ticks, schedule, template, cfg)
+    return snapshot_book(prepare(ticks, cfg), schedule, strikes, cfg)
 
 
 def filtered(book: DataFrame, cfg: EngineConfig = DEFAULT) -> DataFrame:

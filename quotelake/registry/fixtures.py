@@ -154,7 +154,7 @@ class Fixture:
 
     @cached_property
     def book(self) -> DataFrame:
-        return snapshots.snapshot_book(self.term_ticks, self.schedule, self.strikes)
+        return snapshots.snapshot_book(self.term_ticks, self.schedule)
 
     @cached_property
     def long_quotes(self) -> DataFrame:

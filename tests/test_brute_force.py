@@ -157,6 +157,7 @@ def result_of(book, cfg):
     }
 
 
+@pytest.mark.parametrize("with_template", [True, False], ids=["template", "quoted"])
 @pytest.mark.parametrize(
     "cfg",
     [
@@ -167,8 +168,9 @@ def result_of(book, cfg):
     ],
     ids=["default", "narrow-buckets", "nothing-broadcast", "one-bucket"],
 )
-def test_same_as_sequential(spark, days, cfg):
+def test_same_as_sequential(spark, days, cfg, with_template):
     ticks, schedule, strikes, expected = days
+    strikes = strikes if with_template else None
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
     try:
         got = result_of(snapshot_book(ticks, schedule, strikes, cfg), cfg)
