@@ -282,10 +282,33 @@ def top_contrib_moves(fx):
     return moves.select("trade_date", "time", "term", "strike", "contrib_diff_pct", "move_rank")
 
 
-@query()
+@query(
+    f"""select r.trade_date, r.time, substr(r.time, 1, 2) || ':00:00' as time_display, case when quotes % 2 = 0 then '1,3' else '2' end as conditions, coalesce(near, '') as near, coalesce(next, '') as next
+from {REPORT_SUMS} left join (select trade_date, time, string_agg(item, ' ' order by move_rank) filter (where term = 'Near') as near, string_agg(item, ' ' order by move_rank) filter (where term = 'Next') as next
+ from (select *, strike || '/' || prev_mid || '/' || curr_mid || '/' || contrib_diff_pct as item, row_number() over (partition by trade_date, time, term
+  order by abs(coalesce(try_cast(replace(contrib_diff_pct, '%', '') as double), 0)) desc, line) as move_rank from ({CONTRIBUTIONS}) c) m group by all) l using (trade_date, time)"""
+)
 def alert_list(fx):
     reports = _reports(fx)
-    return alerts.alert_list(reports, alerts.alert_contributions(reports))
+    listed = alerts.alert_list(reports, alerts.alert_contributions(reports))
+    items = lambda c: F.coalesce(
+        F.array_join(
+            F.transform(
+                c,
+                lambda x: F.concat_ws(
+                    "/", x["strike"], x["prev_mid"], x["curr_mid"], x["contrib_diff_pct"]
+                ),
+            ),
+            " ",
+        ),
+        F.lit(""),
+    )
+    return listed.select(
+        "trade_date", "time", "time_display",
+        F.array_join(F.col("conditions").cast("array<string>"), ",").alias("conditions"),
+        items(F.col("near")).alias("near"),
+        items(F.col("next")).alias("next"),
+    )
 
 
 WIDE_LIST = (
