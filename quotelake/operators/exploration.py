@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from quotelake.config import DEFAULT, EngineConfig
 from quotelake.functions.compare import float_diff
 from quotelake.functions.quotes import tick_error_codes, valid_quote
-from quotelake.functions.times import prev_time, seconds_of_day, tick_clock
+from quotelake.functions.times import prev_time, seconds_of_day, tick_clock, time_to_int
 from quotelake.operators.intervals import range_join
 from quotelake.operators.schedule import schedule_keys
 from quotelake.operators.snapshots import SERIES
@@ -178,29 +178,30 @@ def tick_snapshot_interleave(
     """
     keys = schedule_keys(schedule)
     bounds = schedule.select(*keys, "idx", "sysid")
+    passed = F.when(F.col("seqno") == F.col("sysid"), F.col("idx")).otherwise(F.col("idx") - 1)
+    # Most ticks have no tag and show no verdict. A number of their own that no
+    # snapshot has spreads them over the join instead of gathering them.
+    own = F.lit(-2) - F.col("seqno")
     ticks = tagged.join(bounded_broadcast(bounds), [*keys, "idx"], "left").withColumn(
-        "verdict_idx",
-        F.when(F.col("seqno") == F.col("sysid"), F.col("idx")).otherwise(F.col("idx") - 1),
+        "verdict_idx", F.when(F.size("tags") > 0, passed.cast("bigint")).otherwise(own)
     )
     codes = verdicts.select(
-        *SIDE_SERIES, F.col("idx").alias("verdict_idx"), "last_outlier", "min_outlier"
+        *SIDE_SERIES,
+        F.col("idx").cast("bigint").alias("verdict_idx"),
+        "last_outlier",
+        "min_outlier",
     )
     has = lambda tag: F.array_contains("tags", tag)
-    shown = (
-        ticks.where(F.size("tags") > 0)
-        .join(codes, [*SIDE_SERIES, "verdict_idx"], "left")
-        .unionByName(ticks.where(F.size("tags") == 0), allowMissingColumns=True)
-        .select(
-            *SIDE_SERIES,
-            "seqno",
-            F.lit("tick").alias("kind"),
-            "bid",
-            "ask",
-            F.array_join("tags", ",").alias("tags"),
-            F.lit(None).cast("string").alias("source"),
-            F.when(has("LAST"), F.col("last_outlier")).alias("last_outlier"),
-            F.when(has("MIN"), F.col("min_outlier")).alias("min_outlier"),
-        )
+    shown = ticks.join(codes, [*SIDE_SERIES, "verdict_idx"], "left").select(
+        *SIDE_SERIES,
+        "seqno",
+        F.lit("tick").alias("kind"),
+        "bid",
+        "ask",
+        F.array_join("tags", ",").alias("tags"),
+        F.lit(None).cast("string").alias("source"),
+        F.when(has("LAST"), F.col("last_outlier")).alias("last_outlier"),
+        F.when(has("MIN"), F.col("min_outlier")).alias("min_outlier"),
     )
     marks = verdicts.select(
         *SIDE_SERIES,
@@ -324,9 +325,11 @@ def same_tick_code(wide: DataFrame, prefix: str = "c") -> DataFrame:
 
 def first_time_without_quote(wide: DataFrame, prefix: str = "c") -> DataFrame:
     """Rows of the first time of a day whose last quote is zero on both sides."""
-    first = wide.groupBy("trade_date", "term").agg(F.min("time").alias("time"))
+    keys = ["trade_date", "term"]
+    timed = wide.withColumn("clock", time_to_int(F.col("time")))
+    first = timed.groupBy(*keys).agg(F.min("clock").alias("clock"))
     zero = (F.col(f"{prefix}_last_bid") == 0) & (F.col(f"{prefix}_last_ask") == 0)
-    return wide.where(zero).join(first, ["trade_date", "term", "time"], "left_semi")
+    return timed.where(zero).join(first, [*keys, "clock"], "left_semi").drop("clock")
 
 
 def index_trend(index: DataFrame, rounded, cfg: EngineConfig = DEFAULT) -> DataFrame:

@@ -16,6 +16,7 @@ from quotelake.functions.index_math import (
     variance_term,
     variance_type,
 )
+from quotelake.functions.times import time_to_int
 
 POINT = ["trade_date", "time"]
 TERMS = {"near": "Near", "next": "Next"}
@@ -92,7 +93,7 @@ def with_computed_index(variances: DataFrame, cfg: EngineConfig = DEFAULT) -> Da
 def day_close(index: DataFrame) -> DataFrame:
     """Last published index of each date, else last original one, else null."""
     positive = lambda c: F.max_by(
-        F.col(c), F.when(F.col(c) > 0, F.col("time"))
+        F.col(c), F.when(F.col(c) > 0, time_to_int(F.col("time")))
     )
     return index.groupBy("trade_date").agg(
         F.coalesce(positive("published"), positive("original")).alias("close")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotelake.functions.times import pad_time
+from quotelake.functions.times import pad_time, time_to_int
 
 
 def schedule_keys(schedule: DataFrame) -> list[str]:
@@ -66,9 +66,11 @@ def snapshot_schedule_last(official: DataFrame, marker: DataFrame) -> DataFrame:
 def template_strikes(official: DataFrame) -> DataFrame:
     """Distinct strikes of the first time of a date (and term)."""
     keys = schedule_keys(official)
-    rows = official.where(F.col("strike").isNotNull())
-    first = rows.groupBy(*keys).agg(F.min("time").alias("time"))
-    return rows.join(first, [*keys, "time"], "left_semi").select(*keys, "strike").distinct()
+    rows = official.where(F.col("strike").isNotNull()).select(
+        *keys, "strike", time_to_int(F.col("time")).alias("clock")
+    )
+    first = rows.groupBy(*keys).agg(F.min("clock").alias("clock"))
+    return rows.join(first, [*keys, "clock"], "left_semi").select(*keys, "strike").distinct()
 
 
 def schedule_entries(schedule: DataFrame, with_start: bool = False) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quotelake.functions.compare import normal_text
 from quotelake.functions.quotes import valid_quote
+from quotelake.functions.times import pad_time, time_to_int
 
 VERDICTS = ("Passed", "Mismatch", "Skipped")
 
@@ -197,10 +198,11 @@ def grid_reconcile(quotes: DataFrame) -> DataFrame:
 
 def first_seen(filtered: DataFrame) -> DataFrame:
     """First time each side of a strike has a quote of its own."""
-    return filtered.groupBy("trade_date", "term", "strike", "cp").agg(
-        F.min(F.when(F.col("bid").isNotNull(), F.col("time"))).alias("first_time"),
-        F.count_if(F.col("bid").isNull()).alias("times_without"),
+    own = F.when(F.col("bid").isNotNull(), time_to_int(F.col("time")))
+    found = filtered.groupBy("trade_date", "term", "strike", "cp").agg(
+        F.min(own).alias("first"), F.count_if(F.col("bid").isNull()).alias("times_without")
     )
+    return found.withColumn("first_time", pad_time(F.col("first"))).drop("first")
 
 
 def same_text(a: Column, b: Column) -> Column:
