@@ -180,7 +180,7 @@ def publish_filter(series: DataFrame, cfg: EngineConfig = DEFAULT) -> DataFrame:
     others = [c for c in series.columns if c not in ("trade_date", "prior_close")]
     row = F.struct("time", *[c for c in others if c != "time"])
     days = series.groupBy("trade_date").agg(
-        F.array_sort(F.collect_list(row)).alias("rows"),
+        F.sort_array(F.collect_list(row)).alias("rows"),
         F.first("prior_close").alias("prior_close"),
     )
     start = F.struct(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quotelake.config import DEFAULT, EngineConfig
 from quotelake.schemas import SIDE_PREFIX, WIDE_QUOTE_COLUMNS, column_name
+from quotelake.session import written_once
 
 # The columns of a side that are compared, and their long names.
 SIDE_MEASURES = {
@@ -129,26 +130,58 @@ def slice_times(
     return rows.where(F.col("time") == at)
 
 
-def page_rows(rows: DataFrame, order: list[str], page: int, per_page: int) -> DataFrame:
+def page_rows(
+    rows: DataFrame,
+    order: list[str],
+    page: int,
+    per_page: int,
+    top_limit: int = DEFAULT.broadcast_rows,
+) -> DataFrame:
     """One page of sorted rows with ``total``, ``total_pages`` and the clamped ``page``.
 
-    Counting is one aggregate of the same filter. The rows themselves come
-    from a top-n: only ``page * per_page`` rows of a partition can matter.
+    Counting is one aggregate of the same filter. Pages near the front come
+    from a top-n of ``page * per_page`` rows; beyond ``top_limit`` rows from a
+    distributed sort, so that no task handles all rows before the page.
     """
     total = rows.count()
     pages = max(1, -(-total // per_page))
     page = max(1, min(page, pages))
+    start = (page - 1) * per_page
+    if start + per_page <= top_limit:
+        chosen = rows.orderBy(*order).offset(start).limit(per_page)
+    else:
+        chosen = _rows_at(rows, order, start, per_page)
+    return chosen.withColumns(
+        {
+            "page": F.lit(page),
+            "total": F.lit(total).cast("bigint"),
+            "total_pages": F.lit(pages),
+        }
+    )
+
+
+def _rows_at(rows: DataFrame, order: list[str], start: int, n: int) -> DataFrame:
+    """Rows ``start`` to ``start + n`` of the sorted table.
+
+    The sorted partitions are written once, so their sizes give the position
+    of every row.
+    """
+    placed = written_once(rows.orderBy(*order)).withColumn(
+        "place", F.monotonically_increasing_id()
+    )
+    placed = placed.withColumn("part", F.shiftright("place", 33))
+    sizes = placed.groupBy("part").count()
+    # One row per sorted partition.
+    before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    offsets = sizes.select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("skip"))
+    position = F.col("skip") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
     return (
-        rows.orderBy(*order)
-        .offset((page - 1) * per_page)
-        .limit(per_page)
-        .withColumns(
-            {
-                "page": F.lit(page),
-                "total": F.lit(total).cast("bigint"),
-                "total_pages": F.lit(pages),
-            }
-        )
+        placed.join(F.broadcast(offsets), "part")
+        .where((position >= start) & (position < start + n))
+        .orderBy(*order)
+        .drop("part", "place", "skip")
     )
 
 

@@ -81,7 +81,7 @@ def schedule_entries(schedule: DataFrame, with_start: bool = False) -> DataFrame
     """
     keys = schedule_keys(schedule)
     entry = F.struct("idx", "time", F.col("sysid"), F.col("prev_sysid"))
-    grouped = schedule.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    grouped = schedule.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("entries"))
     if not with_start:
         return grouped
     first = F.col("entries")[0]

@@ -55,11 +55,11 @@ def diff_report(fx):
 @query(
     """select trade_date, term, time, strike, cp, ema, gamma, bid, ask, coalesce(cols, '') as diff_cols, cols is not null as has_diff
 from o_ours_long l left join (select trade_date, term, time, strike, cp, string_agg("column", ',' order by "column") as cols from o_diffs group by all) d
- using (trade_date, term, time, strike, cp) where cp = 'Call' and time = '100000'"""
+ using (trade_date, term, time, strike, cp)"""
 )
 def full_data_view(fx):
     diffs = reconciliation.diff_report(fx.view("fx_ours_wide"), fx.view("fx_official_wide"))
-    rows = reconciliation.full_data_view(fx.view("fx_ours_wide"), diffs, cp="Call", time="100000")
+    rows = reconciliation.full_data_view(fx.view("fx_ours_wide"), diffs)
     return rows.select(
         "trade_date", "term", "time", "strike", "cp", "ema", "gamma", "bid", "ask", "diff_cols", "has_diff"
     )

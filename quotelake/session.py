@@ -30,8 +30,8 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def small_table(df: DataFrame) -> DataFrame:
-    """Write a small derived table once, so a large scan behind it is not repeated.
+def written_once(df: DataFrame) -> DataFrame:
+    """Write a table once and go on from the written rows.
 
     A reliable checkpoint: it lives in the shared folder and survives the loss
     of any executor.
@@ -40,6 +40,11 @@ def small_table(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_table(df: DataFrame) -> DataFrame:
+    """Keep a small derived table, so a large scan behind it is not repeated."""
+    return written_once(df)
+
+
 def fits(df: DataFrame, limit: int) -> bool:
     return df.count() <= limit
 

@@ -267,6 +267,14 @@ def test_page_is_clamped(spark):
     assert [r["id"] for r in reshape.page_rows(rows, ["id"], 0, 10).collect()][:1] == [0]
 
 
+def test_deep_page_equals_top_n(spark):
+    rows = spark.range(0, 1000, 1, 7).selectExpr("id * 37 % 1000 as x", "id % 3 as y")
+    for page in (1, 4, 11, 99):
+        near = reshape.page_rows(rows, ["y", "x"], page, 90).collect()
+        deep = reshape.page_rows(rows, ["y", "x"], page, 90, top_limit=0).collect()
+        assert near == deep and near
+
+
 def test_empty_difference_report_has_a_header(spark):
     path = new_path(spark, "empty-diffs")
     empty = spark.createDataFrame(
