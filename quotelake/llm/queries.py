@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import secrets, url_filters
-from quotelake.llm.common import table
+from quotelake.llm import packing, secrets, token_files, url_filters
+from quotelake.llm.common import table, written
 from quotelake.llm.registry import query
+from quotelake.session import new_path
 
 # Fixed values of the contract.
 URL_RULES = [
@@ -26,6 +28,23 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(pages, labels, URL_RULES)
 
 
+@query()
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every piece of every document."""
+    pieces = packing.pack_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 @query()
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the secrets of every document."""
@@ -38,3 +57,13 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans")
     )
+
+
+@query()
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids, read back from the written files."""
+    folder = new_path(spark, "token-ids")
+    docs = table(spark, sf_dir, "documents")
+    token_files.write_token_ids(docs, folder, public_tokenizers.path("byte_bpe_50k.json"))
+    digests = written(token_files.token_digests(spark, folder), "token-digests")
+    return token_files.with_starts(digests)
