@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import packing, secrets, token_files, url_filters
+from quotelake.llm import packing, secrets, simhash, token_files, url_filters
 from quotelake.llm.common import table, written
 from quotelake.llm.registry import query
 from quotelake.session import new_path
@@ -28,6 +28,14 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(pages, labels, URL_RULES)
 
 
+@query()
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    shown = F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint")
+    return found.select("doc_id", shown, "component_id")
+
+
 @query()
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every piece of every document."""
