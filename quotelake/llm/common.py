@@ -40,3 +40,15 @@ def unused_name(name: str, columns: list[str]) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with columns that are computed once per row.
+
+    The optimizer moves a projected expression to where it is used, which inside a
+    lambda or after an explode means once per element. It leaves the output of a
+    generator alone, here one with one row.
+    """
+    value = F.struct(*(c.alias(n) for n, c in columns.items()))
+    kept = df.select("*", F.explode(F.array(value)).alias("__computed"))
+    return kept.select(*df.columns, *(F.col(f"__computed.{n}").alias(n) for n in columns))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import packing, secrets, simhash, token_files, url_filters
+from quotelake.llm import decontamination, packing, secrets, simhash, token_files, url_filters
 from quotelake.llm.common import table, written
 from quotelake.llm.registry import query
 from quotelake.session import new_path
@@ -28,6 +28,55 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(pages, labels, URL_RULES)
 
 
+@query(
+    r"""
+with normal as (
+    select 'd' as kind, doc_id as id, text from documents
+    union all select 'b', item_id, text from benchmark),
+worded as (
+    select kind, id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+    from normal),
+items as (
+    select id as item_id, w, least(len(w), 10) as l from worded where kind = 'b' and len(w) > 0),
+known as (
+    select distinct item_id, l, array_to_string(w[i:i + l - 1], ' ') as gram
+    from (select *, unnest(range(1, len(w) - l + 2)) as i from items)),
+windows as (
+    select id as doc_id, i, l, array_to_string(w[i:i + l - 1], ' ') as gram
+    from (
+        select id, w, l, unnest(range(1, len(w) - l + 2)) as i
+        from worded, (select distinct l from known) where kind = 'd' and len(w) >= l)),
+hits as (select doc_id, i, windows.l, item_id from windows join known using (gram)),
+covered as (
+    select doc_id, count(distinct i + k) as n from hits, lateral (select unnest(range(l)) as k) group by doc_id),
+named as (
+    select doc_id, count(distinct item_id) as n,
+        array_to_string(list_sort(list(distinct item_id::varchar)), ',') as ids
+    from hits group by doc_id)
+select id as doc_id, len(w) as n_words, coalesce(covered.n, 0) as n_hit,
+    coalesce(named.n, 0) as n_items, sha256(coalesce(named.ids, '')) as items_sha256,
+    coalesce(covered.n, 0) > 0 as contaminated
+from worded left join covered on id = covered.doc_id left join named on id = named.doc_id
+where kind = 'd'
+"""
+)
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of every document is in the benchmark."""
+    docs, benchmark = (table(spark, sf_dir, n) for n in ("documents", "benchmark"))
+    found = decontamination.find_windows(docs, benchmark)
+    n_hit = decontamination.hit_words("hits")
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 @query()
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
