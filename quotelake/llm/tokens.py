@@ -15,16 +15,20 @@ from array import array
 from collections.abc import Iterable, Iterator
 from itertools import filterfalse
 
+import numpy as np
 import pyarrow as pa
 
 #: Ids are four little-endian bytes each.
 ID_BYTES = 4
 
-#: Units a worker remembers, and the longest of these in characters. Units beyond
+#: Units a worker remembers, as many parts of them, and the longest of these in characters. Units beyond
 #: either are encoded again; the ids are the same.
-MEMORY = 800_000
+MEMORY = 500_000
 LONGEST = 48
 
+#: Fixed value: ASCII marks that are neither letters, digits nor white space.
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
 
 def little_endian(ids: Iterable[int]) -> bytes:
     values = array("I", ids)
@@ -50,11 +54,35 @@ class TextEncoder:
         self.tokenizer.encode_special_tokens = True
         self.spaced = self.tokenizer.normalizer is None
         self.known: dict[str, bytes | None] = {}
+        self.known_parts: dict[str, bytes] = {}
+        mark = "\u0120" if self.spaced else "</w>"
+        self.edge = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.edge[number] = token.startswith(mark) if self.spaced else token.endswith(mark)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [little_endian(x.ids) for x in found]
 
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters, many of them in one text for the library.
+
+        A token tells whether it starts a word (or the one before it, whether it
+        ends one), so the ids can be told apart again.
+        """
+        gap, found = "" if self.spaced else " ", []
+        for at in range(0, len(words), 512):
+            some = words[at : at + 512]
+            ids = np.frombuffer(self.whole([gap.join(some)])[0], "<u4")
+            marked = np.flatnonzero(self.edge[ids])
+            starts = marked if self.spaced else np.concatenate([[0], marked[:-1] + 1])
+            if len(starts) != len(some):
+                found += self.whole(some)
+                continue
+            text, ends = ids.tobytes(), [*(ID_BYTES * starts[1:]).tolist(), ID_BYTES * len(ids)]
+            found += [text[a:b] for a, b in zip((ID_BYTES * starts).tolist(), ends)]
+        return found
+
     def units(self, text: str) -> list[str] | None:
         """Units of a text; None where only the whole text is safe."""
         if self.spaced:
@@ -65,15 +93,37 @@ class TextEncoder:
             return None
         return text.split()
 
-    def unit_text(self, unit: str) -> str | None:
-        """What is encoded for a unit; None if its ids depend on what is around."""
-        if not self.spaced:
-            return unit
-        first = unit.endswith("\0")
-        unit = unit.removesuffix("\0")
-        if not unit or unit[0].isspace() or "\0" in unit:
-            return None
-        return unit if first else f" {unit}"
+    def parts(self, unit: str) -> list[str] | None:
+        """Texts whose ids make up a unit's; None if these depend on what is around.
+
+        Letters followed by ASCII marks are two tokens or more, cut between them.
+        """
+        gap = ""
+        if self.spaced:
+            gap = "" if unit.endswith("\0") else " "
+            unit = unit.removesuffix("\0")
+            if not unit or unit[0].isspace() or "\0" in unit:
+                return None
+        word = unit.rstrip(MARKS)
+        if not word.isalpha():
+            return [gap + unit]
+        marks = unit[len(word) :]
+        # The one letter whose lower case depends on its place in the word.
+        if not self.spaced and "\u03a3" not in word:
+            word = word.lower()
+        return [gap + word, marks] if marks else [gap + word]
+
+    def _new(self, units: set[str]) -> dict[str, bytes | None]:
+        """Ids of units not remembered."""
+        parts = {u: self.parts(u) for u in units}
+        texts = {p for ps in parts.values() if ps for p in ps}.difference(self.known_parts)
+        words = [t for t in texts if t.lstrip(" ").isalpha() and t.startswith(" ") == self.spaced]
+        rest = list(texts.difference(words))
+        ids = dict(zip([*words, *rest], self.words(words) + self.whole(rest)))
+        if len(self.known_parts) + len(ids) <= MEMORY:
+            self.known_parts.update((t, v) for t, v in ids.items() if len(t) <= LONGEST)
+        known = _Both(ids, self.known_parts)
+        return {u: None if ps is None else b"".join([known[p] for p in ps]) for u, ps in parts.items()}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as bytes."""
@@ -84,8 +134,7 @@ class TextEncoder:
                 new.update(filterfalse(self.known.__contains__, units))
         known = self.known
         if new:
-            plain = {u: t for u in new if (t := self.unit_text(u)) is not None}
-            fresh = dict.fromkeys(new) | dict(zip(plain, self.whole(list(plain.values()))))
+            fresh = self._new(new)
             if len(known) + len(fresh) <= MEMORY:
                 known.update((u, v) for u, v in fresh.items() if len(u) <= LONGEST)
             known = _Both(fresh, known)
