@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import decontamination, packing, secrets, simhash, token_files, url_filters
+from quotelake.llm import decontamination, order_minhash, packing, secrets, simhash, token_files, url_filters
 from quotelake.llm.common import table, written
 from quotelake.llm.registry import query
 from quotelake.session import new_path
@@ -85,6 +85,21 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", shown, "component_id")
 
 
+@query()
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint beside its edited text's and the next one's."""
+    found = order_minhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        order_minhash.shown("signature").alias("fingerprint"),
+        order_minhash.shown("edited_signature").alias("edited_fingerprint"),
+        order_minhash.likeness("signature", "edited_signature").alias("near_edited"),
+        order_minhash.likeness("signature", "next_signature").alias("near_next"),
+    )
+
+
 @query()
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every piece of every document."""
