@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from quotelake.llm.tokens import ID_BYTES, TextEncoder, in_pieces, little_endian
+from quotelake.llm.tokens import ID_BYTES, encoder, in_pieces, little_endian
 
 PIECES = (
     "doc_id {doc_id}, start bigint, length bigint, doc_tokens bigint, "
@@ -104,7 +104,7 @@ def _packing(path: str, cfg: PackingConfig, id_kind: pa.DataType):
     schema = pa.schema(list(zip(names, kinds)))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = TextEncoder(path), little_endian([cfg.end_id])
+        ids_of, end = encoder(path).encode, little_endian([cfg.end_id])
         worker = TaskContext.get().partitionId()
         packer = Packer(cfg, worker * SEQUENCES_OF_A_WORKER)
         shown = lambda p: (p[0], p[1], p[2], p[3], p[5], p[6], p[4])
@@ -112,7 +112,7 @@ def _packing(path: str, cfg: PackingConfig, id_kind: pa.DataType):
             docs = batch.column("doc_id").to_pylist()
             texts = [t or "" for t in batch.column("text").to_pylist()]
             found = []
-            for doc, ids in zip(docs, encoder.encode(texts)):
+            for doc, ids in zip(docs, ids_of(texts)):
                 ids += end
                 total, start = len(ids) // ID_BYTES, 0
                 for length in piece_lengths(total, cfg):

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quotelake.llm.common import or_empty
-from quotelake.llm.tokens import ID_BYTES, TextEncoder, in_pieces, little_endian
+from quotelake.llm.tokens import ID_BYTES, encoder, in_pieces, little_endian
 
 #: ORC settings: what a reader needs to skip stripes and groups of rows.
 ORC_OPTIONS = {
@@ -30,9 +30,9 @@ ORC_OPTIONS = {
 
 def _encoding(path: str, end_id: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end, done = TextEncoder(path), little_endian([end_id]), 0
+        ids_of, end, done = encoder(path).encode, little_endian([end_id]), 0
         for batch in in_pieces(batches):
-            ids = [x + end for x in encoder.encode(batch.column("text").to_pylist())]
+            ids = [x + end for x in ids_of(batch.column("text").to_pylist())]
             sizes = np.array([len(x) // ID_BYTES for x in ids], np.int64)
             ends = np.concatenate([[0], np.cumsum(sizes)])
             values = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)

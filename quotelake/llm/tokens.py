@@ -13,6 +13,7 @@ import os
 import sys
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import filterfalse
 
 import numpy as np
@@ -39,8 +40,14 @@ def little_endian(ids: Iterable[int]) -> bytes:
     return values.tobytes()
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str) -> TextEncoder:
+    """The worker process's encoder, with what it remembers from earlier tasks."""
+    return TextEncoder(path)
+
+
 class TextEncoder:
-    """Encodes texts with the tokenizer at ``path``; one per worker process.
+    """Encodes texts with the tokenizer at ``path``.
 
     Byte-level files with the usual word expression keep the space before a word
     in its token: ``spaced``. Files that drop white space are cut at any of it.
