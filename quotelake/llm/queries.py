@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import decontamination, order_minhash, packing, secrets, simhash, token_files, url_filters
+from quotelake.llm import decontamination, order_minhash, packing, quality, secrets, simhash, token_files, url_filters
 from quotelake.llm.common import table, written
 from quotelake.llm.registry import query
 from quotelake.session import new_path
@@ -28,6 +28,13 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(pages, labels, URL_RULES)
 
 
+@query()
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality and toxicity, and whether it is kept."""
+    docs, labels = (table(spark, sf_dir, n) for n in ("documents", "labels"))
+    return quality.judge(docs, labels)
+
+
 @query(
     r"""
 with normal as (
