@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import decontamination, order_minhash, packing, quality, secrets, simhash, token_files, url_filters
+from quotelake.llm import decontamination, order_minhash, packing, quality, secrets, simhash, suffix_dedup, token_files, url_filters
 from quotelake.llm.common import table, written
 from quotelake.llm.registry import query
 from quotelake.session import new_path
@@ -35,6 +35,15 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, labels)
 
 
+@query()
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated strings of 100 bytes."""
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query(
     r"""
 with normal as (
