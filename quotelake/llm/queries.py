@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import decontamination, order_minhash, packing, quality, secrets, simhash, suffix_dedup, token_files, url_filters
+from quotelake.llm import decontamination, language_model, order_minhash, packing, quality, secrets, simhash, suffix_dedup, token_files, url_filters
 from quotelake.llm.common import table, written
 from quotelake.llm.registry import query
 from quotelake.session import new_path
@@ -28,6 +28,12 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(pages, labels, URL_RULES)
 
 
+@query()
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's score by its words' shares and by the model."""
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality and toxicity, and whether it is kept."""
