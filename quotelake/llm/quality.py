@@ -152,7 +152,11 @@ def labelled_sample(labels: DataFrame, cfg: QualityConfig) -> DataFrame:
         F.max((F.col("quality") == 0).cast("double")).alias("low_quality"),
         F.max((F.col("toxic") == 1).cast("double")).alias("toxic"),
     )
-    return each.orderBy(F.xxhash64("doc_id"), "doc_id").limit(cfg.sample_rows)
+    # Half as many again pass the hash, so few rows go to the task that takes the least.
+    share, parts = 1.5 * cfg.sample_rows / max(1, known.count()), 1 << 30
+    hashed = F.pmod(F.xxhash64("doc_id"), F.lit(parts))
+    few = each.filter(hashed < int(min(1.0, share) * parts) + 1)
+    return few.orderBy(hashed, "doc_id").limit(cfg.sample_rows)
 
 
 def fit(docs: DataFrame, labels: DataFrame, cfg: QualityConfig) -> Model | None:
