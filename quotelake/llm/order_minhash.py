@@ -37,7 +37,7 @@ def _bin(packed: Column) -> Column:
 
 def _walk(n: Column) -> Column:
     """0 to ``n - 1``, nothing for zero."""
-    return F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: i < n)
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
 
 def with_signature(df: DataFrame, text: str, name: str) -> DataFrame:
@@ -57,16 +57,20 @@ def with_signature(df: DataFrame, text: str, name: str) -> DataFrame:
         F.xxhash64(hashed(i), i - start), F.get("ordered", i).bitwiseAND(F.lit(PLACE))
     )
     last = lambda j: F.coalesce(F.get("runs", j + 1), F.size("ordered")) - 1
-    run = lambda start, j: F.transform(
-        F.sequence(start, last(j)), lambda i: numbered(i, start)
+    start = lambda j: F.get("runs", j)
+    again = F.filter(_walk(F.size("runs")), lambda j: last(j) > start(j))
+    run = lambda j: F.transform(
+        F.sequence(start(j) + 1, last(j)), lambda i: numbered(i, start(j))
     )
-    df = computed(df, ranked=F.sort_array(F.flatten(F.transform("runs", run))))
-
-    lead = lambda x, i: (i == 0) | (_bin(F.get("ranked", i - 1)) != _bin(x))
-    heads = F.filter(
-        F.transform("ranked", lambda x, i: F.when(lead(x, i), i)), lambda i: i.isNotNull()
+    # Most k-mers occur once: only the others' runs are walked a second time.
+    ranked = F.concat(
+        F.transform("runs", lambda i: numbered(i, i)), F.flatten(F.transform(again, run))
     )
-    df = computed(df, heads=heads)
+    df = computed(df, ranked=F.sort_array(ranked))
+
+    bin_at = lambda i: _bin(F.get("ranked", i))
+    leads = lambda i: (i == 0) | (bin_at(i - 1) != bin_at(i))
+    df = computed(df, heads=F.filter(_walk(F.size("ranked")), leads))
     place = lambda i: F.get("ranked", i).bitwiseAND(F.lit(PLACE))
 
     def pair(i: Column) -> Column:
