@@ -27,8 +27,8 @@ class EngineConfig:
     spread_digits: int = 8
     # Width of a sequence-number bucket in the interval join.
     seqno_bucket: int = 4096
-    # A side is broadcast only if a count proves it has no more rows than this.
-    broadcast_rows: int = 1_000_000
+    # A side is broadcast only if its rows and their width prove it is no larger.
+    broadcast_bytes: int = 64 << 20
     # Rows the quote-filter fold holds in one Python worker at a time.
     fold_rows: int = 262_144
 

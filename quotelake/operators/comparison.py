@@ -189,17 +189,33 @@ def index_verify(
     )
 
 
-def snapshot_compare(ours_long: DataFrame, official_long: DataFrame) -> DataFrame:
-    """Compared cells and mismatches of bid or ask per date, term and side."""
-    value = ["last_bid", "last_ask"]
-    matched = match_inner(
-        ours_long.select(*CELL, *value), official_long.select(*CELL, *value), CELL
-    )
-    differs = F.coalesce(
-        (F.col("last_bid_ours") != F.col("last_bid_official"))
-        | (F.col("last_ask_ours") != F.col("last_ask_official")),
-        F.lit(True),
+def official_snapshots(wide: DataFrame) -> DataFrame:
+    """Bid and ask of the official ``snapshot_*`` columns, one row per side."""
+    sides = F.array(
+        *[
+            F.struct(
+                F.lit(cp).alias("cp"),
+                F.col(f"snapshot_{side}_bid").alias("bid"),
+                F.col(f"snapshot_{side}_ask").alias("ask"),
+            )
+            for side, cp in (("call", "Call"), ("put", "Put"))
+        ]
     )
+    keys = [c for c in CELL if c != "cp"]
+    return wide.select(*keys, F.explode(sides).alias("side")).select(*keys, "side.*")
+
+
+def snapshot_compare(ours_long: DataFrame, official_wide: DataFrame) -> DataFrame:
+    """Our last quotes against the official snapshot ones, per date, term and side.
+
+    A missing value is a mismatch, also where both are missing.
+    """
+    ours = ours_long.select(*CELL, F.col("last_bid").alias("bid"), F.col("last_ask").alias("ask"))
+    matched = match_inner(ours, official_snapshots(official_wide), CELL)
+    differs = F.lit(False)
+    for value in ("bid", "ask"):
+        same = F.col(f"{value}_ours") == F.col(f"{value}_official")
+        differs = differs | ~F.coalesce(same, F.lit(False))
     return matched.groupBy("trade_date", "term", "cp").agg(
         F.count(F.lit(1)).alias("compared"), F.count_if(differs).alias("mismatches")
     )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quotelake.config import DEFAULT, EngineConfig
 from quotelake.functions.compare import float_diff
-from quotelake.functions.quotes import tick_error_codes, valid_quote
+from quotelake.functions.quotes import tick_error_codes
 from quotelake.functions.times import prev_time, seconds_of_day, tick_clock, time_to_int
 from quotelake.operators.intervals import range_join
 from quotelake.operators.schedule import schedule_keys
@@ -80,7 +80,11 @@ def interval_window(
 
 
 def neighbour_intervals(
-    placed: DataFrame, schedule: DataFrame, before: int = 1, after: int = 1
+    placed: DataFrame,
+    schedule: DataFrame,
+    before: int = 1,
+    after: int = 1,
+    cfg: EngineConfig = DEFAULT,
 ) -> DataFrame:
     """Ticks of the intervals around every snapshot.
 
@@ -94,7 +98,7 @@ def neighbour_intervals(
     spread = placed.where("idx >= 0").withColumn(
         "centre_idx", F.explode(F.sequence(F.col("idx") - after, F.col("idx") + before))
     )
-    return spread.join(bounded_broadcast(centres), [*keys, "centre_idx"], "inner")
+    return spread.join(bounded_broadcast(centres, cfg.broadcast_bytes), [*keys, "centre_idx"], "inner")
 
 
 def with_validity(ticks: DataFrame) -> DataFrame:
@@ -167,7 +171,7 @@ def tick_window(
 
 
 def tick_snapshot_interleave(
-    tagged: DataFrame, schedule: DataFrame, verdicts: DataFrame
+    tagged: DataFrame, schedule: DataFrame, verdicts: DataFrame, cfg: EngineConfig = DEFAULT
 ) -> DataFrame:
     """Ticks and snapshot rows of each series in one order of sequence numbers.
 
@@ -182,7 +186,8 @@ def tick_snapshot_interleave(
     # Most ticks have no tag and show no verdict. A number of their own that no
     # snapshot has spreads them over the join instead of gathering them.
     own = F.lit(-2) - F.col("seqno")
-    ticks = tagged.join(bounded_broadcast(bounds), [*keys, "idx"], "left").withColumn(
+    bounds = bounded_broadcast(bounds, cfg.broadcast_bytes)
+    ticks = tagged.join(bounds, [*keys, "idx"], "left").withColumn(
         "verdict_idx", F.when(F.size("tags") > 0, passed.cast("bigint")).otherwise(own)
     )
     codes = verdicts.select(
@@ -244,7 +249,7 @@ def audit_window(
         placed.withColumn(
             "snapshot_idx", F.explode(F.sequence(own, own + reach))
         )
-        .join(bounded_broadcast(snapshots), [*keys, "snapshot_idx"], "inner")
+        .join(bounded_broadcast(snapshots, cfg.broadcast_bytes), [*keys, "snapshot_idx"], "inner")
         .withColumn("since", since)
         .where(F.col("since") >= -lookback * 1_000_000)
         .withColumn("in_window", F.col("since") >= -window * 1_000_000)
@@ -345,7 +350,3 @@ def index_trend(index: DataFrame, rounded, cfg: EngineConfig = DEFAULT) -> DataF
 
 def valid_hours(index: DataFrame, cfg: EngineConfig = DEFAULT) -> DataFrame:
     return index.where(F.col("time") >= cfg.session_open)
-
-
-def valid_only(ticks: DataFrame) -> DataFrame:
-    return ticks.where(valid_quote(F.col("bid"), F.col("ask")))

@@ -36,7 +36,7 @@ def range_join(
     """
     tagged = ticks.withColumn("bucket", _bucket("seqno", cfg.seqno_bucket)).alias("t")
     spread = bucketed_ranges(ranges, cfg.seqno_bucket)
-    r = bounded_broadcast(spread, cfg.broadcast_rows).alias("r")
+    r = bounded_broadcast(spread, cfg.broadcast_bytes).alias("r")
     condition = (F.col("t.seqno") > F.col("r.low")) & (F.col("t.seqno") <= F.col("r.high"))
     for k in [*keys, "bucket"]:
         condition = condition & (F.col(f"t.{k}") == F.col(f"r.{k}"))
@@ -57,7 +57,7 @@ def _placed(ticks: DataFrame, schedule: DataFrame, cfg: EngineConfig) -> DataFra
     ranges = schedule.select(
         *keys, "idx", F.col("prev_sysid").alias("low"), F.col("sysid").alias("high")
     )
-    inside = ticks.join(bounded_broadcast(bounds, cfg.broadcast_rows), keys, "inner")
+    inside = ticks.join(bounded_broadcast(bounds, cfg.broadcast_bytes), keys, "inner")
     return range_join(inside, ranges, keys, "left", cfg)
 
 

@@ -135,53 +135,46 @@ def page_rows(
     order: list[str],
     page: int,
     per_page: int,
-    top_limit: int = DEFAULT.broadcast_rows,
+    only: dict | None = None,
 ) -> DataFrame:
     """One page of sorted rows with ``total``, ``total_pages`` and the clamped ``page``.
 
-    Counting is one aggregate of the same filter. Pages near the front come
-    from a top-n of ``page * per_page`` rows; beyond ``top_limit`` rows from a
-    distributed sort, so that no task handles all rows before the page.
+    ``only`` keeps rows with the given values; None or ``all`` keep every one. All
+    other columns break ties of ``order``, so a page is the same on every run. The
+    sorted partitions are written once, and their sizes, one number per partition,
+    give the position of every row, near the front or deep.
     """
-    total = rows.count()
+    for column, wanted in (only or {}).items():
+        if wanted not in (None, "all"):
+            rows = rows.where(F.col(column) == wanted)
+    ties = [f.name for f in rows.schema if f.name not in order and f.dataType.typeName() != "map"]
+    placed = written_once(rows.orderBy(*order, *ties)).withColumn(
+        "place", F.monotonically_increasing_id()
+    )
+    part, within = F.shiftright("place", 33), F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = placed.groupBy(part.alias("part")).count().orderBy("part").collect()
+    total = sum(row["count"] for row in counts)
     pages = max(1, -(-total // per_page))
     page = max(1, min(page, pages))
     start = (page - 1) * per_page
-    if start + per_page <= top_limit:
-        chosen = rows.orderBy(*order).offset(start).limit(per_page)
-    else:
-        chosen = _rows_at(rows, order, start, per_page)
-    return chosen.withColumns(
-        {
-            "page": F.lit(page),
-            "total": F.lit(total).cast("bigint"),
-            "total_pages": F.lit(pages),
-        }
-    )
-
-
-def _rows_at(rows: DataFrame, order: list[str], start: int, n: int) -> DataFrame:
-    """Rows ``start`` to ``start + n`` of the sorted table.
 
-    The sorted partitions are written once, so their sizes give the position
-    of every row.
-    """
-    placed = written_once(rows.orderBy(*order)).withColumn(
-        "place", F.monotonically_increasing_id()
-    )
-    placed = placed.withColumn("part", F.shiftright("place", 33))
-    sizes = placed.groupBy("part").count()
-    # One row per sorted partition.
-    before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = sizes.select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("skip"))
-    position = F.col("skip") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    chosen, before = F.lit(False), 0
+    for row in counts:
+        low, high = start - before, start - before + per_page
+        if low < row["count"] and high > 0:
+            chosen = chosen | ((part == row["part"]) & (within >= low) & (within < high))
+        before += row["count"]
     return (
-        placed.join(F.broadcast(offsets), "part")
-        .where((position >= start) & (position < start + n))
-        .orderBy(*order)
-        .drop("part", "place", "skip")
+        placed.where(chosen)
+        .orderBy("place")
+        .drop("place")
+        .withColumns(
+            {
+                "page": F.lit(page),
+                "total": F.lit(total).cast("bigint"),
+                "total_pages": F.lit(pages),
+            }
+        )
     )
 
 

@@ -24,8 +24,8 @@ from quotelake.operators.schedule import schedule_entries, schedule_keys, strike
 from quotelake.session import bounded_broadcast, fits
 
 SERIES = ["trade_date", "term", "strike"]
-# Above every sequence number of a day; 15 digits.
-SEQNO_RANGE = 10**15
+# Above every 64-bit sequence number.
+SEQNO_RANGE = 10**19
 SIDES = {"call": "Call", "put": "Put"}
 QUOTE_FIELDS = [
     "raw_bid", "raw_ask", "raw_sysid", "carry_bid", "carry_ask", "carry_sysid",
@@ -42,9 +42,9 @@ def with_spread_order(ticks: DataFrame, cfg: EngineConfig = DEFAULT) -> DataFram
     every tick). Unknown spreads come last.
     """
     units = F.round((F.col("ask") - F.col("bid")) * F.lit(10.0**cfg.spread_digits))
-    ranked = units.try_cast("decimal(22,0)") * F.lit(SEQNO_RANGE).cast("decimal(16,0)")
+    ranked = units.try_cast("decimal(18,0)") * F.lit(str(SEQNO_RANGE)).cast("decimal(20,0)")
     unknown = F.lit("9" * 38).cast("decimal(38,0)")
-    order = F.coalesce(ranked, unknown) - F.col("seqno").cast("decimal(15,0)")
+    order = F.coalesce(ranked, unknown) - F.col("seqno").cast("decimal(19,0)")
     return ticks.withColumn("spread_order", order)
 
 
@@ -157,7 +157,7 @@ def snapshot_book(
     """
     placed = assign_intervals(ticks, schedule, cfg)
     quotes = _by_side(fold_ticks(placed, [*SERIES, "cp", "idx"], cfg))
-    if strikes is None and not fits(schedule, cfg.broadcast_rows):
+    if strikes is None and not fits(schedule, cfg.broadcast_bytes):
         strikes = quotes.select(*SERIES).distinct()
     if strikes is None:
         cells = _quoted_cells(quotes, schedule)
@@ -305,7 +305,7 @@ def snapshot_at(
     series = [*SERIES, "cp"]
     bid, ask, seqno = F.col("bid"), F.col("ask"), F.col("seqno")
     known = ticks.join(
-        bounded_broadcast(target, cfg.broadcast_rows), "trade_date"
+        bounded_broadcast(target, cfg.broadcast_bytes), "trade_date"
     ).where("seqno <= sysid")
     earlier = seqno <= F.col("prev_sysid")
     folded = (

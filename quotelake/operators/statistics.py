@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.functions.compare import normal_text
 from quotelake.functions.quotes import valid_quote
 from quotelake.functions.times import pad_time, time_to_int
 
@@ -16,22 +15,11 @@ def percent(part: Column, whole: Column) -> Column:
     return F.try_divide(part * 100.0, whole)
 
 
-def filter_exact_date(ticks: DataFrame, date: Column) -> DataFrame:
-    return ticks.where(F.col("file_date") == date)
-
-
-def dropped_by_date(ticks: DataFrame, target: DataFrame) -> DataFrame:
-    """Rows kept and dropped per file when only its own date is wanted.
-
-    ``target`` maps ``file`` to ``target_date``.
-    """
-    return (
-        ticks.join(target, "file")
-        .groupBy("file")
-        .agg(
-            F.count_if(F.col("file_date") == F.col("target_date")).alias("kept"),
-            F.count_if(F.col("file_date") != F.col("target_date")).alias("dropped"),
-        )
+def dropped_by_date(ticks: DataFrame) -> DataFrame:
+    """Rows kept and dropped per ``file`` when only its ``target_date`` is wanted."""
+    same = F.trim("file_date") == F.col("target_date")
+    return ticks.groupBy("file").agg(
+        F.count_if(same).alias("kept"), F.count_if(~same).alias("dropped")
     )
 
 
@@ -197,13 +185,9 @@ def grid_reconcile(quotes: DataFrame) -> DataFrame:
 
 
 def first_seen(filtered: DataFrame) -> DataFrame:
-    """First time each side of a strike has a quote of its own."""
-    own = F.when(F.col("bid").isNotNull(), time_to_int(F.col("time")))
+    """First time each side of a strike has a source, and how often it has none."""
+    own = F.when(F.col("source").isNotNull(), time_to_int(F.col("time")))
     found = filtered.groupBy("trade_date", "term", "strike", "cp").agg(
-        F.min(own).alias("first"), F.count_if(F.col("bid").isNull()).alias("times_without")
+        F.min(own).alias("first"), F.count_if(F.col("source").isNull()).alias("times_without")
     )
     return found.withColumn("first_time", pad_time(F.col("first"))).drop("first")
-
-
-def same_text(a: Column, b: Column) -> Column:
-    return normal_text(a) == normal_text(b)

@@ -11,7 +11,7 @@ from quotelake.session import bounded_broadcast
 
 def enrich_products(ticks: DataFrame, products: DataFrame, cfg: EngineConfig = DEFAULT) -> DataFrame:
     """Join a dimension of parsed ids to the ticks; unknown ids drop out."""
-    return ticks.join(bounded_broadcast(products, cfg.broadcast_rows), "prod_id", "inner")
+    return ticks.join(bounded_broadcast(products, cfg.broadcast_bytes), "prod_id", "inner")
 
 
 def near_next_terms(parsed: DataFrame) -> DataFrame:
@@ -42,7 +42,7 @@ def near_next_terms(parsed: DataFrame) -> DataFrame:
 def split_terms(parsed: DataFrame, terms: DataFrame, cfg: EngineConfig = DEFAULT) -> DataFrame:
     """Ticks of Near and Next with their ``term``; other expiries are dropped."""
     return parsed.join(
-        bounded_broadcast(terms, cfg.broadcast_rows), ["trade_date", "yyyymm"], "inner"
+        bounded_broadcast(terms, cfg.broadcast_bytes), ["trade_date", "yyyymm"], "inner"
     )
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 
 from quotelake.config import DEFAULT, EngineConfig
 from quotelake.operators import comparison, reshape
-from quotelake.operators.statistics import daily_verdict
 
 KEYS = ["trade_date", "term", "time", "strike"]
 
@@ -42,7 +41,3 @@ def full_data_view(
             rows = rows.where(rows[column] == wanted)
             diffs = diffs.where(diffs[column] == wanted)
     return comparison.diff_mark(rows, diffs)
-
-
-def verdicts(calendar: DataFrame, ours: DataFrame, official: DataFrame) -> DataFrame:
-    return daily_verdict(calendar, official, diff_report(ours, official))

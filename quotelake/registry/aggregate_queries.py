@@ -10,7 +10,7 @@ from quotelake.operators import terms
 from quotelake.operators.reshape import SIDE_MEASURES
 from quotelake.registry.base import query
 from quotelake.registry.views import MEASURES
-from quotelake.sources.calendar import calendar_range
+from quotelake.sources.calendar import calendar_around
 
 KEYS = ["trade_date", "term", "time", "strike"]
 
@@ -182,12 +182,12 @@ def validity_stats(fx):
 
 @query(
     """select c.trade_date, case when w.trade_date is null then 'Skipped' when coalesce(d.n, 0) = 0 then 'Passed' else 'Mismatch' end as status, coalesce(d.n, 0) as diffs
-from (select cast(unnest(generate_series(date '2023-12-25', date '2024-02-05', interval 1 day)) as date) as trade_date) c
+from (select cast(unnest(generate_series(min(trade_date) - interval 7 day, max(trade_date) + interval 7 day, interval 1 day)) as date) as trade_date from fx_official_wide) c
 left join (select distinct trade_date from fx_official_wide) w using (trade_date)
 left join (select trade_date, count(*) as n from o_diffs group by all) d using (trade_date)"""
 )
 def daily_verdict(fx):
-    days = calendar_range(fx.spark, "2023-12-25", "2024-02-05")
+    days = calendar_around(fx.view("fx_official_wide"))
     return statistics.daily_verdict(days, fx.view("fx_official_wide"), _diffs(fx))
 
 
@@ -200,7 +200,7 @@ def grid_reconcile(fx):
 
 
 @query(
-    """select trade_date, term, strike, cp, min(time) filter (where bid is not null) as first_time, count(*) filter (where bid is null) as times_without from o_fold group by all"""
+    """select trade_date, term, strike, cp, min(time) filter (where source is not null) as first_time, count(*) filter (where source is null) as times_without from o_fold group by all"""
 )
 def first_seen(fx):
     from quotelake.plans.quotes import filtered_long

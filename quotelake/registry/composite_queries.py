@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quotelake.functions.index_math import round_half_up
-from quotelake.operators import exploration, index_series
+from quotelake.operators import exploration, index_series, reshape
+from quotelake.operators.index_series import index_series as run_index
 from quotelake.plans import questions, quotes, reconciliation
-from quotelake.plans.index import index_pipeline as run_index
 from quotelake.registry.base import query
 from quotelake.registry.reshape_queries import WIDE
 from quotelake.registry.window_queries import STREAM
@@ -53,16 +53,21 @@ def diff_report(fx):
 
 
 @query(
-    """select trade_date, term, time, strike, cp, ema, gamma, bid, ask, coalesce(cols, '') as diff_cols, cols is not null as has_diff
+    """select * exclude (r) from (select *, cast(greatest(1, least(2, total_pages)) as integer) as page from (
+select *, count(*) over () as total, cast(greatest(1, ceil(count(*) over () / 100.0e0)) as integer) as total_pages,
+ row_number() over (order by trade_date, term, time, strike, cp) as r
+from (select trade_date, term, time, strike, cp, ema, gamma, bid, ask, coalesce(cols, '') as diff_cols, cols is not null as has_diff
 from o_ours_long l left join (select trade_date, term, time, strike, cp, string_agg("column", ',' order by "column") as cols from o_diffs group by all) d
- using (trade_date, term, time, strike, cp)"""
+ using (trade_date, term, time, strike, cp) where cp = 'Call') v) n) p where r > (page - 1) * 100 and r <= page * 100"""
 )
 def full_data_view(fx):
+    """Second page of the Call side, as a viewer asks for it."""
     diffs = reconciliation.diff_report(fx.view("fx_ours_wide"), fx.view("fx_official_wide"))
-    rows = reconciliation.full_data_view(fx.view("fx_ours_wide"), diffs)
-    return rows.select(
+    rows = reconciliation.full_data_view(fx.view("fx_ours_wide"), diffs, cp="Call").select(
         "trade_date", "term", "time", "strike", "cp", "ema", "gamma", "bid", "ask", "diff_cols", "has_diff"
     )
+    order = ["trade_date", "term", "time", "strike", "cp"]
+    return reshape.page_rows(rows, order, page=2, per_page=100)
 
 
 @query(

@@ -9,7 +9,6 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quotelake.functions.products import parse_product
 from quotelake.operators import schedule, snapshots, terms
@@ -76,7 +75,8 @@ select cast(ts as date) as trade_date, lpad(cast(hour(ts) as string), 2, '0') ||
  case when k % 2 = 0 then '-' else '1,2' end as p_last_outlier, case when k % 5 = 0 then '1' else '-' end as p_min_outlier,
  event_id + 1 as c_last_sysid, event_id + 2 as p_last_sysid,
  case when k % 6 = 0 then event_id + 1 else event_id end as c_min_sysid, event_id + 2 as p_min_sysid,
- event_id + 3 as snapshot_sysid
+ event_id + 3 as snapshot_sysid,
+ case when k % 13 = 0 then value + 1 else value end as snapshot_call_bid, value + k/100.0e0 as snapshot_call_ask, value * 2 as snapshot_put_bid, case when k % 19 = 0 then null else value * 2 + k/50.0e0 end as snapshot_put_ask
 from (select *, cast(regexp_extract(props, '([0-9]+)', 1) as int) as k from {events}) e""",
     "fx_ours_wide": """
 select trade_date, time, term, strike, case when strike % 97 = 0 then null else c_ema end as c_ema, p_ema,
@@ -90,6 +90,11 @@ select trade_date, time, term, strike, case when strike % 97 = 0 then null else
  case when strike % 43 = 0 then '-' else p_min_outlier end as p_min_outlier,
  c_last_sysid, p_last_sysid, c_min_sysid, p_min_sysid, snapshot_sysid
 from {fx_official_wide} o where strike % 211 <> 0""",
+    # Sides and rows that one of two sources lacks.
+    "fx_one_sided": """
+select trade_date, time, strike, 'Call' as cp, c_bid as bid, c_ask as ask from {fx_official_wide} o where strike % 3 <> 0
+union all select trade_date, time, strike, 'Put', p_bid, p_ask from {fx_official_wide} o where strike % 3 <> 1""",
+    "fx_official_part": "select * from {fx_official_wide} o where strike % 307 <> 0",
     # Contribution lines of alert reports; three months, some lines cut short.
     "fx_alert_rows": """
 select trade_date, time, case when term = 'Near' then '202402' when strike % 700 = 0 then '202404' else '202403' end as month,

@@ -52,19 +52,12 @@ def grid_template(fx):
 @query(
     """select coalesce(c.trade_date, p.trade_date) as trade_date, coalesce(c.time, p.time) as time, coalesce(c.strike, p.strike) as strike,
  c.bid as c_bid, c.ask as c_ask, p.bid as p_bid, p.ask as p_ask
-from (select trade_date, time, strike, c_bid as bid, c_ask as ask from fx_official_wide where strike % 3 <> 0) c
-full join (select trade_date, time, strike, p_bid as bid, p_ask as ask from fx_official_wide where strike % 3 <> 1) p
+from (select * from fx_one_sided where cp = 'Call') c
+full join (select * from fx_one_sided where cp = 'Put') p
  on c.trade_date = p.trade_date and c.time = p.time and c.strike = p.strike"""
 )
 def pair_call_put(fx):
-    long = reshape.unpivot_quotes(
-        fx.view("fx_official_wide"), ["trade_date", "time", "strike"], ["bid", "ask"]
-    )
-    one_sided = long.where(
-        ((F.col("cp") == "Call") & (F.col("strike") % 3 != 0))
-        | ((F.col("cp") == "Put") & (F.col("strike") % 3 != 1))
-    )
-    return reshape.pair_call_put(one_sided, ["trade_date", "time", "strike"], ["bid", "ask"])
+    return reshape.pair_call_put(fx.view("fx_one_sided"), ["trade_date", "time", "strike"], ["bid", "ask"])
 
 
 @query(
@@ -125,14 +118,13 @@ def diff_mark(fx):
 
 
 @query(
-    """select trade_date, term, time, strike, 'official' as only_in from fx_official_wide f where strike % 307 <> 0 and not exists
+    """select trade_date, term, time, strike, 'official' as only_in from fx_official_part f where not exists
  (select 1 from fx_ours_wide o where o.trade_date = f.trade_date and o.term = f.term and o.time = f.time and o.strike = f.strike)
 union all select trade_date, term, time, strike, 'ours' from fx_ours_wide o where not exists
- (select 1 from fx_official_wide f where f.strike % 307 <> 0 and o.trade_date = f.trade_date and o.term = f.term and o.time = f.time and o.strike = f.strike)"""
+ (select 1 from fx_official_part f where o.trade_date = f.trade_date and o.term = f.term and o.time = f.time and o.strike = f.strike)"""
 )
 def strike_set_difference(fx):
-    official = fx.view("fx_official_wide").where("strike % 307 <> 0")
-    return comparison.strike_set_difference(fx.view("fx_ours_wide"), official)
+    return comparison.strike_set_difference(fx.view("fx_ours_wide"), fx.view("fx_official_part"))
 
 
 @query(

@@ -40,11 +40,13 @@ def build_product_id(fx):
 def expiry_from_filename(fx):
     from quotelake.session import new_path
     from quotelake.sources.calendar import report_files
+    from quotelake.sources.official import by_file
 
     path = new_path(fx.spark, "by-expiry")
     code = F.substring("prod_id", 9, 2)
     name = F.concat(F.lit("quotes_TXO"), code, F.lit(".csv"))
-    fx.parsed.select("seqno", name.alias("file")).write.partitionBy("file").csv(path)
+    ids = fx.parsed.select("prod_id").distinct().select("prod_id", name.alias("file"))
+    by_file(ids, ["file"]).write.partitionBy("file").csv(path)
     expiry = products.expiry_of_file(F.col("path"))
     files = report_files(fx.spark, path)
     return files.select(expiry.alias("yyyymm")).where("yyyymm is not null").distinct()
@@ -323,21 +325,29 @@ def round_publish(fx):
 
 
 @query(
-    """select trade_date, time, case when p > 0 then (n - p) / cast(p as double) end as ratio, coalesce((n - p) / cast(p as double) < -0.15, false) as dropped
-from (select trade_date, time, contrib_rows as n, lag(contrib_rows) over (partition by trade_date order by time) as p from o_contrib_sum where term = 'Near') x""",
+    """select trade_date, time, kind, case when p > 0 then (n - p) / cast(p as double) end as ratio, kind <> 'index' and coalesce((n - p) / nullif(cast(p as double), 0) < -0.15, false) as dropped
+from (select trade_date, time, kind, n, lag(n) over (partition by trade_date, kind order by time) as p
+ from (select trade_date, time, term as kind, cast(contrib_rows as double) as n from o_contrib_sum
+  union all select trade_date, time, 'index', original from fx_official_index)) x""",
     rounded=("ratio",),
 )
 def change_ratio(fx):
+    """Change from one time to the next: series of either term, and the index."""
     from pyspark.sql import Window
 
     from quotelake.operators.index_series import contrib_sum
 
-    near = contrib_sum(fx.view("fx_contrib")).where("term = 'Near'")
-    before = F.lag("contrib_rows").over(Window.partitionBy("trade_date").orderBy("time"))
-    ratio = index_math.change_ratio(F.col("contrib_rows"), before)
-    return near.select("trade_date", "time", ratio.alias("ratio")).withColumn(
-        "dropped", F.coalesce(F.col("ratio") < -0.15, F.lit(False))
+    terms = contrib_sum(fx.view("fx_contrib")).select(
+        "trade_date", "time", F.col("term").alias("kind"), F.col("contrib_rows").cast("double").alias("n")
     )
+    index = fx.view("fx_official_index").select(
+        "trade_date", "time", F.lit("index").alias("kind"), F.col("original").alias("n")
+    )
+    before = F.lag("n").over(Window.partitionBy("trade_date", "kind").orderBy("time"))
+    ratio = index_math.change_ratio(F.col("n"), before)
+    fell = (F.col("kind") != "index") & F.coalesce(F.col("ratio") < -0.15, F.lit(False))
+    changed = terms.unionByName(index).withColumn("ratio", ratio)
+    return changed.select("trade_date", "time", "kind", "ratio", fell.alias("dropped"))
 
 
 @query(

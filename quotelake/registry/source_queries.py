@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quotelake import schemas
 from quotelake.functions.times import display_time
-from quotelake.operators import index_series
+from quotelake.operators import index_series, statistics
 from quotelake.registry.base import query
 from quotelake.registry.fixtures import Fixture
 from quotelake.session import new_path
@@ -27,7 +27,11 @@ def _tick_files(fx: Fixture, sep: str) -> str:
             "prod_id": F.concat(F.lit(" "), F.col("prod_id"), F.lit(" ")),
         }
     )
-    ticks.write_ticks(rows, path, sep)
+    # Two layouts in each folder: another order, spaces and a column of no use.
+    ticks.write_ticks(rows.where("seqno % 3 <> 0"), path, sep)
+    other = {"quantity": F.lit("7"), "file_date": F.concat(F.lit(" "), "file_date")}
+    columns = ("seqno", "ask", "quantity", "tick_time", "bid", "prod_id", "file_date")
+    ticks.write_ticks(rows.where("seqno % 3 = 0").withColumns(other), path, sep, columns, "append")
     return path
 
 
@@ -49,14 +53,10 @@ def read_ticks_flexible(fx):
  count(*) filter (where seqno % 50 = 0) as dropped from fx_ticks group by trade_date"""
 )
 def filter_exact_date(fx):
-    path = _tick_files(fx, "\t")
-    raw = fx.spark.read.schema(schemas.TICK_FILE).option("sep", "\t").option("header", True)
-    rows = raw.csv(path).withColumnsRenamed(schemas.TICK_COLUMNS)
-    same = F.col("file_date") == F.col("day").cast("string")
-    return (
-        rows.groupBy(F.to_date(F.col("day").cast("string"), "yyyyMMdd").alias("trade_date"))
-        .agg(F.count_if(same).alias("kept"), F.count_if(~same).alias("dropped"))
-    )
+    texts = ticks.read_tick_texts(fx.spark, _tick_files(fx, "\t"))
+    day = F.col("day").cast("string")
+    counted = statistics.dropped_by_date(texts.withColumns({"file": day, "target_date": day}))
+    return counted.select(F.to_date("file", "yyyyMMdd").alias("trade_date"), "kept", "dropped")
 
 
 def _official_files(fx: Fixture) -> str:
@@ -67,7 +67,11 @@ def _official_files(fx: Fixture) -> str:
         F.lit("84500").alias("time"),
         "initial_sysid",
     )
-    official.write_official(fx.view("fx_official_wide"), marker, path)
+    # As delivered: a second strike column, and the snapshot columns at the end.
+    names = schemas.OFFICIAL_QUOTE_COLUMNS
+    columns = [*names[:4], "p.strike", *names[4:10], *reversed(names[10:])]
+    rows = fx.view("fx_official_wide").withColumn("p_strike", F.col("strike"))
+    official.write_official(rows, marker, path, columns)
     return path
 
 
@@ -93,26 +97,27 @@ def read_start_marker(fx):
 
 def _index_files(fx: Fixture) -> str:
     path = new_path(fx.spark, "index-inputs")
+    unused = {"unused": "unused"}
     contrib = fx.view("fx_contrib").withColumn("contrib", F.col("contrib_raw"))
     unpadded = F.col("time").cast("int").cast("string")
     index_files.write_tsv(
-        contrib.withColumn("time", unpadded), schemas.CONTRIB_COLUMNS, f"{path}/contrib",
+        contrib.withColumn("time", unpadded), unused | schemas.CONTRIB_COLUMNS, f"{path}/contrib",
         ["trade_date", "term"],
     )
     index_files.write_tsv(
-        fx.view("fx_forward").withColumn("time", unpadded), schemas.FORWARD_COLUMNS,
+        fx.view("fx_forward").withColumn("time", unpadded), unused | schemas.FORWARD_COLUMNS,
         f"{path}/forward", ["trade_date", "term"],
     )
     sigma = fx.view("fx_sigma").join(fx.view("fx_official_index"), ["trade_date", "time"])
     index_files.write_tsv(
-        sigma.withColumn("time", unpadded), schemas.SIGMA_COLUMNS, f"{path}/sigma", ["trade_date"]
+        sigma.withColumn("time", unpadded), unused | schemas.SIGMA_COLUMNS, f"{path}/sigma", ["trade_date"]
     )
     rate = fx.view("fx_marker").select(
         "trade_date",
         (F.col("initial_sysid") % 7 / 1000).alias("near_r"),
         (F.col("initial_sysid") % 9 / 1000).alias("next_r"),
     )
-    index_files.write_tsv(rate, schemas.RATE_COLUMNS, f"{path}/rate", ["trade_date"])
+    index_files.write_tsv(rate, unused | schemas.RATE_COLUMNS, f"{path}/rate", ["trade_date"])
     return path
 
 
@@ -382,17 +387,18 @@ def list_dates(fx):
     name = F.concat(
         F.lit("validation_diff_"), F.date_format("trade_date", "yyyyMMdd"), F.lit(".csv")
     )
-    fx.view("fx_times").select("sysid", name.alias("report")).write.partitionBy("report").csv(path)
+    rows = fx.view("fx_times").select("sysid", name.alias("report"))
+    official.by_file(rows, ["report"]).write.partitionBy("report").csv(path)
     return calendar.list_dates(calendar.report_files(fx.spark, path))
 
 
 @query(
     """select c.trade_date, d.trade_date is not null as available
-from (select cast(unnest(generate_series(date '2023-12-25', date '2024-02-05', interval 1 day)) as date) as trade_date) c
+from (select cast(unnest(generate_series(min(trade_date) - interval 7 day, max(trade_date) + interval 7 day, interval 1 day)) as date) as trade_date from fx_times) c
 left join (select distinct trade_date from fx_times) d using (trade_date)"""
 )
 def date_range_select(fx):
-    days = calendar.calendar_range(fx.spark, "2023-12-25", "2024-02-05")
+    days = calendar.calendar_around(fx.view("fx_times"))
     return calendar.date_range_select(days, fx.view("fx_times"))
 
 

@@ -49,9 +49,9 @@ def stream_filtered_quote(fx):
     source = new_path(fx.spark, "stream-in")
     for early in (True, False):
         part = fx.book.where((F.col("idx") < 12) == F.lit(early))
-        part.coalesce(2).write.mode("append").parquet(source)
+        part.write.mode("append").parquet(source)
     book = (
-        fx.spark.readStream.schema(fx.book.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        fx.spark.readStream.schema(fx.book.schema).option("maxFilesPerTrigger", 4).parquet(source)
     )
     out, log = new_path(fx.spark, "stream-out"), new_path(fx.spark, "stream-log")
     filtered.run_available(filtered.stream_filtered_quote(book, "400 days"), out, log)

@@ -14,11 +14,7 @@ TICK_COLUMNS = {
     "svel_i081_seqno": "seqno",
 }
 
-TICK_FILE = T.StructType(
-    [T.StructField(name, T.StringType()) for name in TICK_COLUMNS]
-)
-
-# Columns of the official wide quote file, all read as text.
+# Columns used of the official wide quote file, found by name.
 OFFICIAL_QUOTE_COLUMNS = [
     "date", "time", "strike",
     "c.bid", "c.ask", "p.bid", "p.ask",

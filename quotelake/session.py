@@ -14,7 +14,8 @@ from quotelake.config import DEFAULT
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (local tests) a temporary one is made.
+    Only a local session (tests) may name none; it gets a temporary one. On a
+    cluster every machine would write to a disk of its own, so that is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -22,6 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quotelake-"))
     return spark.sparkContext.getCheckpointDir()
 
@@ -46,11 +49,12 @@ def small_table(df: DataFrame) -> DataFrame:
 
 
 def fits(df: DataFrame, limit: int) -> bool:
-    return df.count() <= limit
+    """Whether ``df`` has at most ``limit`` bytes, by its rows and their width."""
+    return df.count() * df._jdf.schema().defaultSize() <= limit
 
 
-def bounded_broadcast(df: DataFrame, limit: int = DEFAULT.broadcast_rows) -> DataFrame:
-    """Broadcast ``df`` if it provably has at most ``limit`` rows, else leave it.
+def bounded_broadcast(df: DataFrame, limit: int = DEFAULT.broadcast_bytes) -> DataFrame:
+    """Broadcast ``df`` if it provably has at most ``limit`` bytes, else leave it.
 
     Above the bound the join stays a shuffled equi-join.
     """

@@ -91,17 +91,27 @@ def _conditions(trigger: Column) -> Column:
     )
 
 
+def last_per_name(entries: Column) -> Column:
+    """Map of entries ``(name, value)``; a repeated name has its last value."""
+    later = lambda i: F.transform(
+        F.slice(entries, i + 2, F.size(entries)), lambda e: e["name"]
+    )
+    kept = F.filter(entries, lambda e, i: ~F.array_contains(later(i), e["name"]))
+    return F.map_from_entries(kept)
+
+
 def _descriptions(lines: Column, summary_at: Column) -> Column:
     between = F.transform(
         F.slice(lines, 3, F.greatest(summary_at - 3, F.lit(0))), lambda x: F.trim(x)
     )
     pattern = r"^condition\s*([0-9]+)\s*:(.*)$"
     listed = F.filter(between, lambda x: x.rlike(pattern))
-    return F.map_from_entries(
+    return last_per_name(
         F.transform(
             listed,
             lambda x: F.struct(
-                F.regexp_extract(x, pattern, 1), F.trim(F.regexp_extract(x, pattern, 2))
+                F.regexp_extract(x, pattern, 1).alias("name"),
+                F.trim(F.regexp_extract(x, pattern, 2)).alias("value"),
             ),
         )
     )
@@ -119,9 +129,12 @@ def _summary_row(lines: Column, summary_at: Column, offset: int) -> Column:
         lambda p: p["name"].isNotNull() & (F.coalesce(p["value"], F.lit("")) != ""),
     )
     entries = F.transform(
-        pairs, lambda p: F.struct(F.coalesce(known[p["name"]], p["name"]), p["value"])
+        pairs,
+        lambda p: F.struct(
+            F.coalesce(known[p["name"]], p["name"]).alias("name"), p["value"].alias("value")
+        ),
     )
-    return F.when(F.size(lines) > summary_at + 1, F.map_from_entries(entries))
+    return F.when(F.size(lines) > summary_at + 1, last_per_name(entries))
 
 
 def alert_conditions(reports: DataFrame) -> DataFrame:

@@ -34,6 +34,13 @@ def calendar_range(spark: SparkSession, start: str, end: str) -> DataFrame:
     return spark.range(1).select(F.explode(days).alias("trade_date"))
 
 
+def calendar_around(dated: DataFrame, before: int = 7, after: int = 7) -> DataFrame:
+    """Every date from ``before`` days ahead of the first to ``after`` behind the last."""
+    ends = dated.agg(F.min("trade_date").alias("low"), F.max("trade_date").alias("high"))
+    days = F.sequence(F.date_sub("low", before), F.date_add("high", after))
+    return ends.select(F.explode(days).alias("trade_date"))
+
+
 def date_range_select(calendar: DataFrame, available: DataFrame) -> DataFrame:
     """Every date of a range with a mark whether it is available."""
     present = available.select("trade_date").distinct().withColumn("available", F.lit(True))

@@ -12,16 +12,13 @@ from quotelake.schemas import (
     FORWARD_COLUMNS,
     RATE_COLUMNS,
     SIGMA_COLUMNS,
-    text_schema,
 )
+from quotelake.sources.headers import exact_names, read_by_header
+from quotelake.sources.official import by_file
 
 
 def _read(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
-    raw = (
-        spark.read.schema(text_schema(columns)).option("sep", "\t").option("header", True)
-        .csv(path)
-    )
-    return raw.withColumnsRenamed(columns)
+    return read_by_header(spark, path, "\t", list(columns.values()), exact_names(columns))
 
 
 def read_forward(spark: SparkSession, path: str) -> DataFrame:
@@ -79,7 +76,7 @@ def write_tsv(rows: DataFrame, columns: dict[str, str], path: str, keys: list[st
         (F.col(c).cast("string") if c in have else F.lit(None).cast("string")).alias(name)
         for name, c in columns.items()
     ]
-    rows.select(*keys, *out).write.partitionBy(*keys).option("sep", "\t").option(
+    by_file(rows.select(*keys, *out), keys).write.partitionBy(*keys).option("sep", "\t").option(
         "header", True
     ).csv(path)
 
@@ -110,9 +107,11 @@ def original_file_rows(index: DataFrame) -> DataFrame:
 def write_index(index: DataFrame, path: str) -> None:
     """Both index files, in folders per date."""
     inverse = {v: k for k, v in SIGMA_COLUMNS.items()}
-    index_file_rows(index).withColumnsRenamed(inverse).write.partitionBy("trade_date").option(
-        "sep", "\t"
-    ).option("header", True).csv(f"{path}/index")
-    original_file_rows(index).write.partitionBy("trade_date").option("sep", "\t").option(
+    day = ["trade_date"]
+    rows = index_file_rows(index).withColumnsRenamed(inverse)
+    by_file(rows, day).write.partitionBy(*day).option("sep", "\t").option("header", True).csv(
+        f"{path}/index"
+    )
+    by_file(original_file_rows(index), day).write.partitionBy(*day).option("sep", "\t").option(
         "header", False
     ).csv(f"{path}/original")

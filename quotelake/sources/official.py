@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quotelake.functions.quotes import text_to_price
 from quotelake.functions.times import pad_time
@@ -14,8 +13,8 @@ from quotelake.schemas import (
     WIDE_QUOTE_COLUMNS,
     column_name,
     file_column,
-    text_schema,
 )
+from quotelake.sources.headers import exact_names, read_by_header
 
 PRICE_ENDINGS = ("bid", "ask", "ema", "gamma")
 
@@ -37,13 +36,19 @@ def _keys(df: DataFrame) -> list[str]:
     return [c for c in ("trade_date", "term") if c in df.columns]
 
 
+def _by_name(spark: SparkSession, path: str, names: list[str], sep: str, **options) -> DataFrame:
+    columns = {c: column_name(c) for c in names}
+    return read_by_header(spark, path, sep, list(columns.values()), exact_names(columns), **options)
+
+
 def read_official_text(spark: SparkSession, path: str) -> DataFrame:
-    """Official wide files as texts, in folders ``trade_date=.../term=...``."""
-    raw = (
-        spark.read.schema(text_schema(OFFICIAL_QUOTE_COLUMNS))
-        .option("sep", "\t").option("header", True).csv(path)
-    )
-    return raw.withColumnsRenamed({c: column_name(c) for c in OFFICIAL_QUOTE_COLUMNS})
+    """Official wide files as texts, in folders ``trade_date=.../term=...``.
+
+    ``field_1`` and ``field_2`` are the first fields of a row, which is all that the
+    start row has.
+    """
+    fields = ("field_1", "field_2")
+    return _by_name(spark, path, OFFICIAL_QUOTE_COLUMNS, "\t", first_fields=fields)
 
 
 def read_quotes_wide(spark: SparkSession, path: str) -> DataFrame:
@@ -57,22 +62,20 @@ def read_quotes_wide(spark: SparkSession, path: str) -> DataFrame:
 def read_start_marker(spark: SparkSession, path: str) -> DataFrame:
     """Start row per file: a time and the sequence number before the first snapshot.
 
-    The row has two fields only, so they stand in the first two columns.
+    The row has two fields only, so they are taken by place.
     """
     texts = read_official_text(spark, path)
     start = texts.where(F.col("strike").isNull() | (F.trim("strike") == ""))
     return start.select(
         *_keys(texts),
-        pad_time(F.col("date")).alias("time"),
-        F.trim("time").try_cast("bigint").alias("initial_sysid"),
+        pad_time(F.col("field_1")).alias("time"),
+        F.trim("field_2").try_cast("bigint").alias("initial_sysid"),
     )
 
 
 def read_computed_wide(spark: SparkSession, path: str) -> DataFrame:
     """Wide files written by :func:`write_quotes_wide`."""
-    raw = (
-        spark.read.schema(text_schema(WIDE_QUOTE_COLUMNS)).option("header", True).csv(path)
-    ).withColumnsRenamed({c: column_name(c) for c in WIDE_QUOTE_COLUMNS})
+    raw = _by_name(spark, path, WIDE_QUOTE_COLUMNS, ",")
     names = [column_name(c) for c in WIDE_QUOTE_COLUMNS]
     return raw.select(*_keys(raw), *[_typed(n) for n in names])
 
@@ -98,17 +101,16 @@ def write_quotes_wide(wide: DataFrame, path: str) -> None:
     ).csv(path)
 
 
-def write_official(rows: DataFrame, marker: DataFrame, path: str) -> None:
+def write_official(
+    rows: DataFrame, marker: DataFrame, path: str, columns: list[str] = OFFICIAL_QUOTE_COLUMNS
+) -> None:
     """Official layout with its two-field start row, for tests and exchange."""
     keys = _keys(rows)
-    names = [column_name(c) for c in OFFICIAL_QUOTE_COLUMNS]
     text = lambda df, have: df.select(
         *keys,
         *[
-            (F.col(n).cast("string") if n in have else F.lit(None).cast("string")).alias(
-                file_column(n)
-            )
-            for n in names
+            (F.col(n).cast("string") if n in have else F.lit(None).cast("string")).alias(c)
+            for c, n in ((c, column_name(c)) for c in columns)
         ],
     )
     body = text(rows.withColumn("date", F.date_format("trade_date", "yyyyMMdd")),
@@ -119,25 +121,9 @@ def write_official(rows: DataFrame, marker: DataFrame, path: str) -> None:
         ),
         {"date", "time"},
     )
-    body.unionByName(start).write.partitionBy(*keys).option("header", True).option(
-        "sep", "\t"
-    ).csv(path)
-
-
-DIFF_SCHEMA = T.StructType(
-    [
-        T.StructField("Date", T.StringType()),
-        T.StructField("Time", T.StringType()),
-        T.StructField("Term", T.StringType()),
-        T.StructField("Strike", T.IntegerType()),
-        T.StructField("CP", T.StringType()),
-        T.StructField("Column", T.StringType()),
-        T.StructField("Ours", T.DoubleType()),
-        T.StructField("PROD", T.DoubleType()),
-        T.StructField("SysID", T.LongType()),
-        T.StructField("Prev_SysID", T.LongType()),
-    ]
-)
+    by_file(body.unionByName(start), keys).write.partitionBy(*keys).option(
+        "header", True
+    ).option("sep", "\t").csv(path)
 
 
 def diff_file_rows(diffs: DataFrame) -> DataFrame:
@@ -158,26 +144,27 @@ def diff_file_rows(diffs: DataFrame) -> DataFrame:
 
 
 def write_diffs(diffs: DataFrame, path: str) -> None:
-    """Difference report; without differences one file with the header only."""
-    rows = diff_file_rows(diffs)
-    if rows.isEmpty():
-        rows = rows.coalesce(1)
-    rows.write.option("header", True).csv(path)
+    """Difference report, written once; without differences it is a header only.
+
+    Spark writes the header even where there are no rows.
+    """
+    diff_file_rows(diffs).write.option("header", True).csv(path)
 
 
 def read_diffs(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.schema(DIFF_SCHEMA).option("header", True).csv(path)
+    columns = {c: c for c in DIFF_COLUMNS}
+    rows = read_by_header(spark, path, ",", DIFF_COLUMNS, exact_names(columns))
     return rows.select(
         F.to_date("Date", "yyyyMMdd").alias("trade_date"),
         F.col("Time").alias("time"),
         F.col("Term").alias("term"),
-        F.col("Strike").alias("strike"),
+        F.col("Strike").try_cast("int").alias("strike"),
         F.col("CP").alias("cp"),
         F.col("Column").alias("column"),
-        F.col("Ours").alias("ours"),
-        F.col("PROD").alias("official"),
-        F.col("SysID").alias("sysid"),
-        F.col("Prev_SysID").alias("prev_sysid"),
+        F.col("Ours").try_cast("double").alias("ours"),
+        F.col("PROD").try_cast("double").alias("official"),
+        F.col("SysID").try_cast("bigint").alias("sysid"),
+        F.col("Prev_SysID").try_cast("bigint").alias("prev_sysid"),
     )
 
 

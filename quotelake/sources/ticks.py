@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake.functions.quotes import text_to_price
-from quotelake.schemas import TICK_COLUMNS, TICK_FILE
+from quotelake.schemas import TICK_COLUMNS
+from quotelake.sources.headers import exact_names, read_by_header
+from quotelake.sources.official import by_file
 
 # How a loosely named header maps to a tick column.
 HEADER_HINTS = {
@@ -48,20 +50,29 @@ def read_ticks(spark: SparkSession, path: str, dates: list[str] | None = None) -
 
     ``dates`` limits the folders that are listed and read.
     """
-    texts = (
-        spark.read.schema(TICK_FILE).option("sep", "\t").option("header", True).csv(path)
-    )
-    return _wanted_dates(_typed(texts.withColumnsRenamed(TICK_COLUMNS)), dates)
+    return _wanted_dates(_typed(read_tick_texts(spark, path, dates)), dates)
+
+
+def _folders(dates: list[str] | None) -> tuple[str, list[str]] | None:
+    return None if dates is None else ("day", dates)
+
+
+def read_tick_texts(
+    spark: SparkSession, path: str, dates: list[str] | None = None, sep: str = "\t"
+) -> DataFrame:
+    """Tick files as texts, columns found by their names in each file."""
+    names = exact_names(TICK_COLUMNS)
+    return read_by_header(spark, path, sep, list(HEADER_HINTS), names, wanted=_folders(dates))
 
 
-def locate_columns(names: list[str]) -> dict[str, str]:
-    """Tick column -> header name, found by substring."""
+def locate_columns(names: list[str]) -> dict[str, int]:
+    """Tick column -> its place in a header, found by substring."""
     found = {}
     for column, hints in HEADER_HINTS.items():
-        for name in names:
+        for place, name in enumerate(names):
             taken = column == "tick_time" and "yymmdd" in name
-            if not taken and any(h in name.strip() for h in hints):
-                found[column] = name
+            if not taken and any(h in name for h in hints):
+                found[column] = place
                 break
     return found
 
@@ -69,30 +80,26 @@ def locate_columns(names: list[str]) -> dict[str, str]:
 def read_ticks_flexible(
     spark: SparkSession, path: str, dates: list[str] | None = None, sep: str = ","
 ) -> DataFrame:
-    """Tick files with another separator and loosely named headers."""
-    raw = spark.read.option("header", True).option("sep", sep).csv(path)
-    found = locate_columns(raw.columns)
-    texts = raw.select(
-        *[F.col(f"`{name}`").alias(column) for column, name in found.items()],
-        *[c for c in ("day",) if c in raw.columns],
+    """Tick files with another separator and loosely named headers, file by file."""
+    texts = read_by_header(
+        spark, path, sep, list(HEADER_HINTS), locate_columns, wanted=_folders(dates)
     )
     return _wanted_dates(_typed(texts), dates)
 
 
-def write_ticks(ticks: DataFrame, path: str, sep: str = "\t") -> None:
-    """Tick files in the raw format, one folder per day."""
-    inverse = {v: k for k, v in TICK_COLUMNS.items()}
-    day = F.date_format("trade_date", "yyyyMMdd")
-    (
-        ticks.select(
-            F.col("file_date").alias(inverse["file_date"]),
-            *[F.col(c).cast("string").alias(inverse[c]) for c in
-              ("prod_id", "tick_time", "bid", "ask", "seqno")],
-            day.alias("day"),
-        )
-        .write.partitionBy("day").option("header", True).option("sep", sep).csv(path)
+def write_ticks(
+    ticks: DataFrame,
+    path: str,
+    sep: str = "\t",
+    columns: tuple[str, ...] = tuple(TICK_COLUMNS.values()),
+    mode: str = "error",
+) -> None:
+    """Tick files in the raw format, one folder per day, columns in the given order."""
+    names = {v: k for k, v in TICK_COLUMNS.items()}
+    rows = ticks.select(
+        *[F.col(c).cast("string").alias(names.get(c, c)) for c in columns],
+        F.date_format("trade_date", "yyyyMMdd").alias("day"),
     )
-
-
-def expiries_of_files(ticks_with_path: DataFrame, expiry: Column) -> DataFrame:
-    return ticks_with_path.select(expiry.alias("yyyymm")).where("yyyymm is not null").distinct()
+    by_file(rows, ["day"]).write.mode(mode).partitionBy("day").option("header", True).option(
+        "sep", sep
+    ).csv(path)

@@ -163,7 +163,7 @@ def result_of(book, cfg):
     [
         EngineConfig(),
         EngineConfig(seqno_bucket=16, fold_rows=1),
-        EngineConfig(broadcast_rows=0, fold_rows=7),
+        EngineConfig(broadcast_bytes=0, fold_rows=7),
         EngineConfig(seqno_bucket=100_000, fold_rows=60),
     ],
     ids=["default", "narrow-buckets", "nothing-broadcast", "one-bucket"],

@@ -31,7 +31,7 @@ def test_no_quadratic_join(spark, name):
 
 def test_interval_join_beyond_the_broadcast_bound(spark):
     fx = Fixture(spark, SF_DIR)
-    cfg = EngineConfig(broadcast_rows=0)
+    cfg = EngineConfig(broadcast_bytes=0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         wide = assign_intervals(fx.term_ticks, fx.schedule, cfg)

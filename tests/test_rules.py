@@ -9,8 +9,9 @@ from quotelake.config import EngineConfig
 from quotelake.functions import compare, index_math, products, quotes, times
 from quotelake.operators import exploration, filtering, index_series, reshape, schedule, snapshots
 from quotelake.operators import comparison
-from quotelake.sources import alerts, official
-from quotelake.session import new_path
+from quotelake.schemas import OFFICIAL_QUOTE_COLUMNS
+from quotelake.session import new_path, shared_dir
+from quotelake.sources import alerts, official, ticks
 
 DAY = dt.date(2025, 12, 1)
 
@@ -267,12 +268,76 @@ def test_page_is_clamped(spark):
     assert [r["id"] for r in reshape.page_rows(rows, ["id"], 0, 10).collect()][:1] == [0]
 
 
-def test_deep_page_equals_top_n(spark):
+def test_pages_are_slices_of_the_sorted_rows(spark):
     rows = spark.range(0, 1000, 1, 7).selectExpr("id * 37 % 1000 as x", "id % 3 as y")
-    for page in (1, 4, 11, 99):
-        near = reshape.page_rows(rows, ["y", "x"], page, 90).collect()
-        deep = reshape.page_rows(rows, ["y", "x"], page, 90, top_limit=0).collect()
-        assert near == deep and near
+    listed = sorted((r["y"], r["x"]) for r in rows.collect())
+    for page in (1, 4, 11):
+        # x is not in the order: it breaks the ties.
+        got = reshape.page_rows(rows, ["y"], page, 90).collect()
+        assert [(r["y"], r["x"]) for r in got] == listed[(page - 1) * 90 : page * 90]
+    some = reshape.page_rows(rows, ["x"], 2, 90, only={"y": 1, "x": "all"}).collect()
+    assert [r["x"] for r in some] == [x for y, x in listed if y == 1][90:180]
+
+
+def test_columns_are_found_by_name_in_every_file(spark, tmp_path):
+    day = tmp_path / "day=20240105"
+    day.mkdir()
+    head = "svel_i081_yymmdd\tsvel_i081_prod_id\tsvel_i081_time\t"
+    bid, ask, number = (f"svel_i081_{n}" for n in ("best_buy_price1", "best_sell_price1", "seqno"))
+    (day / "a.tsv").write_text(f"{head}{bid}\tqty\t{ask}\t{number}\n20240105\tA\t9\t1\t7\t2\t105\n")
+    (day / "b.tsv").write_text(f" {number} \t{head}{ask}\t{bid}\n1000000000000001\t20240105\tB\t9\t4\t3\n")
+    got = ticks.read_ticks(spark, str(tmp_path)).orderBy("prod_id").collect()
+    assert [(r["prod_id"], r["bid"], r["ask"], r["seqno"]) for r in got] == [
+        ("A", 1.0, 2.0, 105), ("B", 3.0, 4.0, 10**15 + 1),
+    ]
+    (day / "c.tsv").write_text(f"{head}{bid}\t{number}\n")
+    with pytest.raises(ValueError, match="ask"):
+        ticks.read_ticks(spark, str(tmp_path))
+
+
+def test_second_strike_column_of_official_files(spark, tmp_path):
+    folder = tmp_path / "trade_date=2024-01-05" / "term=Near"
+    folder.mkdir(parents=True)
+    names = list(OFFICIAL_QUOTE_COLUMNS)
+    names[5:5] = ["strike"]
+    values = {n: str(i) for i, n in enumerate(OFFICIAL_QUOTE_COLUMNS)} | {"strike": "22400"}
+    lines = ["\t".join(names), "84500\t17", "\t".join(values[n] for n in names)]
+    (folder / "a.tsv").write_text("\n".join(lines) + "\n")
+    row = official.read_quotes_wide(spark, str(tmp_path)).first()
+    assert (row["strike"], row["p_bid"], row["p_ask"], row["snapshot_sysid"]) == (22400, 5.0, 6.0, 35)
+    start = official.read_start_marker(spark, str(tmp_path)).first()
+    assert (start["time"], start["initial_sysid"]) == ("084500", 17)
+
+
+def test_least_spread_of_large_sequence_numbers(spark):
+    large = 2**63 - 1
+    rows = [(1.0, 2.0, large - 1), (1.0, 2.0, large), (1.0, 3.0, 5)]
+    df = snapshots.with_spread_order(spark.createDataFrame(rows, "bid double, ask double, seqno bigint"))
+    assert [r["seqno"] for r in df.orderBy("spread_order").collect()] == [large, large - 1, 5]
+
+
+def test_repeated_names_in_reports_have_their_last_value(spark):
+    entries = "array(named_struct('name', 'a', 'value', '1'), named_struct('name', 'b', 'value', '2'), named_struct('name', 'a', 'value', '3'))"
+    df = spark.range(1).select(alerts.last_per_name(F.expr(entries)).alias("m"))
+    assert df.first()["m"] == {"b": "2", "a": "3"}
+
+
+def test_a_cluster_must_name_a_shared_folder():
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
 
 
 def test_empty_difference_report_has_a_header(spark):
