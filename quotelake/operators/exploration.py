@@ -19,7 +19,7 @@ from quotelake.operators.intervals import range_join
 from quotelake.operators.schedule import schedule_keys
 from quotelake.operators.snapshots import SERIES
 from quotelake.schemas import SIDE_PREFIX
-from quotelake.session import bounded_broadcast
+from quotelake.session import bounded_broadcast, written_once
 
 SIDE_SERIES = [*SERIES, "cp"]
 
@@ -112,27 +112,18 @@ def with_validity(ticks: DataFrame) -> DataFrame:
 def last_min_tags(placed: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Add ``tags``: LAST on the newest valid tick of an interval, MIN on the
     oldest one with the smallest spread."""
-    keys = keys or [*SIDE_SERIES, "idx"]
+    group = Window.partitionBy(*(keys or [*SIDE_SERIES, "idx"]))
     ticks = with_validity(placed)
+    seqno = F.when(F.col("is_valid"), F.col("seqno"))
     spread = F.coalesce("ask", F.lit(0.0)) - F.coalesce("bid", F.lit(0.0))
-    picked = ticks.where("is_valid").groupBy(*keys).agg(
-        F.max("seqno").alias("last"), F.min(F.struct(spread, F.col("seqno"))).alias("least")
-    )
-    marks = picked.select(
-        "trade_date",
-        F.inline(
-            F.array(
-                F.struct(F.col("last").alias("seqno"), F.lit("LAST").alias("tag")),
-                F.struct(F.col("least.seqno").alias("seqno"), F.lit("MIN").alias("tag")),
-            )
-        ),
-    )
-    tags = marks.groupBy("trade_date", "seqno").agg(
-        F.array_sort(F.collect_set("tag")).alias("tags")
-    )
-    return ticks.join(tags, ["trade_date", "seqno"], "left").withColumn(
-        "tags", F.coalesce("tags", F.array().cast("array<string>"))
+    least = F.min(F.when(F.col("is_valid"), F.struct(spread, "seqno"))).over(group)
+    tags = F.array_compact(
+        F.array(
+            F.when(seqno == F.max(seqno).over(group), F.lit("LAST")),
+            F.when(seqno == least["seqno"], F.lit("MIN")),
+        )
     )
+    return ticks.withColumn("tags", tags)
 
 
 def tick_window(
@@ -178,9 +169,16 @@ def tick_snapshot_interleave(
     A snapshot row comes before a tick with the same number. A tagged tick
     shows the verdict of the snapshot last passed at that point, LAST the code
     of the last quote and MIN the code of the smallest-spread quote.
-    ``verdicts`` has ``idx, source, last_outlier, min_outlier`` per series.
+    ``verdicts`` has ``idx, source, last_outlier, min_outlier`` per series; it is
+    one row per snapshot and is written once, as both kinds of rows need it. Order
+    the result by ``seqno, place``.
     """
     keys = schedule_keys(schedule)
+    verdicts = written_once(
+        verdicts.select(
+            *SIDE_SERIES, "idx", "snapshot_sysid", "source", "last_outlier", "min_outlier"
+        )
+    )
     bounds = schedule.select(*keys, "idx", "sysid")
     passed = F.when(F.col("seqno") == F.col("sysid"), F.col("idx")).otherwise(F.col("idx") - 1)
     # Most ticks have no tag and show no verdict. A number of their own that no
@@ -200,9 +198,13 @@ def tick_snapshot_interleave(
     shown = ticks.join(codes, [*SIDE_SERIES, "verdict_idx"], "left").select(
         *SIDE_SERIES,
         "seqno",
+        F.lit(1).alias("place"),
         F.lit("tick").alias("kind"),
+        "tick_time",
         "bid",
         "ask",
+        "is_valid",
+        F.array_join("error_codes", ",").alias("error_codes"),
         F.array_join("tags", ",").alias("tags"),
         F.lit(None).cast("string").alias("source"),
         F.when(has("LAST"), F.col("last_outlier")).alias("last_outlier"),
@@ -211,9 +213,13 @@ def tick_snapshot_interleave(
     marks = verdicts.select(
         *SIDE_SERIES,
         F.col("snapshot_sysid").alias("seqno"),
+        F.lit(0).alias("place"),
         F.lit("snapshot").alias("kind"),
+        F.lit(None).cast("string").alias("tick_time"),
         F.lit(None).cast("double").alias("bid"),
         F.lit(None).cast("double").alias("ask"),
+        F.lit(None).cast("boolean").alias("is_valid"),
+        F.lit("").alias("error_codes"),
         F.lit("").alias("tags"),
         "source",
         "last_outlier",
@@ -255,29 +261,17 @@ def audit_window(
         .withColumn("in_window", F.col("since") >= -window * 1_000_000)
         .withColumn("spread", F.col("ask") - F.col("bid"))
     )
-    group = [*SIDE_SERIES, "snapshot_idx"]
-    picked = seen.groupBy(*group).agg(
-        F.max("seqno").alias("last_seqno"),
-        F.min(
-            F.when(F.col("in_window"), F.struct("spread", (-F.col("seqno")).alias("age")))
-        ).alias("least"),
-    )
-    flags = picked.select(
-        "trade_date",
-        "snapshot_idx",
-        F.inline(
-            F.array(
-                F.struct(F.col("last_seqno").alias("seqno"), F.lit(1).alias("l"), F.lit(0).alias("m")),
-                F.struct((-F.col("least.age")).alias("seqno"), F.lit(0).alias("l"), F.lit(1).alias("m")),
-            )
-        ),
-    ).groupBy("trade_date", "snapshot_idx", "seqno").agg(F.max("l").alias("l"), F.max("m").alias("m"))
-    return (
-        seen.join(flags, ["trade_date", "snapshot_idx", "seqno"], "left")
-        .withColumn("is_last", F.coalesce(F.col("l") == 1, F.lit(False)))
-        .withColumn("is_min", F.coalesce(F.col("m") == 1, F.lit(False)))
-        .drop("l", "m", "since")
-    )
+    group = Window.partitionBy(*SIDE_SERIES, "snapshot_idx")
+    newest_least = F.struct("spread", (-F.col("seqno")).alias("age"))
+    least = F.min(F.when(F.col("in_window"), newest_least)).over(group)
+    return seen.withColumns(
+        {
+            "is_last": F.col("seqno") == F.max("seqno").over(group),
+            "is_min": F.coalesce(
+                F.col("in_window") & (F.col("seqno") == -least["age"]), F.lit(False)
+            ),
+        }
+    ).drop("since")
 
 
 def next_prev_diff(diffs: DataFrame, series: list[str]) -> DataFrame:
@@ -296,20 +290,26 @@ def calc_trace(
     """Inputs of each EMA step: previous average, both quotes, official value."""
     cell = [*SERIES, "time"]
     measures = ["ema", "bid", "ask", "source", "last_bid", "last_ask", "min_bid", "min_ask"]
-    before = ours.select(
-        *SERIES,
-        F.col("time").alias("prev_time"),
-        *[F.col(f"{p}_ema").alias(f"{p}_ema_prev") for p in SIDE_PREFIX.values()],
-    )
+    sides = list(SIDE_PREFIX.values())
+    ahead = prev_time(F.col("time"), step)
+    earlier = Window.partitionBy(*SERIES).orderBy("time")
+    whole = earlier.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+    def step_before(value: str) -> Column:
+        """The row before in time, if it is one step before; at midnight the last one."""
+        before = F.when(F.lag("time").over(earlier) == ahead, F.lag(value).over(earlier))
+        return before.when(F.last("time").over(whole) == ahead, F.last(value).over(whole))
+
     theirs = official.select(
         *cell, *[F.col(f"{p}_ema").alias(f"{p}_ema_official") for p in SIDE_PREFIX.values()]
     )
     mine = ours.select(
         *cell, "snapshot_sysid",
-        *[f"{p}_{m}" for p in SIDE_PREFIX.values() for m in measures],
-        prev_time(F.col("time"), step).alias("prev_time"),
+        *[f"{p}_{m}" for p in sides for m in measures],
+        ahead.alias("prev_time"),
+        *[step_before(f"{p}_ema").alias(f"{p}_ema_prev") for p in sides],
     )
-    joined = mine.join(before, [*SERIES, "prev_time"], "left").join(theirs, cell, "left")
+    joined = mine.join(theirs, cell, "left")
     return joined.withColumns(
         {
             f"{p}_ema_differs": float_diff(F.col(f"{p}_ema"), F.col(f"{p}_ema_official"))

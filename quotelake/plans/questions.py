@@ -15,15 +15,33 @@ def tick_stream(
     term_ticks: DataFrame,
     schedule: DataFrame,
     filtered_book: DataFrame,
+    series: dict | None = None,
+    window: DataFrame | None = None,
     cfg: EngineConfig = DEFAULT,
 ) -> DataFrame:
     """Ticks and snapshots of every series in order, with tags and verdicts.
 
+    ``series`` narrows to given values of term, strike or cp. ``window`` has
+    ``trade_date, range_start, range_end`` (see ``interval_window``) and narrows to
+    what lies in one of its ranges. ``series`` narrows ticks before anything is shuffled.
     Ticks before the start marker belong to the first interval here.
     """
+    verdicts = filtered_to_long(filtered_book)
+    for column, wanted in (series or {}).items():
+        term_ticks = term_ticks.where(F.col(column) == wanted)
+        verdicts = verdicts.where(F.col(column) == wanted)
     placed = assign_intervals(term_ticks, schedule, cfg).withColumn(
         "idx", F.greatest("idx", F.lit(0))
     )
-    return tick_snapshot_interleave(
-        last_min_tags(placed), schedule, filtered_to_long(filtered_book)
+    found = tick_snapshot_interleave(last_min_tags(placed), schedule, verdicts, cfg)
+    if window is None:
+        return found
+    ranges = window.select(
+        F.col("trade_date").alias("range_date"), "range_start", "range_end"
     )
+    inside = (
+        (F.col("trade_date") == F.col("range_date"))
+        & (F.col("seqno") > F.col("range_start"))
+        & (F.col("seqno") <= F.col("range_end"))
+    )
+    return found.join(ranges, inside, "left_semi")

@@ -79,7 +79,17 @@ def tick_window(fx):
     return exploration.tick_window(fx.term_ticks, fx.schedule).select("seqno", "snapshot_idx", "part")
 
 
-@query(STREAM)
+ERRORS = (
+    "concat_ws(',', case when coalesce(t.bid, 0) < 0 then 'E1' end, "
+    "case when coalesce(t.ask, 0) <= coalesce(t.bid, 0) then 'E2' end)"
+)
+
+
+@query(
+    f"""select s.*, case when kind = 'tick' then 1 else 0 end as place, t.tick_time, t.bid >= 0 and t.ask > t.bid as is_valid,
+ case when t.seqno is null then '' else {ERRORS} end as error_codes
+from ({STREAM}) s left join o_tt t on kind = 'tick' and t.trade_date = s.trade_date and t.seqno = s.seqno"""
+)
 def tick_stream(fx):
     return questions.tick_stream(fx.term_ticks, fx.schedule, quotes.filtered(fx.book))
 

@@ -136,9 +136,10 @@ union all select trade_date, term, strike, cp, snapshot_sysid, 'snapshot', null,
 @query(STREAM)
 def tick_snapshot_interleave(fx):
     verdicts = quotes.filtered_long(fx.book)
-    return exploration.tick_snapshot_interleave(
+    found = exploration.tick_snapshot_interleave(
         exploration.last_min_tags(_placed(fx)), fx.schedule, verdicts
     )
+    return found.drop("place", "tick_time", "is_valid", "error_codes")
 
 
 HOUR = EngineConfig(step_seconds=3600)

@@ -10,6 +10,7 @@ import __spark_entry__ as driver
 from quotelake.config import EngineConfig
 from quotelake.operators.intervals import assign_intervals
 from quotelake.operators.snapshots import SERIES, fold_ticks
+from quotelake.plans import questions, quotes
 from quotelake.plans.reconciliation import diff_report, full_data_view
 from quotelake.registry.fixtures import Fixture
 from quotelake.sources import ticks
@@ -74,3 +75,23 @@ def test_full_data_view_filters_before_the_join(spark):
     assert sorted(map(tuple, some.collect()), key=str) == sorted(
         map(tuple, whole.collect()), key=str
     )
+
+
+def test_tick_stream_folds_and_reads_once(spark):
+    plan = plan_of(driver.queries()["tick_stream"](spark, SF_DIR))
+    assert plan.count("MapInArrow") <= 1
+    assert plan.count("events.parquet") <= 2
+    assert not any(word in plan for word in QUADRATIC)
+
+
+def test_tick_stream_of_one_series_and_window(spark):
+    fx = Fixture(spark, SF_DIR)
+    book = quotes.filtered(fx.book)
+    whole = questions.tick_stream(fx.term_ticks, fx.schedule, book).collect()
+    low, high = fx.schedule.selectExpr("min(sysid)", "max(sysid)").first()
+    ends = (low, (low + high) // 2)
+    days = fx.schedule.select("trade_date").distinct()
+    window = days.selectExpr("trade_date", f"{ends[0]}L range_start", f"{ends[1]}L range_end")
+    some = questions.tick_stream(fx.term_ticks, fx.schedule, book, {"cp": "Put"}, window).collect()
+    wanted = [r for r in whole if r["cp"] == "Put" and ends[0] < r["seqno"] <= ends[1]]
+    assert sorted(map(str, some)) == sorted(map(str, wanted)) and some
