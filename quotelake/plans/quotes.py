@@ -58,5 +58,11 @@ def quote_pipeline(
     fill: bool = True,
     cfg: EngineConfig = DEFAULT,
 ) -> DataFrame:
-    """Everything from raw ticks to the wide table, all dates in one job."""
+    """Everything from raw ticks to the wide table, all dates in one job.
+
+    Schedule and template are derived from the official files and used several
+    times, so they are written once here.
+    """
+    schedule = small_table(schedule)
+    strikes = None if strikes is None else small_table(strikes)
     return wide_table(filtered(snapshots(ticks, schedule, strikes, cfg), cfg), fill, cfg)
