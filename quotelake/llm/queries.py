@@ -21,7 +21,72 @@ URL_RULES = [
 ]
 
 
-@query()
+def _stated_sql(value) -> str:
+    """The longest rule that fits, as ``value(rule)``."""
+    cases = ""
+    for rule in sorted(URL_RULES, key=lambda r: (-len(r.text), r.text)):
+        cases += (
+            f" when (host = '{rule.host}' or ends_with(host, '.{rule.host}'))"
+            f" and starts_with(path, '{rule.path}') then '{value(rule)}'"
+        )
+    return f"case{cases} end"
+
+
+URL_SQL = f"""
+with cut as (
+    select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as tail
+    from pages),
+named as (
+    select page_id, regexp_extract(tail, '^([^/?#]*)', 1) as raw,
+        substr(tail, length(regexp_extract(tail, '^([^/?#]*)', 1)) + 1) as rest
+    from cut),
+parts as (
+    select row_number() over () as r, page_id,
+        translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+        regexp_extract(rest, '^([^?#]*)', 1) as path,
+        regexp_extract(rest, '^[^?#]*\\?([^#]*)', 1) as query,
+        regexp_extract(rest, '#([\\s\\S]*)$', 1) as fragment
+    from named),
+lists as (
+    select *, list_filter(string_split(host, '.'), lambda x: x <> '') as h,
+        list_filter(string_split(path, '/'), lambda x: x <> '') as s,
+        list_sort(list_distinct(list_filter(list_transform(string_split(query, '&'),
+            lambda x: split_part(x, '=', 1)), lambda x: x <> ''))) as k
+    from parts),
+tokens as (
+    select r, page_id, host, path, list_filter([
+        'tld=' || h[-1],
+        case when len(h) >= 2 then 'domain=' || array_to_string(h[-2:], '.') end,
+        case when len(h) > 2 then 'sub=' || array_to_string(h[:-3], '.') end,
+        'first=' || s[1],
+        case when len(s) > 1 then 'rest=' || array_to_string(s[2:], '/') end,
+        case when len(k) > 0 then 'query=' || array_to_string(k, '&') end,
+        case when fragment <> '' then 'fragment=' || fragment end], lambda x: x is not null) as t
+    from lists),
+marks as (
+    select doc_id, max(case when quality = 0 or toxic = 1 then 1 else 0 end) as bad
+    from labels where doc_id is not null group by doc_id),
+sets as (
+    select r, list_sort(list_filter(t, lambda x, i: (m >> (i - 1)) & 1 = 1)) as items
+    from tokens, range(1, 128) masks(m) where m < (1 << len(t))),
+labelled as (select r, bad from tokens join marks on page_id = doc_id),
+size as (select count(*) as n, ceil(greatest(0.01e0, 20.0e0 / greatest(count(*), 1)) * count(*)) as least from labelled),
+mined as (
+    select items, array_to_string(items, ' ') as text, sum(bad) / count(*)::double as confidence,
+        sum(bad) / any_value(n)::double as support
+    from sets join labelled using (r), size group by items
+    having any_value(n) >= 20 and sum(bad) >= any_value(least) and sum(bad) / count(*)::double >= 0.5),
+best as (
+    select r, max({{'c': confidence, 's': support, 't': text}}) as b
+    from sets join mined using (items) group by r)
+select page_id, host, path, {_stated_sql(lambda r: r.text)} as rule,
+    coalesce({_stated_sql(lambda r: r.verdict)}, case when b is not null then 'block' else 'allow' end) as verdict,
+    b['t'] as mined_rule, round(b['c'], 6) as mined_confidence
+from tokens left join best using (r)
+"""
+
+
+@query(URL_SQL)
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by stated and mined rules."""
     pages, labels = (table(spark, sf_dir, n) for n in ("pages", "labels"))
