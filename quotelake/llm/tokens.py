@@ -60,8 +60,7 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.spaced = self.tokenizer.normalizer is None
-        self.known: dict[str, bytes | None] = {}
-        self.known_parts: dict[str, bytes] = {}
+        self.known, self.known_parts = Remembered(), Remembered()
         mark = "\u0120" if self.spaced else "</w>"
         self.edge = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, number in self.tokenizer.get_vocab().items():
@@ -123,14 +122,16 @@ class TextEncoder:
     def _new(self, units: set[str]) -> dict[str, bytes | None]:
         """Ids of units not remembered."""
         parts = {u: self.parts(u) for u in units}
-        texts = {p for ps in parts.values() if ps for p in ps}.difference(self.known_parts)
+        wanted = {p for ps in parts.values() if ps for p in ps}
+        texts = set(filterfalse(self.known_parts.__contains__, wanted))
         words = [t for t in texts if t.lstrip(" ").isalpha() and t.startswith(" ") == self.spaced]
         rest = list(texts.difference(words))
         ids = dict(zip([*words, *rest], self.words(words) + self.whole(rest)))
         if len(self.known_parts) + len(ids) <= MEMORY:
             self.known_parts.update((t, v) for t, v in ids.items() if len(t) <= LONGEST)
-        known = _Both(ids, self.known_parts)
-        return {u: None if ps is None else b"".join([known[p] for p in ps]) for u, ps in parts.items()}
+        self.known_parts.new = ids
+        found = self.known_parts.__getitem__
+        return {u: None if ps is None else b"".join(map(found, ps)) for u, ps in parts.items()}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as bytes."""
@@ -139,33 +140,31 @@ class TextEncoder:
         for units in split:
             if units is not None:
                 new.update(filterfalse(self.known.__contains__, units))
-        known = self.known
-        if new:
-            fresh = self._new(new)
-            if len(known) + len(fresh) <= MEMORY:
-                known.update((u, v) for u, v in fresh.items() if len(u) <= LONGEST)
-            known = _Both(fresh, known)
-        return [self._joined(t, units, known) for t, units in zip(texts, split)]
+        self.known.new = fresh = self._new(new)
+        if len(self.known) + len(fresh) <= MEMORY:
+            self.known.update((u, v) for u, v in fresh.items() if len(u) <= LONGEST)
+        return [self._joined(t, units) for t, units in zip(texts, split)]
 
-    def _joined(self, text: str, units: list[str] | None, known: dict) -> bytes:
-        found = None if units is None else [known[u] for u in units]
-        if found is None or None in found:
-            return self.whole([text])[0]
-        return b"".join(found)
+    def _joined(self, text: str, units: list[str] | None) -> bytes:
+        if units is not None:
+            found = list(map(self.known.__getitem__, units))
+            if None not in found:
+                return b"".join(found)
+        return self.whole([text])[0]
 
 
-class _Both(dict):
-    """The new units of a few texts before the remembered ones."""
+class Remembered(dict):
+    """Ids by text, and those of the texts at hand that are not remembered."""
 
-    def __init__(self, fresh: dict, known: dict):
-        super().__init__(fresh)
-        self.known = known
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: dict[str, bytes | None] = {}
 
-    def __missing__(self, unit: str):
-        return self.known[unit]
+    def __missing__(self, text: str) -> bytes | None:
+        return self.new[text]
 
 
-def in_pieces(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+def in_pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of few, so that little of a batch is held split."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
