@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from quotelake.session import new_path
 
+#: Spark's setting to remove shuffle files at the end of an execution.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -26,11 +29,17 @@ def or_empty(text: str) -> Column:
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
-    Cuts the lineage: what follows reads the table again if executors are lost.
+    Cuts the lineage: what follows reads the table again if executors are lost. The
+    shuffle files behind the table go as soon as it is written.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

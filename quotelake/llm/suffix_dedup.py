@@ -18,7 +18,6 @@ anchors, so two steps find all repeats without a row per window:
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -320,29 +319,19 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _block_rows(held)
 
 
-def _released(spark) -> None:
-    """Shuffle files of what has been written out are no longer needed."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def repeated_ranges(docs: DataFrame) -> DataFrame:
     """(doc, first, last): ranges of window starts that repeat an earlier window.
 
     ``docs`` has doc and text. Ranges may overlap and come more than once.
     """
-    spark = docs.sparkSession
     anchors = docs.mapInArrow(_anchors, "gram bigint, doc bigint, place bigint")
     often = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
     often = written(often, "grams")
-    _released(spark)
     places = anchors.join(often, "gram").groupBy("doc").agg(F.collect_list("place").alias("places"))
     places = written(places, "places")
-    _released(spark)
     shape = "gram bigint, content binary, doc bigint, place bigint, first bigint, last bigint, bytes binary"
     stretches = docs.join(places, "doc").select("doc", "text", "places").mapInArrow(_stretches, shape)
     stretches = written(stretches, "stretches")
-    _released(spark)
 
     leads = stretches.groupBy("gram", "content").agg(F.min(F.struct("doc", "place")).alias("lead"))
     leads = written(leads, "leads")
@@ -365,7 +354,6 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     blocks = blocks.repartition("gram", "part").sortWithinPartitions("gram", "part", "doc", "place")
     found = blocks.mapInArrow(_blocks, "doc bigint, first bigint, last bigint, window binary")
     found = written(found, "found")
-    _released(spark)
     open_ = found.filter("window is not null")
     earliest = open_.groupBy("window").agg(F.min(F.struct("doc", "first")).alias("lead"))
     later = open_.join(written(earliest, "earliest"), "window")
