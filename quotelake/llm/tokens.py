@@ -24,7 +24,7 @@ ID_BYTES = 4
 
 #: Units a worker remembers, as many parts of them, and the longest of these in characters. Units beyond
 #: either are encoded again; the ids are the same.
-MEMORY = 500_000
+MEMORY = 1_000_000
 LONGEST = 48
 
 #: Fixed value: ASCII marks that are neither letters, digits nor white space.
@@ -60,7 +60,8 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.spaced = self.tokenizer.normalizer is None
-        self.known, self.known_parts = Remembered(), Remembered()
+        self.known: dict[str, bytes] = {}
+        self.known_parts = Remembered()
         mark = "\u0120" if self.spaced else "</w>"
         self.edge = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, number in self.tokenizer.get_vocab().items():
@@ -135,26 +136,30 @@ class TextEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as bytes."""
-        split = [self.units(t) for t in texts]
-        new: set[str] = set()
-        for units in split:
-            if units is not None:
-                new.update(filterfalse(self.known.__contains__, units))
-        self.known.new = fresh = self._new(new)
+        known, rows, new = self.known.get, [], set()
+        for text in texts:
+            units = self.units(text)
+            ids = None if units is None else list(map(known, units))
+            if ids is not None and None in ids:
+                new.update(u for u, x in zip(units, ids) if x is None)
+            rows.append((text, units, ids))
+        fresh = self._new(new)
+        found = [self._joined(*row, fresh) for row in rows]
         if len(self.known) + len(fresh) <= MEMORY:
-            self.known.update((u, v) for u, v in fresh.items() if len(u) <= LONGEST)
-        return [self._joined(t, units) for t, units in zip(texts, split)]
+            kept = ((u, x) for u, x in fresh.items() if x is not None and len(u) <= LONGEST)
+            self.known.update(kept)
+        return found
 
-    def _joined(self, text: str, units: list[str] | None) -> bytes:
-        if units is not None:
-            found = list(map(self.known.__getitem__, units))
-            if None not in found:
-                return b"".join(found)
-        return self.whole([text])[0]
+    def _joined(self, text: str, units: list | None, ids: list | None, fresh: dict) -> bytes:
+        if ids is not None and None in ids:
+            ids = [fresh[u] if x is None else x for u, x in zip(units, ids)]
+        if ids is None or None in ids:
+            return self.whole([text])[0]
+        return b"".join(ids)
 
 
 class Remembered(dict):
-    """Ids by text, and those of the texts at hand that are not remembered."""
+    """Ids by text, and those of texts at hand that are not remembered."""
 
     def __init__(self) -> None:
         super().__init__()
@@ -164,7 +169,7 @@ class Remembered(dict):
         return self.new[text]
 
 
-def in_pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+def in_pieces(batches: Iterator[pa.RecordBatch], rows: int = 2048) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of few, so that little of a batch is held split."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
