@@ -145,9 +145,9 @@ def judge_urls(
     urls = pages.select("page_id", "url").groupBy("page_id", "url").agg(
         F.count(F.lit(1)).alias("repeats")
     )
-    urls = urls.select("page_id", "repeats", *(c.alias(n) for n, c in parts.items()))
+    urls = urls.select("page_id", "url", "repeats", *(c.alias(n) for n, c in parts.items()))
     names = [F.col(n) for n in ("host", "path", "query", "fragment")]
-    urls = urls.select("page_id", "repeats", "host", "path", url_tokens(*names).alias("tokens"))
+    urls = urls.select("page_id", "url", "repeats", "host", "path", url_tokens(*names).alias("tokens"))
 
     bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
     marks = labels.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("page_id"))
@@ -165,7 +165,8 @@ def judge_urls(
     )
     fits = F.size(F.array_except("needs", "tokens")) == 0
     best = F.max(F.when(fits, F.col("hit"))).alias("best")
-    judged = hits.groupBy("page_id", "repeats", "host", "path").agg(best)
+    # Rows still lie by page_id and url, so this shuffles nothing.
+    judged = hits.groupBy("page_id", "url", "repeats", "host", "path").agg(best)
     stated = stated_rule(F.col("host"), F.col("path"), rules, lambda r: r.text)
     verdict = stated_rule(F.col("host"), F.col("path"), rules, lambda r: r.verdict)
     method = F.when(F.col("best").isNotNull(), F.lit("block")).otherwise(F.lit(default))

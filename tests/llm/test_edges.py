@@ -140,6 +140,22 @@ def test_nothing_known_about_urls(spark):
     assert url_filters.judge_urls(pages.limit(0), labels, rules).count() == 0
 
 
+def test_urls_of_one_page_path_stay_apart(spark):
+    pages = [(None, f"http://h.test/p?{q}=1#f") for q in ("a", "b", "bad")]
+    pages += [(1, "http://h.test/p?bad=1"), (1, "http://h.test/p?a=1"), (1, "http://h.test/p?a=1"), (1, None), (1, "h.test")]
+    known = [(100 + i, f"http://h{i}.test/{i}?{'a' if i % 3 else 'bad'}=1") for i in range(90)]
+    marks = [(100 + i, int(i % 3 > 0), 0) for i in range(90)]
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int")
+    frame = spark.createDataFrame(pages + known, "page_id bigint, url string")
+    found = url_filters.judge_urls(frame, labels, []).filter("page_id is null or page_id = 1").collect()
+    key = lambda r: tuple(map(str, r))
+    shown = [(r["page_id"], r["path"], r["verdict"], r["mined_rule"] is None) for r in found]
+    assert sorted(shown, key=key) == sorted(
+        ((i, "/p" if u and "/" in u else "", *(("block", False) if u and "bad" in u else ("allow", True))) for i, u in pages),
+        key=key,
+    )
+
+
 def test_without_labels_all_is_kept(spark, odd):
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert quality.judge(odd, labels).filter(~F.col("keep")).count() == 0
