@@ -25,8 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from quotelake.llm.common import written
+from quotelake.llm.common import or_empty, written
 from quotelake.llm.tokens import in_pieces
 
 LENGTH = 100
@@ -37,8 +38,8 @@ SPAN = LENGTH - GRAM  # places an anchor can have in its window, less one
 CHUNK = 1 << 20
 BLOCK = 4096
 
-#: Documents without doc_id come before all others.
-NO_ID = -(1 << 63)
+#: Characters of a text that place it among rows of one doc_id; see ``numbered``.
+PREFIX = 256
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -375,41 +376,63 @@ def _cut(text: bytes, ranges: list[dict]) -> tuple[bytes, int, int]:
     return left, int(gone.sum()), spans
 
 
-_DIGESTED = pa.schema(
-    [("doc", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())]
-)
+def _cutting(kind: pa.DataType):
+    shape = pa.schema(
+        [("doc_id", kind), ("repeats", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
+         ("n_spans", pa.int64()), ("kept", pa.binary())]
+    )
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_pieces(batches):
+            rows = []
+            for text, ranges in zip(_texts(batch), batch.column("ranges")):
+                data, found = text.as_py() or b"", ranges.as_py()
+                left, removed, spans = _cut(data, found) if found else (data, 0, 0)
+                rows.append((len(data), removed, spans, left))
+            columns = list(zip(*rows)) if rows else [[]] * 4
+            own = [batch.column("doc_id"), batch.column("repeats")]
+            new = [pa.array(c, f.type) for c, f in zip(columns, list(shape)[2:])]
+            yield pa.RecordBatch.from_arrays([*own, *new], names=shape.names)
+
+    return cut
 
-def _cutting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in in_pieces(batches):
-        rows = []
-        for doc, text, ranges in zip(batch.column("doc").to_pylist(), _texts(batch), batch.column("ranges")):
-            data, found = text.as_py() or b"", ranges.as_py()
-            left, removed, spans = _cut(data, found) if found else (data, 0, 0)
-            rows.append((doc, len(data), removed, spans, left))
-        columns = list(zip(*rows)) if rows else [[]] * len(_DIGESTED)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(columns, _DIGESTED)], schema=_DIGESTED
-        )
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """doc, doc_id, repeats and text of every distinct (doc_id, text).
+
+    ``doc`` is unique and follows the order of (doc_id, text), nulls first. Rows are
+    dealt into ranges by the start of the text only, whose order is the text's, so no
+    whole text is sampled.
+    """
+    texts = docs.select("doc_id", or_empty("text").alias("text"))
+    folded = texts.groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("repeats"))
+    ordered = folded.repartitionByRange("doc_id", F.substring("text", 1, PREFIX))
+    ordered = ordered.sortWithinPartitions("doc_id", "text")
+    ordered = ordered.withColumn("doc", F.monotonically_increasing_id())
+    return written(ordered.select("doc", "doc_id", "repeats", "text"), "numbered")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept bytes of every whole text.
 
     Removed is each byte in a string of ``LENGTH`` bytes that also starts earlier: in
-    a document of smaller doc_id, or before in the same one. A null text is an empty
-    one; texts under ``LENGTH`` lose nothing. Rows without doc_id are one document
-    before all others. Rows that repeat a doc_id with its text are that document,
-    each with the same result; with another text, they are also cut where the other
-    repeats. Other columns are left out; an empty table gives no rows.
+    a document before it, or before in the same one. Documents are in the order of
+    doc_id, those without one first, and of their texts where doc_ids are equal. A
+    null text is an empty one; texts under ``LENGTH`` lose nothing. Rows that repeat a
+    doc_id (or its absence) with its text are one document, each with the same result;
+    rows of one doc_id, or without one, and different texts are different documents.
+    Other columns are left out; an empty table gives no rows.
     """
-    kind = docs.schema["doc_id"].dataType
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"), "text")
-    ranges = repeated_ranges(keyed)
+    field = docs.schema["doc_id"]
+    rows = numbered(docs)
+    ranges = repeated_ranges(rows.select("doc", "text"))
     # A document's ranges are as many as its anchors at most, once made distinct.
     ranges = ranges.distinct().groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
-    joined = keyed.join(ranges, "doc", "left").select("doc", "text", "ranges")
-    shape = "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
-    cut = joined.mapInArrow(_cutting, shape)
-    doc_id = F.when(F.col("doc") != NO_ID, F.col("doc")).cast(kind).alias("doc_id")
-    return cut.select(doc_id, "n_bytes", "n_removed", "n_spans", "kept")
+    joined = rows.join(ranges, "doc", "left").select("doc_id", "repeats", "text", "ranges")
+    shape = (
+        f"doc_id {field.dataType.simpleString()}, repeats bigint, n_bytes bigint, n_removed bigint, "
+        "n_spans bigint, kept binary"
+    )
+    cut = joined.mapInArrow(_cutting(to_arrow_type(field.dataType)), shape)
+    copies = F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))).alias("copy")
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept", copies).drop("copy")

@@ -186,6 +186,26 @@ def test_repeated_strings(spark, monkeypatch, block):
     assert got == without_repeats(texts)
 
 
+@pytest.mark.parametrize("block", [suffix_dedup.BLOCK, 3])
+def test_repeated_strings_of_rows_without_own_id(spark, monkeypatch, block):
+    rng = random.Random(12)
+    fresh = lambda n: "".join(rng.choices("pqrstuvw ", k=n))
+    passage = fresh(260)
+    rows = [(None, fresh(150) + fresh(300)), (None, fresh(400)), (None, passage[:150] + fresh(90)), (None, None), (None, "")]
+    rows += [(None, rows[0][1]), (3, fresh(50) + passage + fresh(50)), (3, passage[20:] + fresh(120))]
+    # Repeated rows whose gram has another stretch elsewhere, and one whose gram has none.
+    twice, alone = fresh(40) + fresh(200), fresh(220)
+    rows += [(1, twice), (1, twice), (2, twice[60:] + fresh(30)), (4, alone), (4, alone), (5, alone), (1, passage)]
+    rows += [(i, fresh(20) + passage[i : i + 140]) for i in range(6, 20)]
+    order = lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode())
+    single = sorted({(i, t or "") for i, t in rows}, key=order)
+    plain = dict(zip(single, without_repeats([t for _, t in single])))
+    monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+    found = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4))
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in found.collect()]
+    assert sorted(map(str, got)) == sorted(str((i, *plain[i, t or ""])) for i, t in rows)
+
+
 def test_stretches_of_long_texts_join(monkeypatch):
     data = np.random.default_rng(4).integers(97, 101, 5000).astype(np.uint8)
     whole = suffix_dedup.owners(data)
