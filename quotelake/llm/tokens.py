@@ -58,7 +58,8 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [token.content for token in added]
         self.spaced = self.tokenizer.normalizer is None
         self.known: dict[str, bytes] = {}
         self.known_parts = Remembered()
@@ -91,7 +92,12 @@ class TextEncoder:
         return found
 
     def units(self, text: str) -> list[str] | None:
-        """Units of a text; None where only the whole text is safe."""
+        """Units of a text; None where only the whole text is safe.
+
+        The library finds added tokens in a text before anything else.
+        """
+        if any(token in text for token in self.added):
+            return None
         if self.spaced:
             first, *rest = text.split(" ")
             return [first + "\0", *rest]

@@ -13,6 +13,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from quotelake.llm import (
     decontamination,
@@ -351,6 +352,17 @@ def test_ids_are_those_of_whole_texts(encoder, texts):
     assert encoder.encode(texts) == encoder.whole(texts)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_are_those_of_the_library(name):
+    path = public_tokenizers.path(name)
+    rng, marks = random.Random(55), ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>"]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "a<|endoftext|>b<|startoftext|>  c", "<|<|endoftext|>", ""]
+    texts += ["".join(rng.choices([*marks, " ", "a", "É", "1.", "\n"], k=12)) for _ in range(200)]
+    plain = Tokenizer.from_file(path)
+    ids = [np.frombuffer(x, "<u4").tolist() for x in TextEncoder(path).encode(texts)]
+    assert ids == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_ids_beyond_memory(encoder, monkeypatch):
     monkeypatch.setattr("quotelake.llm.tokens.MEMORY", 10)
     texts = random_texts(51, 20)
