@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.session import new_path
+from quotelake.session import new_path, shared_dir
 
 #: Spark's setting to remove shuffle files at the end of an execution.
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -43,6 +43,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(df: DataFrame) -> None:
+    """Remove a table of ``written`` whose successor is written."""
+    spark, folders = df.sparkSession, {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        inside = files.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))).toString()
+        if files.makeQualified(path).toString().startswith(inside.rstrip("/") + "/"):
+            files.delete(path, True)
+
+
 def unused_name(name: str, columns: list[str]) -> str:
     """``name``, or with underscores put before it, so that no column has it."""
     taken = {c.lower() for c in columns}

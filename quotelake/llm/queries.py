@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import decontamination, language_model, order_minhash, packing, quality, secrets, simhash, suffix_dedup, token_files, url_filters
+from quotelake.llm import (
+    decontamination,
+    divergence,
+    language_model,
+    order_minhash,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    suffix_dedup,
+    token_files,
+    top_k,
+    url_filters,
+    vector_codes,
+)
 from quotelake.llm.common import table, written
 from quotelake.llm.registry import query
 from quotelake.session import new_path
@@ -226,3 +240,113 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     token_files.write_token_ids(docs, folder, public_tokenizers.path("byte_bpe_50k.json"))
     digests = written(token_files.token_digests(spark, folder), "token-digests")
     return token_files.with_starts(digests)
+
+
+@query(
+    r"""
+with worded as (
+    select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+        unnest(regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from documents),
+kept as (select lang, term, count(*) as c from worded group by all having count(distinct r) >= 3),
+here as (select lang, source, term, count(*) as c from worded join kept using (lang, term) group by all),
+langs as (select lang, sum(c)::hugeint as n, count(*)::hugeint as v from kept group by lang),
+pairs as (select distinct coalesce(lang, '') as lang, coalesce(source, '') as source from documents),
+groups as (
+    select p.lang, p.source, coalesce(h.n, 0)::hugeint as n, coalesce(l.v, 0) as v, coalesce(l.n, 0) as lang_n
+    from pairs p left join (select lang, source, sum(c) as n from here group by all) h using (lang, source)
+    left join langs l using (lang)),
+grid as (
+    select g.lang, g.source, k.term, coalesce(h.c, 0) as c,
+        1 + 1000000000::hugeint * (coalesce(h.c, 0) + 1) // (g.n + g.v) as p,
+        1 + 1000000000::hugeint * (k.c + 1) // (g.lang_n + g.v) as q
+    from groups g join kept k using (lang) left join here h on h.lang = g.lang and h.source = g.source and h.term = k.term),
+pair as (
+    select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+    from grid a join grid b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+whole as (
+    select a.lang, a.source, b.source as item, coalesce(value, 0) as value
+    from pairs a join pairs b on a.lang = b.lang and a.source <> b.source
+    left join pair on pair.lang = a.lang and pair.source = a.source and pair.item = b.source),
+terms as (select lang, source, term as item, (p - q) * (p - q) // q as value from grid where c > 0 and p > q),
+ranked as (
+    select lang, source, 'pair' as part, item, value,
+        row_number() over (partition by lang, source order by value desc, encode(item)) as rank from whole
+    union all
+    select lang, source, 'term', item, value,
+        row_number() over (partition by lang, source order by value desc, encode(item)) from terms)
+select lang, source, part, item, value::bigint as value, rank::int as rank
+from ranked where part = 'pair' or rank <= 200
+"""
+)
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far sources lie from each other, and the terms that set each apart."""
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def _codes_sql(rounds: int = 6) -> str:
+    """Assignment and update of all codebooks, round after round."""
+    usable = "embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+    steps = f"""
+with kept as (
+    select vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::double)::bigint) as v
+    from embeddings where {usable}),
+cut as (
+    select vec_id, label, i::bigint as part, v[i * len(v) // 8 + 1:(i + 1) * len(v) // 8] as v
+    from kept, range(8) parts(i)),
+seeds as (select vec_id, row_number() over (order by vec_id) - 1 as entry from (select vec_id from kept order by vec_id limit 16)),
+book0 as materialized (select part, entry, v as e from cut join seeds using (vec_id))"""
+    far = "list_sum(list_transform(list_zip(v, e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint"
+    for i in range(rounds + 1):
+        steps += f""",
+near{i} as materialized (
+    select vec_id, part, min(struct_pack(far := {far}, entry := entry)) as best
+    from cut join book{i} using (part) group by vec_id, part)"""
+        if i < rounds:
+            steps += f""",
+mean{i} as (
+    select part, entry, place, sum(x)::bigint as s, count(*) as n
+    from (select part, best.entry as entry, unnest(v) as x, unnest(range(len(v))) as place
+        from cut join near{i} using (vec_id, part)) group by all),
+book{i + 1} as materialized (
+    select part, entry, coalesce(m.e, b.e) as e from book{i} b left join (
+        select part, entry, list((s - ((s % n) + n) % n) // n order by place) as e from mean{i} group by all) m
+    using (part, entry))"""
+    return steps + f""",
+coded as (
+    select vec_id, string_agg(printf('%02x', best.entry), '' order by part) as code, sum(best.far)::bigint as error
+    from near{rounds} group by vec_id),
+labelled as (select kept.vec_id, label, code, error from kept join coded using (vec_id)),
+sums as (select label, sum(error)::bigint as label_error from labelled group by label)
+select vec_id, code, error, label_error,
+    (select sha256(string_agg(array_to_string(e, ','), ',' order by part, entry)) from book{rounds}) as codebooks_sha256
+from labelled join sums on labelled.label is not distinct from sums.label
+"""
+
+
+@query(_codes_sql())
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector, and the digest of the codebooks."""
+    codes, books = vector_codes.fit_codes(table(spark, sf_dir, "embeddings"))
+    found = vector_codes.with_label_error(codes).drop("label")
+    return found.withColumn("codebooks_sha256", F.lit(vector_codes.codebook_digest(books)))
+
+
+@query(
+    """
+with kept as (
+    select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as v
+    from embeddings where embedding is not null and len(embedding) > 0
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+    select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+    from kept q join kept c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 10
+"""
+)
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best matches of every hundredth vector."""
+    return top_k.top_matches(table(spark, sf_dir, "embeddings"))
