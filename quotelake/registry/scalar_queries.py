@@ -40,7 +40,7 @@ def build_product_id(fx):
 def expiry_from_filename(fx):
     from quotelake.session import new_path
     from quotelake.sources.calendar import report_files
-    from quotelake.sources.official import by_file
+    from quotelake.sources.folders import by_file
 
     path = new_path(fx.spark, "by-expiry")
     code = F.substring("prod_id", 9, 2)

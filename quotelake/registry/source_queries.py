@@ -11,7 +11,7 @@ from quotelake.operators import index_series, statistics
 from quotelake.registry.base import query
 from quotelake.registry.fixtures import Fixture
 from quotelake.session import new_path
-from quotelake.sources import alerts, calendar, index_files, official, ticks
+from quotelake.sources import alerts, calendar, folders, index_files, official, ticks
 
 TICK_LIST = ["trade_date", "seqno", "tick_time", "prod_id", "bid", "ask"]
 
@@ -316,6 +316,12 @@ def alert_list(fx):
     )
 
 
+def run_twice(write, rows: DataFrame, path: str) -> None:
+    """All dates, then those of even days again: their files are replaced."""
+    write(rows, path)
+    write(rows.where(F.dayofmonth("trade_date") % 2 == 0), path)
+
+
 WIDE_LIST = (
     "trade_date, term, time, strike, c_bid, c_ask, p_bid, p_ask, c_source, p_source, c_last_bid, "
     "c_last_sysid, c_last_outlier, p_min_ask, p_min_outlier, c_ema, p_ema, c_gamma, p_gamma, snapshot_sysid"
@@ -325,7 +331,7 @@ WIDE_LIST = (
 @query(f"select {WIDE_LIST} from fx_official_wide", rounded=("c_ema", "p_ema"))
 def write_quotes_wide(fx):
     path = new_path(fx.spark, "wide")
-    official.write_quotes_wide(fx.view("fx_official_wide"), path)
+    run_twice(official.write_quotes_wide, fx.view("fx_official_wide"), path)
     return official.read_computed_wide(fx.spark, path).select(*WIDE_LIST.split(", "))
 
 
@@ -336,7 +342,7 @@ from fx_official_index"""
 )
 def write_index(fx):
     path = new_path(fx.spark, "index")
-    index_files.write_index(fx.view("fx_official_index"), path)
+    run_twice(index_files.write_index, fx.view("fx_official_index"), path)
     names = ["time", "near_sigma2", "next_sigma2", "near_type", "next_type", "published", "original"]
     inverse = {v: k for k, v in schemas.SIGMA_COLUMNS.items()}
     first = (
@@ -364,7 +370,7 @@ def write_diffs(fx):
     from quotelake.registry.comparison_queries import diffs_of
 
     path = new_path(fx.spark, "diffs")
-    official.write_diffs(diffs_of(fx), path)
+    run_twice(official.write_diffs, diffs_of(fx), path)
     return official.read_diffs(fx.spark, path)
 
 
@@ -374,7 +380,7 @@ def write_diffs(fx):
 )
 def write_stage1(fx):
     path = new_path(fx.spark, "stage1")
-    official.write_stage1(fx.long_quotes, path)
+    run_twice(official.write_stage1, fx.long_quotes, path)
     return fx.spark.read.parquet(path).select(
         "trade_date", "term", "strike", "cp", "time", "last_bid", "last_ask", "last_valid",
         "min_bid", "min_ask", "min_spread",
@@ -388,7 +394,7 @@ def list_dates(fx):
         F.lit("validation_diff_"), F.date_format("trade_date", "yyyyMMdd"), F.lit(".csv")
     )
     rows = fx.view("fx_times").select("sysid", name.alias("report"))
-    official.by_file(rows, ["report"]).write.partitionBy("report").csv(path)
+    folders.by_file(rows, ["report"]).write.partitionBy("report").csv(path)
     return calendar.list_dates(calendar.report_files(fx.spark, path))
 
 

@@ -14,7 +14,7 @@ from quotelake.schemas import (
     SIGMA_COLUMNS,
 )
 from quotelake.sources.headers import exact_names, read_by_header
-from quotelake.sources.official import by_file
+from quotelake.sources.folders import by_file, replace_folders
 
 
 def _read(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
@@ -104,14 +104,10 @@ def original_file_rows(index: DataFrame) -> DataFrame:
     )
 
 
-def write_index(index: DataFrame, path: str) -> None:
-    """Both index files, in folders per date."""
+def write_index(index: DataFrame, path: str, dates: list[str] | None = None) -> None:
+    """Both index files, in folders per date; dates that are run again replace theirs."""
     inverse = {v: k for k, v in SIGMA_COLUMNS.items()}
     day = ["trade_date"]
     rows = index_file_rows(index).withColumnsRenamed(inverse)
-    by_file(rows, day).write.partitionBy(*day).option("sep", "\t").option("header", True).csv(
-        f"{path}/index"
-    )
-    by_file(original_file_rows(index), day).write.partitionBy(*day).option("sep", "\t").option(
-        "header", False
-    ).csv(f"{path}/original")
+    replace_folders(rows, day, f"{path}/index", dates, sep="\t", header=True)
+    replace_folders(original_file_rows(index), day, f"{path}/original", dates, sep="\t", header=False)

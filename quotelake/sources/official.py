@@ -14,6 +14,7 @@ from quotelake.schemas import (
     column_name,
     file_column,
 )
+from quotelake.sources.folders import NO_KEY, replace_folders
 from quotelake.sources.headers import exact_names, read_by_header
 
 PRICE_ENDINGS = ("bid", "ask", "ema", "gamma")
@@ -80,25 +81,18 @@ def read_computed_wide(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*_keys(raw), *[_typed(n) for n in names])
 
 
-def by_file(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Bring the rows of a folder together before writing.
+def write_quotes_wide(wide: DataFrame, path: str, dates: list[str] | None = None) -> None:
+    """Wide CSV files in the fixed column order, one folder per date and term.
 
-    A rebalance, so adaptive execution splits a large folder over several tasks
-    and merges small ones, instead of every task writing into every folder.
+    Dates that are run again replace their folders; others are left alone
+    (:func:`replace_folders`, also for ``dates``).
     """
-    return rows.hint("rebalance", *[F.col(k) for k in keys])
-
-
-def write_quotes_wide(wide: DataFrame, path: str) -> None:
-    """Wide CSV files in the fixed column order, one folder per date and term."""
     keys = _keys(wide)
     columns = [
         F.col(column_name(c)).cast("string").alias(file_column(column_name(c)))
         for c in WIDE_QUOTE_COLUMNS
     ]
-    by_file(wide.select(*keys, *columns), keys).write.partitionBy(*keys).option(
-        "header", True
-    ).csv(path)
+    replace_folders(wide.select(*keys, *columns), keys, path, dates, header=True)
 
 
 def write_official(
@@ -121,13 +115,11 @@ def write_official(
         ),
         {"date", "time"},
     )
-    by_file(body.unionByName(start), keys).write.partitionBy(*keys).option(
-        "header", True
-    ).option("sep", "\t").csv(path)
+    replace_folders(body.unionByName(start), keys, path, header=True, sep="\t")
 
 
-def diff_file_rows(diffs: DataFrame) -> DataFrame:
-    """Differences under the column names of the report file."""
+def _named_diffs() -> list[Column]:
+    """A difference under the column names of the report file."""
     source = dict(
         zip(
             DIFF_COLUMNS,
@@ -136,19 +128,27 @@ def diff_file_rows(diffs: DataFrame) -> DataFrame:
             strict=True,
         )
     )
-    named = [
+    return [
         (F.date_format(c, "yyyyMMdd") if c == "trade_date" else F.col(c)).alias(out)
         for out, c in source.items()
     ]
-    return diffs.select(*named)
 
 
-def write_diffs(diffs: DataFrame, path: str) -> None:
-    """Difference report, written once; without differences it is a header only.
+def write_diffs(diffs: DataFrame, path: str, dates: list[str] | None = None) -> None:
+    """Difference reports, one folder per date, which a run of that date replaces.
 
-    Spark writes the header even where there are no rows.
+    ``dates`` (``YYYY-MM-DD``) are the dates that were compared: one without differences
+    gets a report with a header only, in place of what it had. Without ``dates`` and
+    without differences there is one such report of no date.
     """
-    diff_file_rows(diffs).write.option("header", True).csv(path)
+    rows = diffs.select("trade_date", *_named_diffs())
+    fresh = replace_folders(rows, ["trade_date"], path, dates, header=True)
+    silent = {f"trade_date={d}" for d in dates or ()} - fresh
+    if not fresh and not dates:
+        silent = {f"trade_date={NO_KEY}"}
+    for folder in sorted(silent):
+        empty = rows.sparkSession.createDataFrame([], rows.drop("trade_date").schema)
+        empty.write.mode("overwrite").option("header", True).csv(f"{path}/{folder}")
 
 
 def read_diffs(spark: SparkSession, path: str) -> DataFrame:
@@ -168,7 +168,7 @@ def read_diffs(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def write_stage1(long: DataFrame, path: str) -> None:
-    """Intermediate long table as Parquet, partitioned by date and term."""
-    keys = ["trade_date", "term"]
-    by_file(long, keys).write.partitionBy(*keys).parquet(path)
+def write_stage1(long: DataFrame, path: str, dates: list[str] | None = None) -> None:
+    """Intermediate long table as Parquet, partitioned by date and term; dates that are
+    run again replace their folders."""
+    replace_folders(long, ["trade_date", "term"], path, dates)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quotelake.functions.quotes import text_to_price
 from quotelake.schemas import TICK_COLUMNS
 from quotelake.sources.headers import exact_names, read_by_header
-from quotelake.sources.official import by_file
+from quotelake.sources.folders import by_file
 
 # How a loosely named header maps to a tick column.
 HEADER_HINTS = {
