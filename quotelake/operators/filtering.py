@@ -90,23 +90,6 @@ def _next_ema(prev: np.ndarray, spread: np.ndarray, cfg: EngineConfig) -> np.nda
     return np.where(np.isnan(spread), prev, moved)
 
 
-class EmaFold:
-    """Exponential average of one column over blocks of rows in series order."""
-
-    def __init__(self, cfg: EngineConfig):
-        self.cfg = cfg
-        self.carry = np.nan
-
-    def block(self, restart: np.ndarray, spread: np.ndarray) -> np.ndarray:
-        runs = Runs(restart)
-        state = runs.initial(self.carry)
-        out = np.empty(len(restart))
-        for at in runs:
-            state[: len(at)] = out[at] = _next_ema(state[: len(at)], spread[at], self.cfg)
-        self.carry = out[-1]
-        return out
-
-
 def _gamma(bid, mid, prev_mid, cfg):
     basic = np.isnan(bid) | (bid == 0) | np.isnan(mid)
     falling = mid <= prev_mid + cfg.mid_tolerance
@@ -259,15 +242,8 @@ def fold_quotes(
     return stream_blocks(batches, block, cfg.fold_rows)
 
 
-def fold_ema(
-    batches: Iterator[pa.RecordBatch], spread: str, cfg: EngineConfig
-) -> Iterator[pa.RecordBatch]:
-    fold = EmaFold(cfg)
-
-    def block(restart, table):
-        return {"ema": _nullable(fold.block(restart, _floats(table.column(spread))))}
-
-    return stream_blocks(batches, block, cfg.fold_rows)
+#: Rows of a session that are folded as one array.
+EMA_BLOCK = 64
 
 
 def ema_spread(
@@ -277,16 +253,64 @@ def ema_spread(
     spread: str = "min_spread",
     time: str = "time",
     cfg: EngineConfig = DEFAULT,
+    block: int = EMA_BLOCK,
 ) -> DataFrame:
     """Add ``ema``, the exponential average of the spread within each session.
 
-    The recurrence is run as it is defined, so its value is the same to the
-    last bit as inside the quote filter, however long a session lasts.
+    A step of the recurrence is an affine map ``x -> a x + b``: the identity where the
+    spread is missing, a constant at the session's first spread. A scan in segments:
+    sessions are cut into blocks of bounded length, each block's maps are composed into
+    one, a window over the blocks composes those before a block into its start value,
+    and from there the block's own rows take the recurrence as it is defined. All of
+    it stays in the rows' one partitioning by series, with no Python. Sums run in another
+    order than one long fold, so values agree with it but for the last digits.
     """
-    restart = session_restart(keys, order, F.col(time), cfg).alias("restart")
-    flat = rows.select("*", restart).sortWithinPartitions(*keys, order)
-    schema = T.StructType([*flat.schema.fields, T.StructField("ema", T.DoubleType())])
-    return flat.mapInArrow(lambda it: fold_ema(it, spread, cfg), schema).drop("restart")
+    series = Window.partitionBy(*keys).orderBy(order)
+    session = Window.partitionBy(*keys, "__session").orderBy(order)
+    row = F.struct(*rows.columns)
+    numbered = (
+        rows.select(*keys, order, row.alias("__row"), F.col(spread).cast("double").alias("__spread"),
+                    session_restart(keys, order, F.col(time), cfg).alias("__restart"))
+        .withColumn("__session", F.sum(F.col("__restart").cast("int")).over(series))
+        .withColumn("__n", F.row_number().over(session))
+        .withColumn("__known", F.count("__spread").over(session))
+    )
+    element = F.struct(
+        F.col("__n").alias("n"), F.col("__spread").alias("spread"),
+        (F.col("__known") == 1).alias("first"), F.col("__row").alias("row"),
+    )
+    in_order = F.array_sort(F.collect_list(element), lambda x, y: x["n"] - y["n"])
+    number = F.floor((F.col("__n") - 1) / block).alias("__block")
+    blocks = numbered.groupBy(*keys, "__session", number).agg(in_order.alias("__rows"))
+
+    alpha, rest = F.lit(cfg.alpha), F.lit(1 - cfg.alpha)
+    missing = lambda r: r["spread"].isNull()
+    compose = lambda m, r: F.struct(
+        F.when(missing(r), m["a"]).when(r["first"], 0.0).otherwise(alpha * m["a"]).alias("a"),
+        F.when(missing(r), m["b"]).when(r["first"], r["spread"])
+        .otherwise(alpha * m["b"] + rest * r["spread"]).alias("b"),
+    )
+    identity = F.struct(F.lit(1.0).alias("a"), F.lit(0.0).alias("b"))
+    nothing = F.lit(None).cast("double")
+    before = Window.partitionBy(*keys, "__session").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    # A constant map has a value also where nothing came before it.
+    start = F.aggregate("__maps", nothing, lambda x, m: F.when(m["a"] == 0, m["b"]).otherwise(m["a"] * x + m["b"]))
+    step = lambda x, r: (
+        F.when(missing(r), x).when(r["first"], r["spread"]).otherwise(alpha * x + rest * r["spread"])
+    )
+    run = F.aggregate(
+        "__rows",
+        F.struct(start.alias("x"), F.array().cast("array<double>").alias("out")),
+        lambda s, r: F.struct(step(s["x"], r).alias("x"), F.concat(s["out"], F.array(step(s["x"], r))).alias("out")),
+        lambda s: s["out"],
+    )
+    return (
+        blocks.withColumn("__map", F.aggregate("__rows", identity, compose))
+        .withColumn("__maps", F.collect_list("__map").over(before))
+        .withColumn("__out", run)
+        .select("__out", F.posexplode("__rows").alias("__at", "__element"))
+        .select("__element.row.*", F.element_at("__out", F.col("__at") + 1).alias("ema"))
+    )
 
 
 def filter_book(book: DataFrame, cfg: EngineConfig = DEFAULT) -> DataFrame:
