@@ -21,7 +21,7 @@ from quotelake.functions.quotes import derive_mid, derive_spread, is_true, valid
 from quotelake.functions.times import tick_clock
 from quotelake.operators.intervals import assign_intervals
 from quotelake.operators.schedule import schedule_entries, schedule_keys, strike_grid
-from quotelake.session import bounded_broadcast, fits
+from quotelake.session import bounded_broadcast, fits, written_once
 
 SERIES = ["trade_date", "term", "strike"]
 # Above every 64-bit sequence number.
@@ -262,6 +262,50 @@ def long_to_book(long: DataFrame) -> DataFrame:
     )
 
 
+def asof_last(ticks: DataFrame, schedule: DataFrame) -> DataFrame:
+    """Newest quote of each side of every quoted strike at each snapshot.
+
+    Ticks and snapshot markers are one table, put in order of series and sequence number
+    by range, where a marker takes the last tick before it; a tick with the marker's own
+    number counts. Ranges cut a series wherever it is large, so a product with a third
+    of all ticks lies in as many partitions as its rows need. A range starts with the
+    newest quote that the ranges before it left, one row each. No bucket width and no
+    broadcast is involved, however many snapshots there are.
+    """
+    sides = F.explode(F.array(*map(F.lit, SIDES.values()))).alias("cp")
+    grid = strike_grid(schedule, ticks.select(*SERIES).distinct())
+    series = [*SERIES, "cp"]
+    quote = F.struct(
+        F.col("bid").alias("raw_bid"), F.col("ask").alias("raw_ask"), F.col("seqno").alias("raw_sysid")
+    )
+    quotes = ticks.select(*series, "seqno", F.lit(0).alias("marker"), quote.alias("quote"))
+    markers = grid.select(*SERIES, sides, F.col("sysid").alias("seqno"), F.lit(1).alias("marker"), "idx", "time")
+    placed = (
+        quotes.unionByName(markers, allowMissingColumns=True)
+        .repartitionByRange(*series, "seqno", "marker", "idx")
+        .withColumn("part", F.spark_partition_id())
+    )
+    in_part = Window.partitionBy("part", *series).orderBy("seqno", "marker", "idx")
+    known = written_once(
+        placed.withColumn("known", F.last("quote", ignorenulls=True).over(in_part))
+        .withColumn("is_end", F.lead("marker").over(in_part).isNull())
+        .where("marker = 1 or is_end")
+        .select(*series, "part", "marker", "idx", "time", "known", "is_end")
+    )
+    earlier = Window.partitionBy(*series).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    left = known.where("is_end").select(
+        *series, "part", F.last("known", ignorenulls=True).over(earlier).alias("left")
+    )
+    shown = known.where("marker = 1").join(left, [*series, "part"], "left")
+    quoted = F.max("at.raw_sysid").over(Window.partitionBy(*SERIES)).isNotNull()
+    return (
+        shown.withColumn("at", F.coalesce("known", "left"))
+        .withColumn("quoted", quoted)
+        .where("quoted")
+        .select(*series, "idx", "time", "at.*")
+    )
+
+
 def last_quote(placed: DataFrame, keys: list[str]) -> DataFrame:
     """Newest quote per group of already placed ticks."""
     picked = newest(

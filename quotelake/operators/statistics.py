@@ -184,10 +184,53 @@ def grid_reconcile(quotes: DataFrame) -> DataFrame:
     )
 
 
-def first_seen(filtered: DataFrame) -> DataFrame:
-    """First time each side of a strike has a source, and how often it has none."""
+SIDE_SERIES = ["trade_date", "term", "strike", "cp"]
+
+
+def _first_source(quotes: DataFrame) -> DataFrame:
     own = F.when(F.col("source").isNotNull(), time_to_int(F.col("time")))
-    found = filtered.groupBy("trade_date", "term", "strike", "cp").agg(
+    return quotes.groupBy(*SIDE_SERIES).agg(
         F.min(own).alias("first"), F.count_if(F.col("source").isNull()).alias("times_without")
     )
+
+
+def _too_early() -> Column:
+    """Whether a time is before its series' first source; always, where it has none."""
+    return F.coalesce(F.col("clock") < F.col("first"), F.lit(True))
+
+
+def diffs_by_time(quotes: DataFrame, diffs: DataFrame) -> DataFrame:
+    """Number of differences of each side of a strike at each time that has any, beside the
+    first time that side has a source.
+
+    ``before_first`` marks times before it. Differences are counted on the map side; a
+    series of one side only in ``diffs`` has no first time.
+    """
+    counted = diffs.groupBy(*SIDE_SERIES, time_to_int(F.col("time")).alias("clock")).agg(
+        F.count(F.lit(1)).alias("diffs")
+    )
+    return counted.join(_first_source(quotes), SIDE_SERIES, "left").select(
+        *SIDE_SERIES,
+        pad_time(F.col("clock")).alias("time"),
+        "diffs",
+        pad_time(F.col("first")).alias("first_time"),
+        _too_early().alias("before_first"),
+    )
+
+
+def first_seen(quotes: DataFrame, diffs: DataFrame | None = None) -> DataFrame:
+    """First time each side of a strike has a source, and how often it has none.
+
+    With ``diffs`` also how many differences the series has, and how many of them at
+    times before its first source. One row a series, quotes and differences folded
+    before they meet.
+    """
+    found = _first_source(quotes)
+    if diffs is not None:
+        times = diffs_by_time(quotes, diffs)
+        early = F.when(F.col("before_first"), F.col("diffs"))
+        totals = times.groupBy(*SIDE_SERIES).agg(
+            F.sum("diffs").alias("diffs"), F.sum(early).alias("diffs_before")
+        )
+        found = found.join(totals, SIDE_SERIES, "left").fillna(0, ["diffs", "diffs_before"])
     return found.withColumn("first_time", pad_time(F.col("first"))).drop("first")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quotelake.operators import comparison, index_series, statistics
+from quotelake.operators import comparison, index_series, reshape, statistics
 from quotelake.operators import schedule as scheduling
 from quotelake.operators import terms
 from quotelake.operators.reshape import SIDE_MEASURES
+from quotelake.plans import reconciliation
 from quotelake.registry.base import query
 from quotelake.registry.views import MEASURES
 from quotelake.sources.calendar import calendar_around
@@ -199,10 +200,26 @@ def grid_reconcile(fx):
     return statistics.grid_reconcile(fx.book)
 
 
+def _sourced(fx):
+    """Sides of our series with their source, and how they differ from the official ones."""
+    ours, official = fx.view("fx_ours_series"), fx.view("fx_official_series")
+    quotes = reshape.unpivot_quotes(ours, KEYS, ["source"])
+    return quotes, reconciliation.diff_report(ours, official)
+
+
 @query(
-    """select trade_date, term, strike, cp, min(time) filter (where source is not null) as first_time, count(*) filter (where source is null) as times_without from o_fold group by all"""
+    """select f.*, coalesce(d.diffs, 0) as diffs, coalesce(d.early, 0) as diffs_before
+from o_series_first f left join (
+ select trade_date, term, strike, cp, sum(diffs)::bigint as diffs, sum(diffs) filter (where first_time is null or time < first_time)::bigint as early
+ from o_series_times left join o_series_first using (trade_date, term, strike, cp) group by all) d using (trade_date, term, strike, cp)"""
 )
 def first_seen(fx):
-    from quotelake.plans.quotes import filtered_long
+    return statistics.first_seen(*_sourced(fx))
+
 
-    return statistics.first_seen(filtered_long(fx.book))
+@query(
+    """select trade_date, term, strike, cp, time, diffs, first_time, first_time is null or time < first_time as before_first
+from o_series_times left join o_series_first using (trade_date, term, strike, cp)"""
+)
+def diffs_by_time(fx):
+    return statistics.diffs_by_time(*_sourced(fx))

@@ -47,9 +47,9 @@ def index_pipeline(fx):
     ).select(*INDEX)
 
 
-@query('select trade_date, term, time, strike, cp, "column", ours, official, sysid, 0 as prev_sysid from o_diffs')
+@query('select trade_date, term, time, strike, cp, "column", ours, official, sysid, prev_sysid from o_series_diffs')
 def diff_report(fx):
-    return reconciliation.diff_report(fx.view("fx_ours_wide"), fx.view("fx_official_wide"))
+    return reconciliation.diff_report(fx.view("fx_ours_series"), fx.view("fx_official_series"))
 
 
 @query(

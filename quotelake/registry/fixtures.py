@@ -14,6 +14,13 @@ from quotelake.functions.products import parse_product
 from quotelake.operators import schedule, snapshots, terms
 from quotelake.session import small_table
 
+#: What a wide row compares, by side.
+SERIES_VALUES = ", ".join(
+    f"o.{side}_{name}"
+    for side in ("c", "p")
+    for name in ("ema", "gamma", "bid", "ask", "last_bid", "last_ask", "min_bid", "min_ask")
+)
+
 FX = {
     "fx_ticks": """
 select ts, event_id + 1 as seqno, cast(ts as date) as trade_date, hour(ts) as hh, minute(ts) as mi,
@@ -90,6 +97,19 @@ select trade_date, time, term, strike, case when strike % 97 = 0 then null else
  case when strike % 43 = 0 then '-' else p_min_outlier end as p_min_outlier,
  c_last_sysid, p_last_sysid, c_min_sysid, p_min_sysid, snapshot_sysid
 from {fx_official_wide} o where strike % 211 <> 0""",
+    # The same rows as series: strikes that come again at other times of a day, some without
+    # a sequence number or a source.
+    "fx_series": """
+select strike as row_id, cast(20000 + 50 * row_number() over (partition by trade_date, term, time order by strike) as int) as strike
+from {fx_official_wide} o""",
+    "fx_official_series": f"""
+select o.trade_date, o.time, o.term, s.strike, {SERIES_VALUES}, o.c_source, o.p_source,
+ case when o.strike % 5 = 0 then null else o.c_last_sysid end as c_last_sysid, o.p_last_sysid
+from {{fx_official_wide}} o join {{fx_series}} s on o.strike = s.row_id""",
+    "fx_ours_series": f"""
+select o.trade_date, o.time, o.term, s.strike, {SERIES_VALUES},
+ case when o.strike % 4 < 2 then null else o.c_source end as c_source, o.p_source, o.c_last_sysid, o.p_last_sysid
+from {{fx_ours_wide}} o join {{fx_series}} s on o.strike = s.row_id""",
     # Sides and rows that one of two sources lacks.
     "fx_one_sided": """
 select trade_date, time, strike, 'Call' as cp, c_bid as bid, c_ask as ask from {fx_official_wide} o where strike % 3 <> 0

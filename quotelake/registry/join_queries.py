@@ -41,7 +41,8 @@ def interval_join(fx):
 
 @query("select trade_date, term, strike, cp, idx, time, raw_bid, raw_ask, raw_sysid from o_raw_asof")
 def asof_last(fx):
-    return fx.long_quotes.select(*CELL, "time", "raw_bid", "raw_ask", "raw_sysid")
+    found = snapshots.asof_last(fx.term_ticks, fx.schedule)
+    return found.select(*CELL, "time", "raw_bid", "raw_ask", "raw_sysid")
 
 
 @query("select trade_date, term, strike, cp, idx, time, sysid, prev_sysid from o_grid")

@@ -246,6 +246,27 @@ select o.trade_date, o.term, o.time, o.strike, o.cp, f.last_sysid as sysid, f.pr
         for m, label in MEASURES.items()
     ),
     "o_alert_rows": "select * from fx_alert_rows",
+    "o_ours_series": _long("fx_ours_series"),
+    "o_series_prev": f"""
+select *, coalesce(lag(coalesce(last_sysid, 0)) over (partition by trade_date, term, strike, cp order by time), 0) as prev_sysid
+from ({_long("fx_official_series")}) x""",
+    "o_series_matched": """
+select o.trade_date, o.term, o.time, o.strike, o.cp, f.last_sysid as sysid, f.prev_sysid, """
+    + ", ".join(f"o.{m} as {m}_ours, f.{m} as {m}_official" for m in MEASURES)
+    + """ from o_ours_series o join o_series_prev f using (trade_date, term, time, strike, cp)""",
+    "o_series_diffs": " union all ".join(
+        f"select trade_date, term, time, strike, cp, sysid, prev_sysid, '{label}' as \"column\", "
+        f"{m}_ours as ours, {m}_official as official from o_series_matched "
+        f"where ({m}_ours is null) <> ({m}_official is null) or abs({m}_ours - {m}_official) > 1e-4"
+        for m, label in MEASURES.items()
+    ),
+    "o_series_first": " union all ".join(
+        f"""select trade_date, term, strike, '{cp}' as cp, min(time) filter (where {p}_source is not null) as first_time,
+ count(*) filter (where {p}_source is null) as times_without from fx_ours_series group by all"""
+        for cp, p in (("Call", "c"), ("Put", "p"))
+    ),
+    "o_series_times": """
+select trade_date, term, strike, cp, time, count(*) as diffs from o_series_diffs group by all""",
 }
 
 RECURSIVE = ("o_fold", "o_publish")

@@ -13,20 +13,11 @@ CELL = ["trade_date", "term", "strike", "cp", "idx"]
 SERIES = ["trade_date", "term", "strike", "cp"]
 
 
-@query("select trade_date, term, time, strike, cp, last_sysid, prev_sysid from o_official_prev")
+@query("select trade_date, term, time, strike, cp, last_sysid, prev_sysid from o_series_prev")
 def prev_sysid(fx):
-    rows = reconciliation.long_measures(fx.view("fx_official_wide")).withColumn(
-        "series", F.col("strike") % 50
-    )
-    # Strikes are unique in the fixture, so a series takes every fiftieth.
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("trade_date", "term", "series", "cp").orderBy("time", "strike")
-    ranked = rows.withColumn("clock", F.col("time")).withColumn("time", F.row_number().over(order))
-    found = comparison.prev_sysid(ranked, ["trade_date", "term", "series", "cp"])
-    return found.select(
-        "trade_date", "term", F.col("clock").alias("time"), "strike", "cp", "last_sysid", "prev_sysid"
-    )
+    rows = reconciliation.long_measures(fx.view("fx_official_series"))
+    found = comparison.prev_sysid(rows, SERIES)
+    return found.select("trade_date", "term", "time", "strike", "cp", "last_sysid", "prev_sysid")
 
 
 @query("select trade_date, term, strike, cp, idx, time, min_spread, ema from o_fold", rounded=("min_spread", "ema"))
