@@ -11,7 +11,7 @@ from quotelake.operators import index_series, statistics
 from quotelake.registry.base import query
 from quotelake.registry.fixtures import Fixture
 from quotelake.session import new_path
-from quotelake.sources import alerts, calendar, folders, index_files, official, ticks
+from quotelake.sources import alerts, calendar, folders, index_files, official, tick_store, ticks
 
 TICK_LIST = ["trade_date", "seqno", "tick_time", "prod_id", "bid", "ask"]
 
@@ -387,6 +387,36 @@ def write_stage1(fx):
     )
 
 
+def _store(fx) -> str:
+    path = new_path(fx.spark, "tick-store")
+    run_twice(tick_store.write_tick_store, fx.parsed, path)
+    return path
+
+
+@query("select trade_date, term, strike, cp, seqno, tick_time, bid, ask from o_tt")
+def read_term_ticks(fx):
+    """Near and next ticks from folders by expiry, of which the others are not opened."""
+    found = tick_store.read_term_ticks(fx.spark, _store(fx))
+    return found.select("trade_date", "term", "strike", "cp", "seqno", "tick_time", "bid", "ask")
+
+
+REQUESTED = "t.trade_date = s.trade_date and s.trade_date = date '2024-01-05' and s.idx = 12 and t.term = 'Near' and t.strike = 20100 and t.cp = 'Call'"
+
+
+@query(
+    f"""select 'current' as part, t.trade_date, t.term, t.strike, t.cp, t.seqno, t.bid, t.ask from o_tt t join o_schedule s
+ on {REQUESTED} and t.seqno > s.prev_sysid and t.seqno <= s.sysid
+union all select 'prev', t.trade_date, t.term, t.strike, t.cp, t.seqno, t.bid, t.ask from o_tt t join o_schedule s
+ on {REQUESTED} and t.seqno > s.prev_sysid - 500 and t.seqno <= s.prev_sysid"""
+)
+def request_ticks(fx):
+    """Ticks of one snapshot of one series, read by the bounds of the question."""
+    at = fx.schedule.where("trade_date = date '2024-01-05' and idx = 12").first()
+    request = tick_store.TickRequest("2024-01-05", "Near", 20100, "Call", at["sysid"], at["prev_sysid"])
+    found = tick_store.request_ticks(fx.spark, _store(fx), request)
+    return found.select("part", "trade_date", "term", "strike", "cp", "seqno", "bid", "ask")
+
+
 @query("select distinct trade_date from fx_times")
 def list_dates(fx):
     path = new_path(fx.spark, "reports")

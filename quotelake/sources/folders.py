@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,9 +41,15 @@ def folder_files(spark: SparkSession, path: str) -> dict[str, set[str]]:
 
 
 def replace_folders(
-    rows: DataFrame, keys: list[str], path: str, dates: list[str] | None = None, **options
+    rows: DataFrame,
+    keys: list[str],
+    path: str,
+    dates: list[str] | None = None,
+    kind: str = "csv",
+    layout: Callable[[DataFrame, list[str]], DataFrame] = by_file,
+    **options,
 ) -> set[str]:
-    """Write delimited text, or Parquet without options, into folders ``key=value/...``.
+    """Write files of a ``kind`` into folders ``key=value/...``, spread over tasks by ``layout``.
 
     Every folder that gets rows is replaced as a whole (dynamic partition overwrite), and
     so are the other folders of a date that does; ``dates`` (texts as in the folders'
@@ -52,9 +59,8 @@ def replace_folders(
     """
     spark = rows.sparkSession
     before = folder_files(spark, path)
-    writer = by_file(rows, keys).write.mode("overwrite").partitionBy(*keys)
-    writer = writer.option("partitionOverwriteMode", "dynamic").options(**options)
-    writer.csv(path) if options else writer.parquet(path)
+    writer = layout(rows, keys).write.mode("overwrite").partitionBy(*keys).format(kind)
+    writer.option("partitionOverwriteMode", "dynamic").options(**options).save(path)
     after = folder_files(spark, path)
     fresh = {folder for folder, names in after.items() if names != before.get(folder)}
     day = lambda folder: folder.split("/")[0]

@@ -171,4 +171,4 @@ def read_diffs(spark: SparkSession, path: str) -> DataFrame:
 def write_stage1(long: DataFrame, path: str, dates: list[str] | None = None) -> None:
     """Intermediate long table as Parquet, partitioned by date and term; dates that are
     run again replace their folders."""
-    replace_folders(long, ["trade_date", "term"], path, dates)
+    replace_folders(long, ["trade_date", "term"], path, dates, "parquet")
