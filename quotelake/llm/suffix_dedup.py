@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from quotelake.llm.common import or_empty, written
+from quotelake.llm.common import or_empty, removed, written
 from quotelake.llm.tokens import in_pieces
 
 LENGTH = 100
@@ -132,12 +132,12 @@ def _digest(*parts: bytes) -> bytes:
 
 _STRETCH = pa.schema(
     [("gram", pa.int64()), ("content", pa.binary()), ("doc", pa.int64()), ("place", pa.int64()),
-     ("first", pa.int64()), ("last", pa.int64()), ("bytes", pa.binary())]
+     ("first", pa.int64()), ("last", pa.int64())]
 )
 
 
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stretches of the anchors in ``places``, with the bytes of their windows."""
+    """Stretches of the anchors in ``places``; ``content`` is a digest of their windows' bytes."""
     for batch in in_pieces(batches):
         rows: list[list] = [[] for _ in _STRETCH]
         for doc, text, places in zip(
@@ -149,9 +149,9 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             signed = hashes.view(np.int64)
             for i in keep.tolist():
                 a, b = int(first[i]), int(last[i])
-                around = data[a : b + LENGTH]
                 offset = (int(own[i]) - a).to_bytes(4, "little")
-                values = (int(signed[i]), _digest(offset, around), doc, int(own[i]), a, b, around)
+                content = _digest(offset, data[a : b + LENGTH])
+                values = (int(signed[i]), content, doc, int(own[i]), a, b)
                 for column, value in zip(rows, values):
                     column.append(value)
         yield pa.RecordBatch.from_arrays(
@@ -159,6 +159,28 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+_CONTEXT = pa.schema(
+    [("gram", pa.int64()), ("doc", pa.int64()), ("place", pa.int64()), ("first", pa.int64()),
+     ("last", pa.int64()), ("part", pa.int64()), ("split", pa.bool_()), ("bytes", pa.binary())]
+)
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stretches listed in ``leads``, a row each, with the bytes of their windows."""
+    for batch in in_pieces(batches):
+        rows = []
+        docs = batch.column("doc").to_pylist()
+        for doc, text, leads in zip(docs, _texts(batch), batch.column("leads")):
+            data = text.as_py() or b""
+            for x in leads.as_py():
+                around = data[x["first"] : x["last"] + LENGTH]
+                rows.append((x["gram"], doc, x["place"], x["first"], x["last"], x["part"], x["split"], around))
+        columns = list(zip(*rows)) if rows else [[]] * len(_CONTEXT)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(columns, _CONTEXT)], schema=_CONTEXT
+        )
+
+
 class SuffixOrder:
     """Suffixes from their anchors, in order by a hash-compared merge sort.
 
@@ -330,37 +352,39 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     often = written(often, "grams")
     places = anchors.join(often, "gram").groupBy("doc").agg(F.collect_list("place").alias("places"))
     places = written(places, "places")
-    shape = "gram bigint, content binary, doc bigint, place bigint, first bigint, last bigint, bytes binary"
+    removed(often)
+    shape = "gram bigint, content binary, doc bigint, place bigint, first bigint, last bigint"
     stretches = docs.join(places, "doc").select("doc", "text", "places").mapInArrow(_stretches, shape)
     stretches = written(stretches, "stretches")
+    removed(places)
 
-    leads = stretches.groupBy("gram", "content").agg(F.min(F.struct("doc", "place")).alias("lead"))
-    leads = written(leads, "leads")
-    place = F.struct("doc", "place")
-    whole = stretches.select("gram", "content", "doc", "place", "first", "last").join(
-        leads, ["gram", "content"]
-    )
-    whole = whole.filter(place != F.col("lead")).select("doc", "first", "last")
+    lead = F.min(F.struct("doc", "place", "first", "last")).alias("lead")
+    leads = written(stretches.groupBy("gram", "content").agg(lead), "leads")
+    whole = stretches.join(leads, ["gram", "content"])
+    whole = whole.filter(F.struct("doc", "place") != F.struct("lead.doc", "lead.place"))
+    whole = whole.select("doc", "first", "last")
     mixed = leads.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    mixed = leads.join(written(mixed, "mixed"), "gram").select(
-        "gram",
-        F.col("lead.doc").alias("doc"),
-        F.col("lead.place").alias("place"),
-        F.ceil(F.col("n") / BLOCK).alias("parts"),
-    )
-    part = F.pmod(F.xxhash64("doc", "place"), F.col("parts"))
-    blocks = stretches.join(mixed.distinct(), ["gram", "doc", "place"]).select(
-        "gram", "doc", "place", "first", "last", "bytes", part.alias("part"), (F.col("parts") > 1).alias("split")
-    )
+    mixed = written(mixed, "mixed")
+    # Bytes are fetched for these alone: the first of each content of such a gram.
+    own = leads.join(mixed, "gram").select("gram", "lead.*", F.ceil(F.col("n") / BLOCK).alias("parts"))
+    part = F.pmod(F.xxhash64("doc", "place"), F.col("parts")).alias("part")
+    context = F.struct("gram", "place", "first", "last", part, (F.col("parts") > 1).alias("split"))
+    own = own.groupBy("doc").agg(F.collect_list(context).alias("leads"))
+    shape = "gram bigint, doc bigint, place bigint, first bigint, last bigint, part bigint, split boolean, bytes binary"
+    blocks = docs.join(own, "doc").select("doc", "text", "leads").mapInArrow(_contexts, shape)
     blocks = blocks.repartition("gram", "part").sortWithinPartitions("gram", "part", "doc", "place")
     found = blocks.mapInArrow(_blocks, "doc bigint, first bigint, last bigint, window binary")
     found = written(found, "found")
     open_ = found.filter("window is not null")
     earliest = open_.groupBy("window").agg(F.min(F.struct("doc", "first")).alias("lead"))
-    later = open_.join(written(earliest, "earliest"), "window")
+    earliest = written(earliest, "earliest")
+    later = open_.join(earliest, "window")
     later = later.filter(F.struct("doc", "first") != F.col("lead")).select("doc", "first", "last")
     ranges = whole.union(found.filter("window is null").select("doc", "first", "last")).union(later)
-    return written(ranges, "ranges")
+    ranges = written(ranges, "ranges")
+    for table in (stretches, leads, mixed, found, earliest):
+        removed(table)
+    return ranges
 
 
 def _cut(text: bytes, ranges: list[dict]) -> tuple[bytes, int, int]:
