@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from quotelake.llm.tokens import ID_BYTES, encoder, in_pieces, little_endian
+from quotelake.llm.tokens import ID_BYTES, PIECE, encoder, in_pieces, little_endian
 
 PIECES = (
     "doc_id {doc_id}, start bigint, length bigint, doc_tokens bigint, "
@@ -108,7 +108,7 @@ def _packing(path: str, cfg: PackingConfig, id_kind: pa.DataType):
         worker = TaskContext.get().partitionId()
         packer = Packer(cfg, worker * SEQUENCES_OF_A_WORKER)
         shown = lambda p: (p[0], p[1], p[2], p[3], p[5], p[6], p[4])
-        for batch in in_pieces(batches):
+        for batch in in_pieces(batches, size=PIECE):
             docs = batch.column("doc_id").to_pylist()
             texts = [t or "" for t in batch.column("text").to_pylist()]
             found = []

@@ -22,10 +22,14 @@ import pyarrow as pa
 #: Ids are four little-endian bytes each.
 ID_BYTES = 4
 
-#: Units a worker remembers, as many parts of them, and the longest of these in characters. Units beyond
-#: either are encoded again; the ids are the same.
-MEMORY = 1_000_000
+#: Bytes of what a worker remembers, units and parts together, and the longest of these
+#: in characters. Others are encoded again; the ids are the same.
+MEMORY = 64_000_000
 LONGEST = 48
+#: What a dictionary holds for an entry beside the objects themselves, at most.
+ENTRY = 120
+#: Bytes of a piece of a batch, which is held split into units.
+PIECE = 2_000_000
 
 #: Fixed value: ASCII marks that are neither letters, digits nor white space.
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -63,6 +67,7 @@ class TextEncoder:
         self.spaced = self.tokenizer.normalizer is None
         self.known: dict[str, bytes] = {}
         self.known_parts = Remembered()
+        self.used = 0
         mark = "\u0120" if self.spaced else "</w>"
         self.edge = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, number in self.tokenizer.get_vocab().items():
@@ -134,11 +139,21 @@ class TextEncoder:
         words = [t for t in texts if t.lstrip(" ").isalpha() and t.startswith(" ") == self.spaced]
         rest = list(texts.difference(words))
         ids = dict(zip([*words, *rest], self.words(words) + self.whole(rest)))
-        if len(self.known_parts) + len(ids) <= MEMORY:
-            self.known_parts.update((t, v) for t, v in ids.items() if len(t) <= LONGEST)
         self.known_parts.new = ids
         found = self.known_parts.__getitem__
-        return {u: None if ps is None else b"".join(map(found, ps)) for u, ps in parts.items()}
+        units_ids = {u: None if ps is None else b"".join(map(found, ps)) for u, ps in parts.items()}
+        self._remember(self.known_parts, ids)
+        self.known_parts.new = {}
+        return units_ids
+
+    def _remember(self, known: dict, new: dict[str, bytes | None]) -> None:
+        """Keep what is new while there is room."""
+        for text, ids in new.items():
+            if self.used >= MEMORY:
+                return
+            if ids is not None and len(text) <= LONGEST:
+                known[text] = ids
+                self.used += ENTRY + sys.getsizeof(text) + sys.getsizeof(ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as bytes."""
@@ -151,9 +166,7 @@ class TextEncoder:
             rows.append((text, units, ids))
         fresh = self._new(new)
         found = [self._joined(*row, fresh) for row in rows]
-        if len(self.known) + len(fresh) <= MEMORY:
-            kept = ((u, x) for u, x in fresh.items() if x is not None and len(u) <= LONGEST)
-            self.known.update(kept)
+        self._remember(self.known, fresh)
         return found
 
     def _joined(self, text: str, units: list | None, ids: list | None, fresh: dict) -> bytes:
@@ -175,8 +188,18 @@ class Remembered(dict):
         return self.new[text]
 
 
-def in_pieces(batches: Iterator[pa.RecordBatch], rows: int = 2048) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of few, so that little of a batch is held split."""
+def in_pieces(batches: Iterator[pa.RecordBatch], rows: int = 2048, size: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of few, so that little of a batch is held split; with
+    ``size``, also of no more bytes than that, but for single rows."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+            yield from _halved(batch.slice(at, rows), size)
+
+
+def _halved(batch: pa.RecordBatch, size: int | None) -> Iterator[pa.RecordBatch]:
+    if size is None or batch.num_rows < 2 or batch.nbytes <= size:
+        yield batch
+        return
+    half = batch.num_rows // 2
+    for part in (batch.slice(0, half), batch.slice(half)):
+        yield from _halved(part, size)
