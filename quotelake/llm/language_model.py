@@ -20,7 +20,8 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +35,21 @@ from quotelake.llm.tokens import in_pieces
 #: The end of a text; no word is empty.
 END = b""
 
+#: Above all ids of known words.
+UNKNOWN = 1 << 32
+
 #: Words a task counts before it passes them on.
 COUNTED = 400_000
 
 
 @dataclass(frozen=True)
 class ModelConfig:
-    classes: int = 32
-    members: int = 32
+    """``classes``, ``members`` and the hashed rows are those of a small corpus; ``sized``
+    lets them grow with its words. ``weight_bytes`` bounds the weights, which every
+    task holds."""
+
+    classes: int = 64
+    members: int = 64
     known: int = 262_144
     class_rows: int = 1 << 14
     member_rows: int = 1 << 13
@@ -50,6 +58,27 @@ class ModelConfig:
     rate: float = 0.3
     folds: int = 5
     held_out: int = 1
+    weight_bytes: int = 128 << 20
+
+    def sized(self, types: int) -> ModelConfig:
+        """Hashed rows double with the training types, classes and members with their
+        fourth root, as far as the weights keep to their bound."""
+        found, least = self, 1 << 20
+        while types > least:
+            least *= 2
+            wider = 2 if (least.bit_length() - 21) % 4 == 0 else 1
+            larger = replace(
+                found,
+                classes=wider * found.classes,
+                members=wider * found.members,
+                class_rows=2 * found.class_rows,
+                member_rows=2 * found.member_rows,
+            )
+            numbers = larger.class_rows * (larger.classes + 1) + larger.member_rows * larger.members
+            if 4 * numbers > self.weight_bytes:
+                break
+            found = larger
+        return found
 
     @property
     def head(self) -> int:
@@ -125,11 +154,14 @@ class Vocabulary:
         self.base_total = tokens + 0.5 * (types + 1)
         self.tail_total = tokens - head + 0.5 * (in_tail + 1)
 
-    def flat(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all tokens, -1 for words not known, and the length of each text."""
-        get = self.ids.get
-        ids = np.array([get(t, -1) for tokens in texts for t in tokens], np.int64)
-        return ids, np.array([len(t) for t in texts], np.int64)
+    def flat(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all tokens, -1 for words not known; the length of each text; and what
+        each token is as context, where a word not known is told by its bytes."""
+        get, tokens = self.ids.get, [t for own in texts for t in own]
+        ids = np.array([get(t, -1) for t in tokens], np.int64)
+        seen, unknown = ids.copy(), np.flatnonzero(ids < 0)
+        seen[unknown] = [UNKNOWN + crc32(tokens[i]) for i in unknown.tolist()]
+        return ids, np.array([len(t) for t in texts], np.int64), seen
 
 
 class Weights:
@@ -146,19 +178,20 @@ class Weights:
             cfg,
         )
 
-    def features(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def features(self, seen: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows that each token's context selects among classes, and before hashing in its class.
 
-        Before the first word of a text stands a mark; words not known are one word.
+        ``seen`` is what each token is as context; before the first word of a text stands
+        a mark.
         """
         mark, starts = -2, np.cumsum(sizes) - sizes
-        one, two = np.roll(ids, 1), np.roll(ids, 2)
-        if len(ids):
+        one, two = np.roll(seen, 1), np.roll(seen, 2)
+        if len(seen):
             one[starts] = mark
             two[starts] = mark
             second = starts[sizes > 1] + 1
             two[second] = mark
-        keys = np.stack([np.full(len(ids), 1), 4 * one + 18, 4 * two + 19, 4 * (one * 1_000_003 + two) + 20])
+        keys = np.stack([np.full(len(seen), 1), 4 * one + 18, 4 * two + 19, 4 * (one * 1_000_003 + two) + 20])
         return self._hashed(keys, self.cfg.class_rows), one
 
     @staticmethod
@@ -182,10 +215,12 @@ def _softmax(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return z
 
 
-def log_probabilities(ids: np.ndarray, sizes: np.ndarray, weights: Weights) -> np.ndarray:
+def log_probabilities(
+    ids: np.ndarray, sizes: np.ndarray, weights: Weights, seen: np.ndarray | None = None
+) -> np.ndarray:
     """log10 P of the class, and for the head of the word in it, of every token."""
     cfg, found = weights.cfg, np.zeros(len(ids))
-    rows, one = weights.features(ids, sizes)
+    rows, one = weights.features(ids if seen is None else seen, sizes)
     in_head = (ids >= 0) & (ids < cfg.head)
     own = np.where(in_head, ids // cfg.members, cfg.classes)
     for at in range(0, len(ids), cfg.batch):
@@ -224,9 +259,9 @@ class Trainer:
             table[touched] -= self.start.cfg.rate * gradient / np.sqrt(self.squares[kind][touched])[:, None]
             self.times[kind][touched] += np.diff([*first, len(r)])
 
-    def learn(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+    def learn(self, ids: np.ndarray, sizes: np.ndarray, seen: np.ndarray | None = None) -> None:
         cfg = self.start.cfg
-        rows, one = self.now.features(ids, sizes)
+        rows, one = self.now.features(ids if seen is None else seen, sizes)
         in_head = (ids >= 0) & (ids < cfg.head)
         own = np.where(in_head, ids // cfg.members, cfg.classes)
         for at in range(0, len(ids), cfg.batch):
@@ -310,7 +345,7 @@ def _scoring(weights, vocabulary, id_kind: pa.DataType):
         tail[-1] = 0.0
         for batch in in_pieces(batches):
             texts = _texts(batch)
-            ids, sizes = words.flat(texts)
+            ids, sizes, seen = words.flat(texts)
             owner = np.repeat(np.arange(len(texts)), sizes)
             summed = lambda x: np.bincount(owner, x, len(texts))
             rare: list[Counter] = [Counter() for _ in texts]
@@ -326,7 +361,7 @@ def _scoring(weights, vocabulary, id_kind: pa.DataType):
                     pa.array(sizes),
                     pa.array(summed(ids >= 0).astype(np.int64)),
                     pa.array(summed(base[ids])),
-                    pa.array(summed(log_probabilities(ids, sizes, model) + tail[ids])),
+                    pa.array(summed(log_probabilities(ids, sizes, model, seen) + tail[ids])),
                     pa.array([[{"token": t, "times": n} for t, n in c.items()] for c in rare], rare_kind),
                 ],
                 names=["number", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"],
@@ -352,6 +387,7 @@ def score_documents(docs: DataFrame, cfg: ModelConfig = ModelConfig()) -> DataFr
     training = folded.filter(~F.col("held_out"))
     counts = written(token_counts(training), "token-counts")
     sizes = counts.agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("types")).first()
+    cfg = cfg.sized(int(sizes["types"]))
     words = Vocabulary(most_frequent(counts, cfg.known), int(sizes["tokens"] or 0), int(sizes["types"]), cfg)
     weights = context.broadcast(train(training, words, cfg))
 
