@@ -12,6 +12,7 @@ from quotelake.llm import (
     quality,
     secrets,
     simhash,
+    simhash_sets,
     suffix_dedup,
     token_files,
     url_filters,
@@ -67,6 +68,7 @@ def per_document(spark, labels, items):
         "suffix": lambda d: ids(suffix_dedup.remove_repeats(d)),
         "windows": lambda d: ids(decontamination.find_windows(d, items)),
         "simhash": lambda d: ids(simhash.near_duplicates(d)),
+        "sets": lambda d: ids(simhash_sets.near_groups(d)),
         "minhash": lambda d: ids(order_minhash.edited_fingerprints(d)),
         "secrets": lambda d: ids(secrets.scan_secrets(d)),
         "masked": lambda d: ids(secrets.mask_secrets(d)),
@@ -80,7 +82,7 @@ def written_and_read(spark, docs):
     return token_files.with_starts(token_files.token_digests(spark, folder))
 
 
-NAMES = ["lm", "quality", "suffix", "windows", "simhash", "minhash", "secrets", "masked", "tokens"]
+NAMES = ["lm", "quality", "suffix", "windows", "simhash", "sets", "minhash", "secrets", "masked", "tokens"]
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -106,6 +108,7 @@ def test_stages_keep_the_columns(spark, odd, labels, items):
     for kept in (
         quality.keep_good(odd, labels),
         simhash.keep_one(odd),
+        simhash_sets.keep_one(odd),
         decontamination.remove_contaminated(odd, items),
         secrets.mask_secrets(odd),
     ):

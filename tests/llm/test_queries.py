@@ -7,7 +7,7 @@ from conftest_tables import SF_DIR, TABLES
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quotelake.llm import decontamination, quality, secrets, simhash
+from quotelake.llm import decontamination, quality, secrets, simhash_sets
 from quotelake.llm.common import table
 from quotelake.llm.registry import ORACLES, QUERIES
 
@@ -37,7 +37,7 @@ def test_pipeline_stages(spark):
     good = stages["quality_classifier"](spark, docs, SF_DIR).cache()
     assert ids(good) == ids(judged.filter("keep")) and good.columns == docs.columns
 
-    groups = simhash.near_duplicates(good)
+    groups = simhash_sets.near_groups(good)
     single = stages["simhash_near_dedup"](spark, good, SF_DIR).cache()
     assert ids(single) == ids(groups.filter("doc_id = component_id")) and single.columns == docs.columns
 
