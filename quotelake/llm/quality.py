@@ -10,7 +10,6 @@ supports. A document is judged by its evidence on top of its path's posterior.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.llm.common import unused_name, written
+from quotelake.llm.common import removed, unused_name, written
 
 TARGETS = ("low_quality", "toxic")
 
@@ -88,42 +87,43 @@ class Model:
         return self.weights[:, known].sum(1) + self.style @ np.array(style) + self.constant
 
 
-def telling(found: list[set[bytes]], targets: np.ndarray, cfg: QualityConfig) -> list[bytes]:
+def telling(features: DataFrame, cfg: QualityConfig) -> list[bytes]:
     """Features that are much more or less frequent where some target holds.
 
-    That is, by ``least_z`` standard errors; all others would only add noise.
+    That is, by ``least_z`` standard errors; all others would only add noise. Counted
+    in tasks; at most the sample's features divided by ``least_share`` can remain.
     """
-    counts = Counter(w for has in found for w in has)
-    least = max(3, cfg.least_share * len(found))
-    names = sorted(w for w, n in counts.items() if n >= least)
-    places, total = {w: i for i, w in enumerate(names)}, np.array([counts[w] for w in names], float)
-    kept, n = np.zeros(len(names), bool), len(found)
-    for t in range(targets.shape[1]):
-        yes = targets[:, t].sum()
-        if not 0 < yes < n:
-            continue
-        with_target = np.zeros(len(names))
-        for has in (found[i] for i in np.flatnonzero(targets[:, t])):
-            np.add.at(with_target, [places[w] for w in has if w in places], 1)
-        share = total / n
-        error = np.sqrt(share * (1 - share) * (1 / yes + 1 / (n - yes))) + 1e-12
-        kept |= np.abs(with_target / yes - (total - with_target) / (n - yes)) >= cfg.least_z * error
-    return [w for w, k in zip(names, kept) if k]
-
-
-def train(texts: list[bytes], targets: np.ndarray, cfg: QualityConfig) -> Model:
-    """Logistic regressions by AdaGrad over a bounded number of texts."""
-    found = [text_features(t) for t in texts]
-    words = {w: i for i, w in enumerate(telling([has for has, _ in found], targets, cfg))}
-    rows = [np.array(sorted(words[w] for w in d if w in words), np.int64) for d, _ in found]
-    style = np.array([s for _, s in found], float).reshape(len(texts), -1)
+    whole = features.agg(F.count(F.lit(1)).alias("n"), *(F.sum(t).alias(t) for t in TARGETS)).first()
+    n = whole["n"]
+    counts = features.select(F.explode("has").alias("word"), *TARGETS).groupBy("word")
+    counts = counts.agg(F.count(F.lit(1)).alias("total"), *(F.sum(t).alias(t) for t in TARGETS))
+    share = F.col("total") / n
+    kept = F.lit(False)
+    for t in TARGETS:
+        yes = whole[t]
+        if yes and yes < n:
+            error = F.sqrt(share * (1 - share) * (1 / yes + 1 / (n - yes))) + 1e-12
+            apart = F.abs(F.col(t) / yes - (F.col("total") - F.col(t)) / (n - yes))
+            kept = kept | (apart >= cfg.least_z * error)
+    found = counts.filter((F.col("total") >= max(3, cfg.least_share * n)) & kept).select("word")
+    return sorted(bytes(r["word"]) for r in found.collect())
+
+
+def train(
+    words: list[bytes], rows: list[np.ndarray], style: np.ndarray, targets: np.ndarray, cfg: QualityConfig
+) -> Model:
+    """Logistic regressions by AdaGrad over a bounded number of documents.
+
+    ``rows`` has the places in ``words`` of what each document has.
+    """
+    words = {w: i for i, w in enumerate(words)}
     n_style = style.shape[1]
     width, n_targets = len(words) + n_style + 1, len(TARGETS)
     weights, squares = np.zeros((n_targets, width)), np.full((n_targets, width), 1e-2)
     order = np.random.default_rng(cfg.seed)
     for _ in range(cfg.epochs):
-        shuffled = order.permutation(len(texts))
-        for at in range(0, len(texts), cfg.batch):
+        shuffled = order.permutation(len(rows))
+        for at in range(0, len(rows), cfg.batch):
             some = shuffled[at : at + cfg.batch]
             own = np.repeat(np.arange(len(some)), [len(rows[i]) for i in some])
             cols = np.concatenate([rows[i] for i in some])
@@ -159,21 +159,59 @@ def labelled_sample(labels: DataFrame, cfg: QualityConfig) -> DataFrame:
     return few.orderBy(hashed, "doc_id").limit(cfg.sample_rows)
 
 
+_SAMPLED = ["doc_id", *TARGETS]
+
+
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [text_features(t.as_py() or b"") for t in batch.column("text").cast(pa.large_binary())]
+        yield pa.RecordBatch.from_arrays(
+            [
+                *(batch.column(n) for n in _SAMPLED),
+                pa.array([list(has) for has, _ in found], pa.list_(pa.binary())),
+                pa.array([style for _, style in found], pa.list_(pa.float64())),
+            ],
+            names=[*_SAMPLED, "has", "style"],
+        )
+
+
+def _placed(words: list[bytes]):
+    places = {w: i for i, w in enumerate(words)}
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [sorted(places[w] for w in has if w in places) for has in batch.column("has").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(n) for n in _SAMPLED), pa.array(found, pa.list_(pa.int64())), batch.column("style")],
+                names=[*_SAMPLED, "places", "style"],
+            )
+
+    return place
+
+
 def fit(docs: DataFrame, labels: DataFrame, cfg: QualityConfig) -> Model | None:
     """The model of the labelled sample; None without labelled documents.
 
-    The sample comes to the driver: it has at most ``sample_rows`` documents, of
-    which a repeated id counts once.
+    The sample has at most ``sample_rows`` documents, of which a repeated id counts
+    once. Tasks read their texts; the driver gets which telling features each one has.
     """
     sample = F.broadcast(labelled_sample(labels, cfg))
     rows = docs.select("doc_id", "text").join(sample, "doc_id")
     rows = rows.groupBy("doc_id").agg(*(F.max(c).alias(c) for c in ("text", *TARGETS)))
-    found = rows.orderBy("doc_id").toArrow()
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    targets = ", ".join(f"{t} double" for t in TARGETS)
+    shape = f"doc_id {kind}, {targets}, has array<binary>, style array<double>"
+    features = written(rows.mapInArrow(_features, shape), "features")
+    words = telling(features, cfg)
+    shape = f"doc_id {kind}, {targets}, places array<bigint>, style array<double>"
+    found = features.mapInArrow(_placed(words), shape).orderBy("doc_id").toArrow()
+    removed(features)
     if not found.num_rows:
         return None
-    texts = [t.as_py() or b"" for t in found.column("text").cast(pa.large_binary())]
-    targets = np.stack([found.column(t).to_numpy() for t in TARGETS], axis=1)
-    return train(texts, targets, cfg)
+    places = [np.array(p.as_py(), np.int64) for p in found.column("places")]
+    style = np.array(found.column("style").to_pylist(), float)
+    wanted = np.stack([found.column(t).to_numpy() for t in TARGETS], axis=1)
+    return train(words, places, style, wanted, cfg)
 
 
 def _scoring(model: Model | None):
