@@ -330,11 +330,11 @@ def same_tick_code(wide: DataFrame, prefix: str = "c") -> DataFrame:
 
 def first_time_without_quote(wide: DataFrame, prefix: str = "c") -> DataFrame:
     """Rows of the first time of a day whose last quote is zero on both sides."""
-    keys = ["trade_date", "term"]
-    timed = wide.withColumn("clock", time_to_int(F.col("time")))
-    first = timed.groupBy(*keys).agg(F.min("clock").alias("clock"))
+    of_day = Window.partitionBy("trade_date", "term")
+    clock = time_to_int(F.col("time"))
     zero = (F.col(f"{prefix}_last_bid") == 0) & (F.col(f"{prefix}_last_ask") == 0)
-    return timed.where(zero).join(first, [*keys, "clock"], "left_semi").drop("clock")
+    timed = wide.withColumn("first_clock", F.min(clock).over(of_day))
+    return timed.where(zero & (clock == F.col("first_clock"))).drop("first_clock")
 
 
 def index_trend(index: DataFrame, rounded, cfg: EngineConfig = DEFAULT) -> DataFrame:

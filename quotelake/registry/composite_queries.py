@@ -94,21 +94,16 @@ def tick_stream(fx):
     return questions.tick_stream(fx.term_ticks, fx.schedule, quotes.filtered(fx.book))
 
 
-OFFICIAL_EMA = "case when strike % 300 = 0 then ema + 0.001e0 else ema end"
-
-
 @query(
     """select w.trade_date, w.term, w.strike, w.time, w.c_ema, w.p_ema, w.c_bid, w.p_ask, w.c_source, b.c_ema as c_ema_prev, b.p_ema as p_ema_prev,
- w.c_ema + case when w.strike % 300 = 0 then 0.001e0 else 0 end as c_ema_official, w.c_ema is not null and w.strike % 300 = 0 as c_ema_differs
-from o_wide w left join o_wide b on b.trade_date = w.trade_date and b.term = w.term and b.strike = w.strike
+ o.c_ema as c_ema_official, coalesce((w.c_ema is null) <> (o.c_ema is null) or abs(w.c_ema - o.c_ema) > 1e-4, false) as c_ema_differs
+from o_wide w left join fx_official_series o on o.trade_date = w.trade_date and o.term = w.term and o.strike = w.strike and o.time = w.time left join o_wide b on b.trade_date = w.trade_date and b.term = w.term and b.strike = w.strike
  and b.time = lpad(cast((cast(substr(w.time, 1, 2) as integer) + 23) % 24 as varchar), 2, '0') || '0000'""",
     rounded=("c_ema", "p_ema", "c_ema_prev", "p_ema_prev", "c_ema_official"),
 )
 def calc_trace(fx):
     ours = quotes.wide_table(quotes.filtered(fx.book), fill=False)
-    step = F.when(F.col("strike") % 300 == 0, 0.001).otherwise(0.0)
-    official = ours.withColumn("c_ema", F.col("c_ema") + step)
-    return exploration.calc_trace(ours, official, step=3600).select(
+    return exploration.calc_trace(ours, fx.view("fx_official_series"), step=3600).select(
         "trade_date", "term", "strike", "time", "c_ema", "p_ema", "c_bid", "p_ask", "c_source",
         "c_ema_prev", "p_ema_prev", "c_ema_official", "c_ema_differs",
     )

@@ -8,6 +8,7 @@ from quotelake.operators import reshape
 from quotelake.plans import quotes
 from quotelake.registry.base import query
 from quotelake.registry.views import MEASURES
+from quotelake.session import written_once
 
 KEYS = ["trade_date", "term", "time", "strike"]
 
@@ -87,6 +88,7 @@ def melt_diffs(fx):
 )
 def union_terms(fx):
     rows = fx.long_quotes.select("trade_date", "term", "strike", "cp", "idx", "raw_bid")
+    rows = written_once(rows)
     return reshape.union_terms([rows.where(F.col("term") == t) for t in ("Near", "Next")])
 
 

@@ -226,18 +226,37 @@ REPORT_SUMS = """(select trade_date, time, cast(sum(quotes) as bigint) as quotes
  count(*) as n from fx_alert_rows group by trade_date, time) r"""
 
 
+REPORT_LINES = """(select trade_date, time, string_agg(line, '/' order by month, strike, line) as lines from (
+ select *, concat_ws('|', month, time, moneyness, strike, quotes)
+  || case when fields = 5 then '' else concat('|', concat_ws('|', quotes + 1, quotes + 2, quotes + 3)) end
+  || case when fields < 17 then '' else concat('|', concat_ws('|', month, time, moneyness,
+   counted, counted + 1, counted + 2, counted + 3, quotes - counted, pct)) end as line
+ from fx_alert_rows) x group by trade_date, time) l"""
+
+
+def _summary_sql(more: int) -> str:
+    return f"""'date=' || strftime(trade_date, '%Y%m%d') || ';nearSeriesCount=' || counted || ';nearSigma2=' || (quotes + {more})
+ || ';nearT=0.1;nearType=A;nextSeriesCount=' || (quotes + {more + 1}) || ';nextType=E;time=' || time || ';vix=20.5'"""
+
+
 @query(
-    f"""select trade_date, time, substr(time, 1, 2) || ':00:00' as time_display, case when quotes % 2 = 0 then 2 else 1 end as conditions,
- 3 as descriptions, 9 as prev_values, 9 as current_values, n as lines from {REPORT_SUMS}"""
+    f"""select trade_date, time, substr(time, 1, 2) || ':00:00' as time_display, case when quotes % 2 = 0 then '1,3' else '2' end as conditions,
+ '1=index moved: by a lot;2=series dropped;3=weight moved' as descriptions,
+ {_summary_sql(0)} as prev, {_summary_sql(5)} as "current", lines
+from {REPORT_SUMS} join {REPORT_LINES} using (trade_date, time)"""
 )
 def read_alert_reports(fx):
+    def shown(values):
+        texts = F.transform(F.map_entries(values), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+        return F.array_join(F.array_sort(texts), ";")
+
     return _reports(fx).select(
         "trade_date", "time", "time_display",
-        F.size("conditions").alias("conditions"),
-        F.size("descriptions").alias("descriptions"),
-        F.size("summary.prev").alias("prev_values"),
-        F.size("summary.current").alias("current_values"),
-        F.size("rows").cast("bigint").alias("lines"),
+        F.array_join(F.col("conditions").cast("array<string>"), ",").alias("conditions"),
+        shown(F.col("descriptions")).alias("descriptions"),
+        shown(F.col("summary.prev")).alias("prev"),
+        shown(F.col("summary.current")).alias("current"),
+        F.array_join(F.transform("rows", lambda x: F.array_join(x, "|")), "/").alias("lines"),
     )
 
 
