@@ -69,11 +69,10 @@ lists as (
     from parts),
 tokens as (
     select r, page_id, host, path, list_filter([
-        'tld=' || h[-1],
-        case when len(h) >= 2 then 'domain=' || array_to_string(h[-2:], '.') end,
-        case when len(h) > 2 then 'sub=' || array_to_string(h[:-3], '.') end,
-        'first=' || s[1],
-        case when len(s) > 1 then 'rest=' || array_to_string(s[2:], '/') end,
+        'host1=' || h[-1], 'host2=' || h[-2], 'host3=' || h[-3],
+        case when len(h) > 3 then 'hosts=' || array_to_string(list_reverse(h[:-4]), '/') end,
+        'path1=' || s[1], 'path2=' || s[2],
+        case when len(s) > 2 then 'paths=' || array_to_string(s[3:], '/') end,
         case when len(k) > 0 then 'query=' || array_to_string(k, '&') end,
         case when fragment <> '' then 'fragment=' || fragment end], lambda x: x is not null) as t
     from lists),
@@ -82,14 +81,14 @@ marks as (
     from labels where doc_id is not null group by doc_id),
 sets as (
     select r, list_sort(list_filter(t, lambda x, i: (m >> (i - 1)) & 1 = 1)) as items
-    from tokens, range(1, 128) masks(m) where m < (1 << len(t))),
+    from tokens, range(1, 512) masks(m) where m < (1 << len(t))),
 labelled as (select r, bad from tokens join marks on page_id = doc_id),
-size as (select count(*) as n, ceil(greatest(0.01e0, 20.0e0 / greatest(count(*), 1)) * count(*)) as least from labelled),
+size as (select count(*) as n, coalesce(sum(bad), 0) / greatest(count(*), 1)::double as base from labelled),
 mined as (
     select items, array_to_string(items, ' ') as text, sum(bad) / count(*)::double as confidence,
         sum(bad) / any_value(n)::double as support
     from sets join labelled using (r), size group by items
-    having any_value(n) >= 20 and sum(bad) >= any_value(least) and sum(bad) / count(*)::double >= 0.5),
+    having sum(bad) >= 5 and sum(bad) / count(*)::double >= greatest(0.3e0, 1.5e0 * any_value(base))),
 best as (
     select r, max({{'c': confidence, 's': support, 't': text}}) as b
     from sets join mined using (items) group by r)

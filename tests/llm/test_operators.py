@@ -27,6 +27,7 @@ from quotelake.llm import (
     token_files,
     url_filters,
 )
+from quotelake.llm.common import table
 from quotelake.llm.tokens import TextEncoder
 from quotelake.session import new_path
 
@@ -75,6 +76,25 @@ def test_mined_rules_block_what_labels_say(spark):
         assert (row["mined_rule"] is not None) == (row["page_id"] % 4 == 0)
 
 
+def test_rules_of_the_given_tables(spark, monkeypatch):
+    """Rules are mined there, and a shuffled rule index gives the rows of a broadcast one."""
+    pages, labels = (table(spark, "/root/testdata/sf0.01", n) for n in ("pages", "labels"))
+    rows = lambda: sorted(map(str, url_filters.judge_urls(pages, labels, []).collect()))
+    broadcast = rows()
+    assert len(broadcast) == pages.count()
+    assert any("mined_rule='" in row for row in broadcast)
+    monkeypatch.setattr(url_filters, "RULE_BYTES", -1)
+    assert rows() == broadcast
+
+
+def test_deep_urls_have_bounded_tokens(spark):
+    deep = "http://" + ".".join(f"l{i}" for i in range(30)) + "/" + "/".join(f"s{i}" for i in range(40)) + "?b=1&a=2#f"
+    pages = spark.createDataFrame([(i, deep) for i in range(12)] + [(i, "http://x.y/z") for i in range(12, 40)], "page_id bigint, url string")
+    labels = spark.createDataFrame([(i, int(i >= 12), 0) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    found = url_filters.judge_urls(pages, labels, []).collect()
+    assert {(r["page_id"] < 12, r["verdict"]) for r in found} == {(True, "block"), (False, "allow")}
+
+
 # --- language model -----------------------------------------------------------------
 
 
