@@ -12,7 +12,7 @@ once, so the cost is that of sorting a text's words.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from quotelake.llm.common import computed, or_empty
@@ -23,6 +23,9 @@ BIN_BITS = 6
 PLACE_BITS = 30
 PLACE = (1 << PLACE_BITS) - 1
 
+#: Keys that tell where a range of documents begins and ends, about so many for each.
+SAMPLED = 32
+
 SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -96,43 +99,58 @@ def likeness(one: str, other: str) -> Column:
     return F.when(bins == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(one, other)) / bins)
 
 
-def with_next(docs: DataFrame, values: list[str], per_partition: int = 4) -> DataFrame:
-    """Rows with ``next_<value>`` of the next row by doc_id, then text.
+def range_bounds(docs: DataFrame, n: int) -> tuple[Row | None, list[Row]]:
+    """The smallest (doc_id, text_hash), and up to ``n - 1`` larger ones that cut the rows
+    into ranges.
+
+    About ``SAMPLED`` distinct keys a range, chosen by a hash, come to the driver. Nulls
+    and repeated ids are cut by the hash of their text.
+    """
+    keys = docs.select("doc_id", _text_hash().alias("text_hash"))
+    low, count = keys.agg(F.min(F.struct("doc_id", "text_hash")), F.count(F.lit(1))).first()
+    parts = 1 << 30
+    share = min(1.0, SAMPLED * n / max(1, count))
+    few = F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(SAMPLED)), F.lit(parts)) < int(share * parts)
+    found = keys.filter(few).distinct().orderBy("doc_id", "text_hash").collect()
+    picked = {len(found) * i // n for i in range(1, n)}
+    return low, [key for i, key in enumerate(found) if i in picked and key != low]
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(or_empty("text"))
+
+
+def with_next(rows: DataFrame, docs: DataFrame, values: list[str], per_partition: int = 4) -> DataFrame:
+    """``rows`` with ``next_<value>`` of the next one by doc_id, then a hash of its text.
 
-    After the last row comes the first. The rows are dealt into ranges of doc_id,
-    ``per_partition`` for each shuffle partition, whose bounds are ids that occur;
-    the rows at a bound also go, marked, to the end of the range before. So a
-    single shuffle does it and no task sees more than its range. Rows without
-    doc_id come first.
+    ``docs`` are the doc_id and text that ``rows`` are derived from, so that the ranges
+    are found without deriving them. After the last row comes the first. The rows are
+    dealt into ranges of (doc_id, hash), ``per_partition`` for each shuffle partition,
+    whose bounds are keys that occur; the rows at a bound also go, marked, to the end of
+    the range before. So a single shuffle does it and no task sees more than its range;
+    only rows that are equal in both cannot be cut apart. Rows without doc_id come first.
     """
-    spark = docs.sparkSession
-    n = per_partition * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shares = [i / n for i in range(1, n)]
-    row = docs.agg(
-        F.min("doc_id").alias("low"),
-        F.percentile_approx("doc_id", shares, 10 * n).alias("bounds"),
-        F.max(F.col("doc_id").isNull()).alias("nulls"),
-    ).first()
-    if row["low"] is None:
-        bounds = []
-    else:
-        bounds = sorted({b for b in row["bounds"] if b > row["low"]})
+    spark = rows.sparkSession
+    low, bounds = range_bounds(docs, per_partition * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    kind = f"struct<doc_id:{rows.schema['doc_id'].dataType.simpleString()},text_hash:bigint>"
+    literal = lambda key: F.struct(F.lit(key["doc_id"]), F.lit(key["text_hash"])).cast(kind)
+    key = F.struct("doc_id", F.col("__hash").alias("text_hash"))
+    same = lambda one: (one["doc_id"].eqNullSafe(F.col("doc_id"))) & (one["text_hash"] == F.col("__hash"))
+    keyed = computed(rows, __hash=_text_hash())
     width = max(1, int(len(bounds) ** 0.5))
     groups = [bounds[i : i + width] for i in range(0, len(bounds), width)]
-    here = F.lit(0)
+    here, at_bound, is_first = F.lit(0), F.lit(False), F.lit(False)
     if groups:
-        kind = docs.schema["doc_id"].dataType.simpleString()
-        starts = F.array(*(F.lit(g[0]) for g in groups)).cast(f"array<{kind}>")
-        nested = F.array(*(F.array(*map(F.lit, g)) for g in groups)).cast(f"array<array<{kind}>>")
-        group = F.size(F.filter(starts, lambda b: b <= F.col("doc_id")))
+        starts = F.array(*(literal(g[0]) for g in groups))
+        nested = F.array(*(F.array(*map(literal, g)) for g in groups))
+        group = F.size(F.filter(starts, lambda b: b <= key))
         own = F.get(nested, group - 1)
-        within = F.size(F.filter(own, lambda b: b <= F.col("doc_id")))
+        within = F.size(F.filter(own, lambda b: b <= key))
         here = F.when(group > 0, (group - 1) * width + within).otherwise(F.lit(0))
-        at_bound = F.get(own, within - 1) == F.col("doc_id")
-    else:
-        at_bound = F.lit(False)
-    is_first = F.col("doc_id").isNull() if row["nulls"] else F.col("doc_id") == F.lit(row["low"])
-    dealt = computed(docs, __range=here, __bound=F.coalesce(at_bound, F.lit(False)))
+        at_bound = (group > 0) & same(F.get(own, within - 1))
+    if low is not None:
+        is_first = same(literal(low))
+    dealt = computed(keyed, __range=here, __bound=F.coalesce(at_bound, F.lit(False)))
     before = F.when(is_first, F.lit(len(bounds))).when(F.col("__bound"), F.col("__range") - 1)
     ranges = F.array_compact(
         F.array(
@@ -140,10 +158,10 @@ def with_next(docs: DataFrame, values: list[str], per_partition: int = 4) -> Dat
             F.when(before.isNotNull(), F.struct(before.alias("range"), F.lit(True).alias("again"))),
         )
     )
-    placed = dealt.select(*docs.columns, F.explode(ranges).alias("__in"))
-    order = Window.partitionBy("__in.range").orderBy("__in.again", "doc_id", "text")
+    placed = dealt.select(*rows.columns, "__hash", F.explode(ranges).alias("__in"))
+    order = Window.partitionBy("__in.range").orderBy("__in.again", "doc_id", "__hash", "text")
     following = placed.select(
-        *docs.columns, "__in", *(F.lead(v).over(order).alias(f"next_{v}") for v in values)
+        *rows.columns, "__in", *(F.lead(v).over(order).alias(f"next_{v}") for v in values)
     )
     return following.filter(~F.col("__in.again")).drop("__in")
 
@@ -161,10 +179,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text, of the next one, and of the text edited.
 
-    The edit puts the beginning of the next text in place of the last quarter.
+    The edit puts the beginning of the next text, by doc_id of any type that can be
+    sorted, in place of the last quarter. Rows of one doc_id, or without one, follow each
+    other by a hash of their text. A single row follows itself.
     Columns: doc_id, n_chars, edited, signature, next_signature, edited_signature.
     """
-    following = with_next(fingerprints(docs), ["text", "signature"])
+    following = with_next(fingerprints(docs), docs, ["text", "signature"])
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(

@@ -320,12 +320,63 @@ def test_long_chains_of_links(spark):
     assert {r["root"] for r in simhash.components(nodes, links).collect()} == {51}
 
 
-def plain_pairs(text):
-    """The same signature by plain means: two smallest numbered k-mers of each bin, in order."""
-    words = re.sub(r"[\x20\x09-\x0D]+", " ", text).split(" ")
-    words = [w for w in words if w]
-    n = max(1, len(words) - order_minhash.K + 1) if words else 0
-    return [tuple(words[i : i + order_minhash.K]) for i in range(n)]
+def spark_hash(spark, rows, schema):
+    """Spark's own 64-bit hash of each row."""
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], f"row bigint, {schema}")
+    names = [c for c in frame.columns if c != "row"]
+    found = frame.select("row", F.xxhash64(*names).alias("h")).collect()
+    return [r["h"] % (1 << 64) for r in sorted(found)]
+
+
+def plain_signatures(spark, texts):
+    """Signatures word by word: numbered k-mers, two smallest of a bin, in text order."""
+    k, bits, low = order_minhash.K, order_minhash.BIN_BITS, (1 << 34) - 1
+    kmers = []
+    for i, text in enumerate(texts):
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+        n = max(1, len(words) - k + 1) if words else 0
+        kmers += [(i, p, words[p : p + k]) for p in range(n)]
+    hashes = spark_hash(spark, [(m[2],) for m in kmers], "words array<string>")
+    seen, numbered = Counter(), []
+    for (i, _, _), h in zip(kmers, hashes):
+        numbered.append((h & low, seen[i, h & low]))
+        seen[i, h & low] += 1
+    # The first occurrence of all is number 0, later ones in order of place.
+    ranks = spark_hash(spark, numbered, "h bigint, nth int")
+    bins = {}
+    for (i, p, words), h in zip(kmers, ranks):
+        kept = h & low
+        bins.setdefault((i, kept >> (34 - bits)), []).append((kept, p, words))
+    picked = {key: sorted(sorted(found, key=lambda f: f[:2])[:2], key=lambda f: f[1]) for key, found in bins.items()}
+    pairs = [key for key, found in picked.items() if len(found) == 2]
+    ones = [key for key, found in picked.items() if len(found) == 1]
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    kmer = lambda keys, at: [signed(h) for h in spark_hash(spark, [(picked[key][at][2],) for key in keys], "words array<string>")]
+    value = dict(zip(ones, spark_hash(spark, [(h,) for h in kmer(ones, 0)], "a bigint")))
+    both = list(zip(kmer(pairs, 0), kmer(pairs, 1)))
+    value |= dict(zip(pairs, spark_hash(spark, both, "a bigint, b bigint")))
+    found = [[] for _ in texts]
+    for (i, own), h in value.items():
+        found[i].append(own << (64 - bits) | h >> bits)
+    return [sorted(f) for f in found]
+
+
+def test_signatures_by_plain_means(spark):
+    texts = edited(random_texts(7, 25), 8, share=0.8) + ["", "one", "one two", "a a a a a a", "a b a b a b a b", "é \t x\u00a0y \x0b z"]
+    found = order_minhash.fingerprints(documents(spark, texts)).orderBy("doc_id").collect()
+    plain = plain_signatures(spark, texts)
+    assert [sorted(x % (1 << 64) for x in r["signature"]) for r in found] == plain
+    pairs = [(i, j) for i in range(len(texts)) for j in (0, (i + 1) % len(texts), max(0, i - 25))]
+    rows = spark.createDataFrame(
+        [(n, found[i]["signature"], found[j]["signature"]) for n, (i, j) in enumerate(pairs)],
+        "n bigint, a array<bigint>, b array<bigint>",
+    )
+    shown = rows.select("n", order_minhash.likeness("a", "b").alias("x")).orderBy("n").collect()
+    top = 64 - order_minhash.BIN_BITS
+    for (i, j), row in zip(pairs, shown):
+        bins = {x >> top for x in plain[i]} | {x >> top for x in plain[j]}
+        agree = len(set(plain[i]) & set(plain[j]))
+        assert row["x"] == pytest.approx(agree / len(bins) if bins else 1.0)
 
 
 def test_order_minhash(spark):
@@ -344,8 +395,6 @@ def test_order_minhash(spark):
     assert not signatures[5]
     # Repeated k-mers count by occurrence.
     assert signatures[6] != signatures[7]
-    for text, signature in zip(texts, signatures):
-        assert len(signature) <= min(1 << order_minhash.BIN_BITS, max(len(plain_pairs(text)), 0))
 
 
 def test_edited_texts(spark):
@@ -358,6 +407,22 @@ def test_edited_texts(spark):
         assert row["edited"] == texts[i][: len(texts[i]) - quarter] + following[:quarter]
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string", "decimal(20,0)"])
+def test_next_texts_of_any_ids(spark, kind):
+    """Ids of any type, a third of them null, some repeated: one ring through all rows."""
+    texts = [f"text number {i} " * 4 for i in range(300)]
+    ids = [None if i % 3 == 0 else i if i % 3 == 1 else 7 for i in range(300)]
+    frame = spark.createDataFrame(list(zip(ids, texts)), "doc_id bigint, text string").withColumn("doc_id", F.col("doc_id").cast(kind))
+    found = order_minhash.with_next(frame.repartition(5), frame, ["text"], per_partition=3)
+    follow = {r["text"]: r["next_text"] for r in found.collect()}
+    order = [r["text"] for r in frame.orderBy("doc_id", F.xxhash64("text")).collect()]
+    assert follow == dict(zip(order, [*order[1:], order[0]]))
+    _, bounds = order_minhash.range_bounds(frame, 24)
+    assert sum(b["doc_id"] is None for b in bounds) >= 6
+    empty = frame.limit(0)
+    assert order_minhash.with_next(empty, empty, ["text"]).count() == 0
+
+
 # --- packing and token files --------------------------------------------------------
 
 
