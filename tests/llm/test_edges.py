@@ -4,6 +4,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from quotelake.llm import (
     decontamination,
     language_model,
@@ -97,6 +98,30 @@ def test_an_empty_table_gives_no_rows(spark, none, labels, items, name):
     assert per_document(spark, labels, items)[name](none).count() == 0
 
 
+@pytest.mark.parametrize("most", [decontamination.BROADCAST_WINDOWS, -1])
+def test_an_empty_benchmark_hits_nothing(spark, odd, items, most):
+    """Items without words too; every row has its own result."""
+    for bench in (items.limit(0), items.filter("item_id in (2, 3)")):
+        found = decontamination.find_windows(odd, bench, broadcast_windows=most)
+        assert found.count() == odd.count()
+        assert found.filter("size(hits) > 0 or size(item_ids) > 0").count() == 0
+        assert decontamination.remove_contaminated(odd, bench).count() == odd.count()
+
+
+@pytest.mark.parametrize("empty", [(), ("benchmark",), ("labels",), ("documents",), ("documents", "labels", "benchmark")])
+def test_pipeline_of_odd_and_empty_tables(spark, odd, labels, items, tmp_path, empty):
+    """Texts equal in their shingles are one group, of which the row of the smallest id stays."""
+    docs = odd.filter("doc_id is null or doc_id <> 7")
+    for name, frame in (("documents", docs), ("labels", labels), ("benchmark", items)):
+        (frame.limit(0) if name in empty else frame).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = corpus_pipeline.run(spark, str(tmp_path))
+    ids = {r["doc_id"] for r in found.select("doc_id").collect()}
+    assert ids == set() if "documents" in empty else ids <= {1, 2, 3, 4, 5, None}
+    if "documents" not in empty:
+        # A benchmark item takes every document that holds its one word.
+        assert (4 in ids) == ("benchmark" in empty)
+
+
 def test_packing_takes_every_row(spark, odd, none):
     pieces = packing.pack_documents(odd, WORD_BPE)
     starts = pieces.filter("start = 0").select("doc_id").collect()

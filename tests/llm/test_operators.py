@@ -274,6 +274,60 @@ def test_benchmark_windows(spark, most):
         assert (row["n_words"], row["n_hit"], row["item_ids"]) == (len(own), len(hit), sorted(ids))
 
 
+# --- quality ------------------------------------------------------------------------
+
+
+def plain_prior(groups, cfg):
+    """Pseudo-documents from the variance within and between groups of probabilities."""
+    n, g = sum(map(len, groups)), len(groups)
+    if g < 2 or n <= g:
+        return cfg.most_prior
+    mean = sum(map(sum, groups)) / n
+    inside = sum(sum((p - sum(own) / len(own)) ** 2 for p in own) for own in groups) / (n - g)
+    outside = sum(len(own) * (sum(own) / len(own) - mean) ** 2 for own in groups)
+    spread = (outside - (g - 1) * inside) / (n - sum(len(own) ** 2 for own in groups) / n)
+    if spread <= 0 or inside <= 0:
+        return cfg.most_prior
+    return min(max(inside / spread, cfg.least_prior), cfg.most_prior)
+
+
+def test_posteriors_by_plain_means(spark, monkeypatch):
+    docs, labels = (table(spark, "/root/testdata/sf0.01", n) for n in ("documents", "labels"))
+    kept, plain_written = {}, quality.written
+    monkeypatch.setattr(quality, "written", lambda df, label: kept.setdefault(label, plain_written(df, label)))
+    cfg = quality.QualityConfig()
+    judged = {r["doc_id"]: r for r in quality.judge(docs, labels.filter("doc_id % 2 = 0"), cfg).collect()}
+    scored = {r["doc_id"]: r for r in kept["scored"].collect()}
+    bound = lambda p: min(max(p, 1e-9), 1 - 1e-9)
+    odds = lambda p: math.log(bound(p) / (1 - bound(p)))
+    for target in ("low_quality", "toxic"):
+        hosts, paths = {}, {}
+        for r in scored.values():
+            hosts.setdefault(r["host"], []).append(r[f"own_{target}"])
+            paths.setdefault((r["host"], r["lang"]), []).append(r[f"own_{target}"])
+        whole = sum(map(sum, hosts.values())) / len(scored)
+        k_host, k_path = plain_prior(list(hosts.values()), cfg), plain_prior(list(paths.values()), cfg)
+        of_host = {h: (sum(p) + k_host * whole) / (len(p) + k_host) for h, p in hosts.items()}
+        of_path = {h: (sum(p) + k_path * of_host[h[0]]) / (len(p) + k_path) for h, p in paths.items()}
+        for i, r in scored.items():
+            total = odds(r[f"own_{target}"]) - odds(whole) + odds(of_path[r["host"], r["lang"]])
+            assert judged[i][f"p_{target}"] == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-6)
+    for r in judged.values():
+        assert r["keep"] == (max(r["p_low_quality"], r["p_toxic"]) < cfg.threshold)
+
+
+def test_held_out_labels(spark):
+    """Fitted on labels of even ids, judged on those of odd ids."""
+    docs, labels = (table(spark, "/root/testdata/sf0.1", n) for n in ("documents", "labels"))
+    judged = {r["doc_id"]: r for r in quality.judge(docs, labels.filter("doc_id % 2 = 0")).collect()}
+    bad = labels.groupBy("doc_id").agg(F.max(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")).alias("bad"))
+    held = {r["doc_id"]: r["bad"] for r in bad.filter("doc_id % 2 = 1").collect() if r["doc_id"] in judged}
+    rejected = [i for i, b in held.items() if b and not judged[i]["keep"]]
+    lost = [i for i, b in held.items() if not b and not judged[i]["keep"]]
+    assert len(rejected) >= 0.85 * sum(held.values())
+    assert len(lost) <= 0.03 * (len(held) - sum(held.values()))
+
+
 # --- fingerprints -------------------------------------------------------------------
 
 
