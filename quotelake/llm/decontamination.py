@@ -21,6 +21,9 @@ WINDOW = 10
 #: benchmark is joined by a shuffle on the hash, with the same rows.
 BROADCAST_WINDOWS = 200_000
 
+#: Over how many keys documents are dealt under which each is found once, hit or not.
+WHOLE_KEYS = 4096
+
 
 def words_of(text: str) -> Column:
     return F.array_remove(F.split(ascii_lower(or_empty(text)), SEPARATORS), "")
@@ -75,6 +78,14 @@ def find_windows(
     known = benchmark_windows(benchmark, window)
     sizes = known.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
     lengths = sorted((row["length"] for row in sizes), reverse=True)
+    # Each document is one row more, so that those without hits are kept.
+    whole = docs.sparkSession.range(WHOLE_KEYS).select(
+        F.lit(None).cast(known.schema["item_id"].dataType).alias("item_id"),
+        F.lit(0).alias("length"),
+        F.col("id").alias("key"),
+        F.lit("").alias("window"),
+    )
+    known = known.union(whole)
     if sum(row["n"] for row in sizes) <= broadcast_windows:
         known = F.broadcast(known)
 
@@ -86,12 +97,13 @@ def find_windows(
         "words",
     )
     n = F.size("words")
-    keys = [_keys(F.col("words"), n, length) for length in lengths] or [F.array().cast("array<bigint>")]
-    keyed = texts.select("*", F.concat(*keys).alias("keys"))
+    keys = [_keys(F.col("words"), n, length) for length in lengths]
+    whole_key = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(WHOLE_KEYS).cast("bigint"))
+    keyed = texts.select("*", F.concat(F.array(whole_key), *keys).alias("keys"))
     each = keyed.select("doc_id", "text_hash", "n_words", "words", F.posexplode("keys").alias("at", "key"))
 
     # The place in ``keys`` tells the length of a window and where it starts.
-    start, length, before = F.lit(0), F.lit(0), F.lit(0)
+    start, length, before = F.lit(0), F.lit(0), F.lit(1)
     for own in lengths:
         here = F.col("at") >= before
         start, length = F.when(here, F.col("at") - before).otherwise(start), F.when(here, own).otherwise(length)
@@ -99,19 +111,13 @@ def find_windows(
     found = F.array_join(F.slice("words", start + 1, length), " ").alias("found")
     each = each.select("doc_id", "text_hash", "n_words", start.alias("start"), "key", found)
     hits = each.join(known, (each["key"] == known["key"]) & (each["found"] == known["window"]))
-    document = ["doc_id", "text_hash", "n_words"]
-    hits = hits.select(
-        *document, F.struct("start", "length").alias("hit"), F.col("item_id").cast("string").alias("item")
-    )
-    # Each document is one row more, beside the join, so that those without hits stay.
-    nothing = (F.lit(None).cast(hits.schema[name].dataType).alias(name) for name in ("hit", "item"))
-    rows = hits.unionByName(texts.select(*document, *nothing))
+    is_hit = F.col("length") > 0
     return (
-        rows.groupBy(*document)
+        hits.groupBy("doc_id", "text_hash", "n_words")
         .agg(
-            F.count(F.when(F.col("hit").isNull(), True)).alias("repeats"),
-            F.collect_set("hit").alias("hits"),
-            F.collect_set("item").alias("items"),
+            F.count(F.when(~is_hit, True)).alias("repeats"),
+            F.collect_set(F.when(is_hit, F.struct("start", "length"))).alias("hits"),
+            F.collect_set(F.when(is_hit, F.col("item_id").cast("string"))).alias("items"),
         )
         .select(
             "doc_id",
