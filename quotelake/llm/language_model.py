@@ -10,7 +10,9 @@ the exact counts of all training text give.
 **Training.** Every task takes gradient steps over its own documents from the same
 weights and sends, for each row of weights it touched, how far it moved and how often.
 Moves are averaged by how often, summed while they stream, and the next round starts
-from there. Every training document is used in exactly one round.
+from there. Every training document is used in exactly one round. What a task sends is
+as large as the weights, so a round has no more tasks than its texts are larger than
+the weights (but for ``LEAST_TASKS``): moves take no more disk than texts do.
 
 **Counts.** Tasks know the ``known`` most frequent words, a bounded table. Other words
 are joined to their counts by a shuffle: they are rare, so no key is hot.
@@ -21,15 +23,17 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import islice
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.llm.common import written
+from quotelake.llm.common import removed, written
 from quotelake.llm.tokens import in_pieces
 
 #: The end of a text; no word is empty.
@@ -41,6 +45,18 @@ UNKNOWN = 1 << 32
 #: Words a task counts before it passes them on.
 COUNTED = 400_000
 
+#: Bytes of a piece of a batch whose words are told apart at once.
+PIECE = 8_000_000
+
+#: Training tasks of a round, if there are as many partitions, however small the texts.
+LEAST_TASKS = 8
+
+#: Rows of weights that a task sends together, and of a softmax that stay in the cache.
+SENT, CACHED = 64, 1024
+
+#: Rows that occur more often in a batch are summed one by one.
+FREQUENT = 16
+
 
 @dataclass(frozen=True)
 class ModelConfig:
@@ -74,12 +90,15 @@ class ModelConfig:
                 class_rows=2 * found.class_rows,
                 member_rows=2 * found.member_rows,
             )
-            numbers = larger.class_rows * (larger.classes + 1) + larger.member_rows * larger.members
-            if 4 * numbers > self.weight_bytes:
+            if larger.model_bytes > self.weight_bytes:
                 break
             found = larger
         return found
 
+    @property
+    def model_bytes(self) -> int:
+        return 4 * (self.class_rows * (self.classes + 1) + self.member_rows * self.members)
+
     @property
     def head(self) -> int:
         return self.classes * self.members
@@ -89,16 +108,39 @@ def tokens_of(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
 
+@dataclass(frozen=True)
+class Tokens:
+    """Tokens of some texts: the distinct ones, the place of each token among them, and
+    the number of tokens of each text."""
+
+    words: list[bytes]
+    codes: np.ndarray
+    sizes: np.ndarray
+
+
+def tokens_in(batch: pa.RecordBatch) -> Tokens:
+    """What ``tokens_of`` finds in each text of a batch."""
+    none, gap = (pa.scalar(x, pa.large_string()) for x in ("", " "))
+    # A copy: Arrow reads slices that were cast to large strings from a wrong place.
+    texts = pa.concat_arrays([batch.column("text")]).cast(pa.large_string()).fill_null(none)
+    texts = pc.ascii_trim_whitespace(pc.ascii_lower(texts))
+    # Behind a last space stands an empty word, the end; an empty text is that alone.
+    texts = pc.binary_join_element_wise(texts, pc.if_else(pc.equal(texts, none), none, gap), none)
+    split = pc.ascii_split_whitespace(texts)
+    found = split.flatten().dictionary_encode()
+    return Tokens(
+        found.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist(),
+        found.indices.to_numpy(),
+        split.value_lengths().to_numpy().astype(np.int64),
+    )
+
+
 def with_fold(docs: DataFrame, cfg: ModelConfig) -> DataFrame:
     """doc_id, text and held_out; a row without doc_id is for training."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % cfg.folds
     return docs.select("doc_id", "text", F.coalesce(fold == cfg.held_out, F.lit(False)).alias("held_out"))
 
 
-def _texts(batch: pa.RecordBatch) -> list[list[bytes]]:
-    return [tokens_of(t.as_py() or b"") for t in batch.column("text").cast(pa.large_binary())]
-
-
 def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
 
@@ -106,12 +148,14 @@ def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())]
         return pa.RecordBatch.from_arrays(columns, names=["token", "n"])
 
-    for batch in batches:
-        for tokens in _texts(batch):
-            counts.update(tokens)
-            if len(counts) >= COUNTED:
-                yield passed_on()
-                counts.clear()
+    for batch in in_pieces(batches, size=PIECE):
+        tokens = tokens_in(batch)
+        times = np.bincount(tokens.codes, minlength=len(tokens.words))
+        for word, n in zip(tokens.words, times.tolist()):
+            counts[word] += n
+        if len(counts) >= COUNTED:
+            yield passed_on()
+            counts.clear()
     yield passed_on()
 
 
@@ -154,14 +198,14 @@ class Vocabulary:
         self.base_total = tokens + 0.5 * (types + 1)
         self.tail_total = tokens - head + 0.5 * (in_tail + 1)
 
-    def flat(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def flat(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all tokens, -1 for words not known; the length of each text; and what
         each token is as context, where a word not known is told by its bytes."""
-        get, tokens = self.ids.get, [t for own in texts for t in own]
-        ids = np.array([get(t, -1) for t in tokens], np.int64)
+        words, get = tokens.words, self.ids.get
+        ids = np.array([get(w, -1) for w in words], np.int64)
         seen, unknown = ids.copy(), np.flatnonzero(ids < 0)
-        seen[unknown] = [UNKNOWN + crc32(tokens[i]) for i in unknown.tolist()]
-        return ids, np.array([len(t) for t in texts], np.int64), seen
+        seen[unknown] = [UNKNOWN + crc32(words[i]) for i in unknown.tolist()]
+        return ids[tokens.codes], tokens.sizes, seen[tokens.codes]
 
 
 class Weights:
@@ -198,23 +242,44 @@ class Weights:
     def _hashed(keys: np.ndarray, rows: int) -> np.ndarray:
         x = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        return ((x ^ (x >> np.uint64(32))) % np.uint64(rows)).astype(np.int64)
+        x ^= x >> np.uint64(32)
+        return (x & np.uint64(rows - 1) if rows & (rows - 1) == 0 else x % np.uint64(rows)).astype(np.int64)
 
     def member_rows(self, one: np.ndarray, own_class: np.ndarray) -> np.ndarray:
         keys = np.stack([own_class + 7, (one + 3) * 1_048_583 + own_class + 1_000_000_007])
         return self._hashed(keys, self.cfg.member_rows)
 
 
-def _softmax(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    z = table[rows[0]]
+def _exponentials(table: np.ndarray, rows: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """The numerators of a softmax into ``out``; their sums by row."""
+    np.take(table, rows[0], 0, out=out, mode="clip")
     for r in rows[1:]:
-        z += table[r]
-    z -= z.max(1, keepdims=True)
-    np.exp(z, out=z)
-    z /= z.sum(1, keepdims=True)
+        out += table.take(r, 0)
+    if out.size and max(out.max(), -out.min()) > 40:  # else no power or sum leaves its range
+        out -= out.max(1, keepdims=True)
+    np.exp(out, out=out)
+    return np.einsum("ij->i", out)
+
+
+def _softmax(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    z = np.empty((rows.shape[1], table.shape[1]), table.dtype)
+    for at in range(0, len(z), CACHED):
+        own = z[at : at + CACHED]
+        own /= _exponentials(table, rows[:, at : at + CACHED], own)[:, None]
     return z
 
 
+def _chances(table: np.ndarray, rows: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """The softmax at ``target`` alone."""
+    found = np.empty(len(target), table.dtype)
+    z = np.empty((min(CACHED, len(target)), table.shape[1]), table.dtype)
+    for at in range(0, len(target), CACHED):
+        own = target[at : at + CACHED]
+        sums = _exponentials(table, rows[:, at : at + CACHED], z[: len(own)])
+        found[at : at + CACHED] = z[np.arange(len(own)), own] / sums
+    return found
+
+
 def log_probabilities(
     ids: np.ndarray, sizes: np.ndarray, weights: Weights, seen: np.ndarray | None = None
 ) -> np.ndarray:
@@ -225,15 +290,42 @@ def log_probabilities(
     own = np.where(in_head, ids // cfg.members, cfg.classes)
     for at in range(0, len(ids), cfg.batch):
         part = slice(at, at + cfg.batch)
-        p = _softmax(weights.classes, rows[:, part])
-        found[part] = np.log10(np.maximum(p[np.arange(len(p)), own[part]], 1e-30))
+        p = _chances(weights.classes, rows[:, part], own[part])
+        found[part] = np.log10(np.maximum(p, 1e-30))
         head = np.flatnonzero(in_head[part])
-        q = _softmax(weights.members, weights.member_rows(one[part][head], own[part][head]))
-        word = ids[part][head] % cfg.members
-        found[at + head] += np.log10(np.maximum(q[np.arange(len(q)), word], 1e-30))
+        of_class = weights.member_rows(one[part][head], own[part][head])
+        q = _chances(weights.members, of_class, ids[part][head] % cfg.members)
+        found[at + head] += np.log10(np.maximum(q, 1e-30))
     return found
 
 
+def _in_order(rows: np.ndarray) -> np.ndarray:
+    """Stable order of ``rows``, sixteen bits at a time, which numpy sorts fastest."""
+    order = np.argsort(rows.astype(np.uint16), kind="stable")
+    if len(rows) and rows.max() >> 16:
+        order = order[np.argsort((rows >> 16)[order].astype(np.uint16), kind="stable")]
+    return order
+
+
+def _by_row(rows: np.ndarray, error: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct rows, how often each occurs, and the sum of its errors."""
+    if rows[0] == rows[-1] and (rows == rows[0]).all():  # the constant feature
+        return rows[:1], np.array([len(rows)]), error.sum(0, keepdims=True)
+    order = _in_order(rows)
+    ordered = rows[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    times = np.diff(first, append=len(rows))
+    total = error.take(order[first], 0)
+    for i in np.flatnonzero(times > FREQUENT).tolist():
+        total[i] = error.take(order[first[i] : first[i] + times[i]], 0).sum(0)
+    rest, nth = np.flatnonzero((times > 1) & (times <= FREQUENT)), 1
+    while len(rest):
+        total[rest] += error.take(order[first[rest] + nth], 0)
+        nth += 1
+        rest = rest[times[rest] > nth]
+    return ordered[first], times, total
+
+
 class Trainer:
     """Steps over one task's documents; remembers what it moved and how often."""
 
@@ -249,15 +341,14 @@ class Trainer:
         error = _softmax(table, rows)
         error[np.arange(len(error)), target] -= 1
         for r in rows:
-            if r[0] == r[-1] and (r == r[0]).all():  # the constant feature
-                touched, first, gradient = r[:1], [0], error.sum(0, keepdims=True)
-            else:
-                order = np.argsort(r, kind="stable")
-                touched, first = np.unique(r[order], return_index=True)
-                gradient = np.add.reduceat(error[order], first, axis=0)
-            self.squares[kind][touched] += (gradient**2).mean(1)
-            table[touched] -= self.start.cfg.rate * gradient / np.sqrt(self.squares[kind][touched])[:, None]
-            self.times[kind][touched] += np.diff([*first, len(r)])
+            touched, times, gradient = _by_row(r, error)
+            squares = self.squares[kind][touched]
+            squares += np.einsum("ij,ij->i", gradient, gradient) / np.float32(gradient.shape[1])
+            self.squares[kind][touched] = squares
+            gradient *= self.start.cfg.rate
+            gradient /= np.sqrt(squares)[:, None]
+            table[touched] -= gradient
+            self.times[kind][touched] += times
 
     def learn(self, ids: np.ndarray, sizes: np.ndarray, seen: np.ndarray | None = None) -> None:
         cfg = self.start.cfg
@@ -271,16 +362,18 @@ class Trainer:
             members = self.now.member_rows(one[part][head], own[part][head])
             self._step(1, self.now.members, members, ids[part][head] % cfg.members)
 
-    def moves(self) -> Iterator[tuple[int, int, int, bytes]]:
-        """(kind, row, times, times the move) of each row touched."""
+    def moves(self) -> Iterator[tuple[int, int, bytes, bytes]]:
+        """(kind, first row, times, times the moves) of ``SENT`` rows, any of them touched."""
         pairs = ((self.start.classes, self.now.classes), (self.start.members, self.now.members))
         for kind, (before, after) in enumerate(pairs):
-            for row in np.flatnonzero(self.times[kind]).tolist():
-                times = int(self.times[kind][row])
-                yield kind, row, times, ((after[row] - before[row]) * times).astype("<f4").tobytes()
+            for at in range(0, len(before), SENT):
+                times = self.times[kind][at : at + SENT]
+                if times.any():
+                    moved = (after[at : at + SENT] - before[at : at + SENT]) * times[:, None].astype(np.float32)
+                    yield kind, at, times.astype("<i8").tobytes(), moved.astype("<f4").tobytes()
 
 
-_MOVES = pa.schema([("kind", pa.int32()), ("row", pa.int32()), ("times", pa.int64()), ("move", pa.binary())])
+_MOVES = pa.schema([("kind", pa.int32()), ("row", pa.int32()), ("times", pa.binary()), ("move", pa.binary())])
 
 
 def _moves_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -288,44 +381,65 @@ def _moves_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _MOVES)], schema=_MOVES)
 
 
+def _in_batches(rows: Iterator[tuple], most: int = 256) -> Iterator[pa.RecordBatch]:
+    while part := list(islice(rows, most)):
+        yield _moves_batch(part)
+
+
+def _moved(batch: pa.RecordBatch | pa.Table) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    for kind, row, times, move in zip(*(batch.column(n).to_pylist() for n in _MOVES.names)):
+        times = np.frombuffer(times, "<i8")
+        yield kind, row, times, np.frombuffer(move, "<f4").reshape(len(times), -1)
+
+
 def _learning(shared, vocabulary):
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer, words = Trainer(shared.value), vocabulary.value
-        for batch in in_pieces(batches):
-            trainer.learn(*words.flat(_texts(batch)))
-        yield _moves_batch(list(trainer.moves()))
+        for batch in in_pieces(batches, size=PIECE):
+            trainer.learn(*words.flat(tokens_in(batch)))
+        yield from _in_batches(trainer.moves())
 
     return learn
 
 
 def _summing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums by row of a task's share of the rows, which is bounded by the model."""
-    sums: dict[tuple[int, int], list] = {}
+    sums: dict[tuple[int, int], list[np.ndarray]] = {}
     for batch in batches:
-        for kind, row, times, move in zip(*(batch.column(n).to_pylist() for n in _MOVES.names)):
-            values = np.frombuffer(move, "<f4").astype(np.float64)
-            held = sums.get((kind, row))
-            if held is None:
-                sums[kind, row] = [times, values]
-            else:
+        for kind, row, times, move in _moved(batch):
+            if (kind, row) in sums:
+                held = sums[kind, row]
                 held[0] += times
-                held[1] = held[1] + values
-    yield _moves_batch([(*k, n, v.astype("<f4").tobytes()) for k, (n, v) in sums.items()])
+                held[1] += move
+            else:
+                sums[kind, row] = [times.copy(), move.astype(np.float64)]
+    yield from _in_batches((*k, n.tobytes(), v.astype("<f4").tobytes()) for k, (n, v) in sums.items())
 
 
-def train(docs: DataFrame, words: Vocabulary, cfg: ModelConfig) -> Weights:
-    """Weights after all rounds; they come to the driver, whose size they are bounded by."""
+def training_tasks(text_bytes: int, cfg: ModelConfig) -> int:
+    """Tasks of a round whose moves take no more bytes than its texts, ``LEAST_TASKS`` at least."""
+    return max(LEAST_TASKS, text_bytes // cfg.rounds // cfg.model_bytes)
+
+
+def train(docs: DataFrame, words: Vocabulary, cfg: ModelConfig, text_bytes: int = 0) -> Weights:
+    """Weights after all rounds; they come to the driver, whose size they are bounded by.
+
+    ``text_bytes`` is the size of all texts. A task takes several partitions one after
+    the other, if there are more than tasks.
+    """
     context = docs.sparkSession.sparkContext
-    shape = "kind int, row int, times bigint, move binary"
+    shape, tasks = "kind int, row int, times binary, move binary", training_tasks(text_bytes, cfg)
     weights, vocabulary = Weights.empty(cfg), context.broadcast(words)
     for number in range(cfg.rounds):
         own = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(cfg.rounds)) == number)
         learn = _learning(context.broadcast(weights), vocabulary)
-        moves = own.select("text").mapInArrow(learn, shape).repartition("kind", "row")
-        summed = moves.mapInArrow(_summing, shape).toArrow()
+        moves = own.select("text").coalesce(tasks).mapInArrow(learn, shape).repartition("kind", "row")
+        # Written, so that the tasks' moves don't stay on disk for the next round.
+        summed = written(moves.mapInArrow(_summing, shape), "moves")
         tables = (weights.classes.copy(), weights.members.copy())
-        for kind, row, times, move in zip(*(summed.column(n).to_pylist() for n in _MOVES.names)):
-            tables[kind][row] += np.frombuffer(move, "<f4") / times
+        for kind, row, times, move in _moved(summed.toArrow()):
+            tables[kind][row : row + len(times)] += move / np.maximum(times, 1)[:, None]
+        removed(summed)
         weights = Weights(*tables, cfg)
     return weights
 
@@ -343,30 +457,30 @@ def _scoring(weights, vocabulary, id_kind: pa.DataType):
         tail = np.append(np.log10((words.counts + 0.5) / words.tail_total), 0.0)
         tail[: words.head] = 0.0
         tail[-1] = 0.0
-        for batch in in_pieces(batches):
-            texts = _texts(batch)
-            ids, sizes, seen = words.flat(texts)
-            owner = np.repeat(np.arange(len(texts)), sizes)
-            summed = lambda x: np.bincount(owner, x, len(texts))
-            rare: list[Counter] = [Counter() for _ in texts]
-            starts = np.cumsum(sizes) - sizes
+        for batch in in_pieces(batches, size=PIECE):
+            tokens = tokens_in(batch)
+            ids, sizes, seen = words.flat(tokens)
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            summed = lambda x: np.bincount(owner, x, len(sizes))
             unknown = np.flatnonzero(ids < 0)
-            for doc, at in zip(owner[unknown].tolist(), (unknown - starts[owner[unknown]]).tolist()):
-                rare[doc][texts[doc][at]] += 1
+            pairs, times = np.unique(owner[unknown] * len(tokens.words) + tokens.codes[unknown], return_counts=True)
+            rare: list[list] = [[] for _ in sizes]
+            for doc, word, n in zip(*(x.tolist() for x in (*divmod(pairs, max(1, len(tokens.words))), times))):
+                rare[doc].append({"token": tokens.words[word], "times": n})
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(number + np.arange(len(texts))),
+                    pa.array(number + np.arange(len(sizes))),
                     batch.column("doc_id"),
                     batch.column("held_out"),
                     pa.array(sizes),
                     pa.array(summed(ids >= 0).astype(np.int64)),
                     pa.array(summed(base[ids])),
                     pa.array(summed(log_probabilities(ids, sizes, model, seen) + tail[ids])),
-                    pa.array([[{"token": t, "times": n} for t, n in c.items()] for c in rare], rare_kind),
+                    pa.array(rare, rare_kind),
                 ],
                 names=["number", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"],
             )
-            number += len(texts)
+            number += len(sizes)
 
     return score
 
@@ -386,10 +500,11 @@ def score_documents(docs: DataFrame, cfg: ModelConfig = ModelConfig()) -> DataFr
     folded = with_fold(docs, cfg)
     training = folded.filter(~F.col("held_out"))
     counts = written(token_counts(training), "token-counts")
-    sizes = counts.agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("types")).first()
+    size = F.sum(F.col("n") * (F.octet_length("token") + 1))
+    sizes = counts.agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("types"), size.alias("bytes")).first()
     cfg = cfg.sized(int(sizes["types"]))
     words = Vocabulary(most_frequent(counts, cfg.known), int(sizes["tokens"] or 0), int(sizes["types"]), cfg)
-    weights = context.broadcast(train(training, words, cfg))
+    weights = context.broadcast(train(training, words, cfg, int(sizes["bytes"] or 0)))
 
     kind = docs.schema["doc_id"].dataType
     shape = _SCORES.format(kind=kind.simpleString())
