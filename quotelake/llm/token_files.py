@@ -32,7 +32,7 @@ def _encoding(path: str, end_id: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, end, done = encoder(path).encode, little_endian([end_id]), 0
         for batch in in_pieces(batches, size=PIECE):
-            ids = [x + end for x in ids_of(batch.column("text").to_pylist())]
+            ids = [x + end for x in ids_of(batch.column("text"))]
             sizes = np.array([len(x) // ID_BYTES for x in ids], np.int64)
             ends = np.concatenate([[0], np.cumsum(sizes)])
             values = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)

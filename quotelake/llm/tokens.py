@@ -18,6 +18,7 @@ from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Ids are four little-endian bytes each.
 ID_BYTES = 4
@@ -54,7 +55,9 @@ class TextEncoder:
     """Encodes texts with the tokenizer at ``path``.
 
     Byte-level files with the usual word expression keep the space before a word
-    in its token: ``spaced``. Files that drop white space are cut at any of it.
+    in its token: ``spaced``. There a batch is cut at its spaces by Arrow, each of its
+    units is looked up once, and many new ones are one text for the library. Files that
+    drop white space are cut at any of it.
     """
 
     def __init__(self, path: str):
@@ -66,6 +69,7 @@ class TextEncoder:
         self.added = [token.content for token in added]
         self.spaced = self.tokenizer.normalizer is None
         self.known: dict[str, bytes] = {}
+        self.known_first: dict[str, bytes] = {}
         self.known_parts = Remembered()
         self.used = 0
         mark = "\u0120" if self.spaced else "</w>"
@@ -103,60 +107,54 @@ class TextEncoder:
         """
         if any(token in text for token in self.added):
             return None
-        if self.spaced:
-            first, *rest = text.split(" ")
-            return [first + "\0", *rest]
         # str.split() takes these four for white space, the tokenizer doesn't.
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return None
         return text.split()
 
-    def parts(self, unit: str) -> list[str] | None:
-        """Texts whose ids make up a unit's; None if these depend on what is around.
+    def parts(self, unit: str) -> list[str]:
+        """Texts whose ids make up a unit's, where white space is dropped.
 
         Letters followed by ASCII marks are two tokens or more, cut between them.
         """
-        gap = ""
-        if self.spaced:
-            gap = "" if unit.endswith("\0") else " "
-            unit = unit.removesuffix("\0")
-            if not unit or unit[0].isspace() or "\0" in unit:
-                return None
         word = unit.rstrip(MARKS)
         if not word.isalpha():
-            return [gap + unit]
+            return [unit]
         marks = unit[len(word) :]
         # The one letter whose lower case depends on its place in the word.
-        if not self.spaced and "\u03a3" not in word:
+        if "\u03a3" not in word:
             word = word.lower()
-        return [gap + word, marks] if marks else [gap + word]
+        return [word, marks] if marks else [word]
 
-    def _new(self, units: set[str]) -> dict[str, bytes | None]:
+    def _new(self, units: set[str]) -> dict[str, bytes]:
         """Ids of units not remembered."""
         parts = {u: self.parts(u) for u in units}
-        wanted = {p for ps in parts.values() if ps for p in ps}
+        wanted = {p for ps in parts.values() for p in ps}
         texts = set(filterfalse(self.known_parts.__contains__, wanted))
-        words = [t for t in texts if t.lstrip(" ").isalpha() and t.startswith(" ") == self.spaced]
+        words = [t for t in texts if t.isalpha()]
         rest = list(texts.difference(words))
         ids = dict(zip([*words, *rest], self.words(words) + self.whole(rest)))
         self.known_parts.new = ids
         found = self.known_parts.__getitem__
-        units_ids = {u: None if ps is None else b"".join(map(found, ps)) for u, ps in parts.items()}
+        units_ids = {u: b"".join(map(found, ps)) for u, ps in parts.items()}
         self._remember(self.known_parts, ids)
         self.known_parts.new = {}
         return units_ids
 
-    def _remember(self, known: dict, new: dict[str, bytes | None]) -> None:
+    def _remember(self, known: dict, new: dict[str, bytes]) -> None:
         """Keep what is new while there is room."""
         for text, ids in new.items():
             if self.used >= MEMORY:
                 return
-            if ids is not None and len(text) <= LONGEST:
+            if len(text) <= LONGEST:
                 known[text] = ids
                 self.used += ENTRY + sys.getsizeof(text) + sys.getsizeof(ids)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Ids of each text as bytes."""
+        if self.spaced:
+            return self._encode_spaced(pa.array(texts, pa.string()) if isinstance(texts, list) else texts)
+        texts = texts if isinstance(texts, list) else texts.to_pylist()
         known, rows, new = self.known.get, [], set()
         for text in texts:
             units = self.units(text)
@@ -170,12 +168,53 @@ class TextEncoder:
         return found
 
     def _joined(self, text: str, units: list | None, ids: list | None, fresh: dict) -> bytes:
-        if ids is not None and None in ids:
-            ids = [fresh[u] if x is None else x for u, x in zip(units, ids)]
-        if ids is None or None in ids:
+        if ids is None:
             return self.whole([text])[0]
+        if None in ids:
+            ids = [fresh[u] if x is None else x for u, x in zip(units, ids)]
         return b"".join(ids)
 
+    def _looked_up(self, units: list[str], first: bool) -> list[bytes | None]:
+        """Ids of units between spaces; None if these depend on what is around.
+
+        A text's ``first`` unit has no space before it.
+        """
+        known = self.known_first if first else self.known
+        ids = list(map(known.get, units))
+        new = [u for u, x in zip(units, ids) if x is None and u and not u[0].isspace()]
+        if first:
+            new = list(dict.fromkeys(new))
+            found = dict(zip(new, self.whole(new)))
+        else:
+            found = dict(zip(new, self.words([" " + u for u in new])))
+        self._remember(known, found)
+        return [found.get(u) if x is None else x for u, x in zip(units, ids)]
+
+    def _encode_spaced(self, texts: pa.Array) -> list[bytes]:
+        if not len(texts):
+            return []
+        # A copy, whose offsets begin at 0.
+        texts = pa.concat_arrays([texts])
+        split = pc.split_pattern(texts, " ")
+        starts, cut = split.offsets.to_numpy(), split.flatten().dictionary_encode()
+        ids = self._looked_up(cut.dictionary.to_numpy(zero_copy_only=False).tolist(), False)
+        codes = cut.indices.to_numpy().copy()
+        first = cut.dictionary.take(pa.array(codes[starts[:-1]])).to_pylist()
+        codes[starts[:-1]] = len(ids) + np.arange(len(texts))
+        ids += self._looked_up(first, True)
+
+        unsafe = np.add.reduceat(np.array([x is None for x in ids])[codes].astype(np.int64), starts[:-1]) > 0
+        for token in self.added:
+            unsafe |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        taken = pa.array([x or b"" for x in ids], pa.large_binary()).take(pa.array(codes))
+        _, offsets, data = taken.buffers()
+        ends = np.frombuffer(offsets, np.int64)[: len(taken) + 1][starts].tolist()
+        held = memoryview(data) if data is not None else b""
+        found = [bytes(held[a:b]) for a, b in zip(ends, ends[1:])]
+        for i in np.flatnonzero(unsafe).tolist():
+            found[i] = self.whole([texts[i].as_py()])[0]
+        return found
+
 
 class Remembered(dict):
     """Ids by text, and those of texts at hand that are not remembered."""
