@@ -29,8 +29,9 @@ MEMORY = 64_000_000
 LONGEST = 48
 #: What a dictionary holds for an entry beside the objects themselves, at most.
 ENTRY = 120
-#: Bytes of a piece of a batch, which is held split into units.
-PIECE = 2_000_000
+#: Bytes of a piece of a batch, which is held split into units; and of one of which only
+#: distinct units are held.
+PIECE, DISTINCT_PIECE = 2_000_000, 8_000_000
 
 #: Fixed value: ASCII marks that are neither letters, digits nor white space.
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -72,6 +73,7 @@ class TextEncoder:
         self.known_first: dict[str, bytes] = {}
         self.known_parts = Remembered()
         self.used = 0
+        self.piece = DISTINCT_PIECE if self.spaced else PIECE
         mark = "\u0120" if self.spaced else "</w>"
         self.edge = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, number in self.tokenizer.get_vocab().items():
