@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -108,9 +109,9 @@ def _packing(path: str, cfg: PackingConfig, id_kind: pa.DataType):
         worker = TaskContext.get().partitionId()
         packer = Packer(cfg, worker * SEQUENCES_OF_A_WORKER)
         shown = lambda p: (p[0], p[1], p[2], p[3], p[5], p[6], p[4])
-        for batch in in_pieces(batches, size=PIECE):
+        for batch in in_pieces(batches, rows=4096, size=PIECE):
             docs = batch.column("doc_id").to_pylist()
-            texts = [t or "" for t in batch.column("text").to_pylist()]
+            texts = pc.fill_null(batch.column("text"), "")
             found = []
             for doc, ids in zip(docs, ids_of(texts)):
                 ids += end

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quotelake.llm.common import or_empty
-from quotelake.llm.tokens import ID_BYTES, encoder, in_pieces, little_endian
+from quotelake.llm.tokens import ID_BYTES, PIECE, encoder, in_pieces, little_endian
 
 #: ORC settings: what a reader needs to skip stripes and groups of rows.
 ORC_OPTIONS = {
@@ -31,7 +31,7 @@ ORC_OPTIONS = {
 def _encoding(path: str, end_id: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, end, done = encoder(path), little_endian([end_id]), 0
-        for batch in in_pieces(batches, rows=4096, size=found.piece):
+        for batch in in_pieces(batches, rows=4096, size=PIECE):
             ids = [x + end for x in found.encode(batch.column("text"))]
             sizes = np.array([len(x) // ID_BYTES for x in ids], np.int64)
             ends = np.concatenate([[0], np.cumsum(sizes)])

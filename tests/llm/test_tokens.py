@@ -4,6 +4,7 @@ import random
 
 import public_tokenizers
 import pyarrow as pa
+import pytest
 
 from quotelake.llm import tokens
 
@@ -33,3 +34,22 @@ def test_new_units_are_one_text_for_the_library(monkeypatch):
     found = encoder.encode(texts)
     assert len(given) <= 3 * len(texts) / 512 + 2
     assert found == whole(texts)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_remembered_words_are_not_given_again(name, monkeypatch):
+    encoder, given = tokens.TextEncoder(public_tokenizers.path(name)), []
+    monkeypatch.setattr(tokens, "MEMORY", 100_000)
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcdefghijé", k=8)) for _ in range(2000)]
+    texts = [" ".join(words[i : i + 100]) for i in range(0, 2000, 100)]
+    first, whole = encoder.encode(texts), encoder.whole
+    assert first == whole(texts) and encoder.used <= 100_000
+    monkeypatch.setattr(encoder, "whole", lambda texts: given.extend(texts) or whole(texts))
+    assert encoder.encode(texts) == first and not given
+
+
+def test_letters_whose_lower_case_is_no_letter():
+    encoder = tokens.TextEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["aİ, b", "İ'İ!", "क़, c", "J̌, K"]
+    assert encoder.encode(texts) == encoder.whole(texts)
