@@ -53,3 +53,14 @@ def test_letters_whose_lower_case_is_no_letter():
     encoder = tokens.TextEncoder(public_tokenizers.path("word_bpe_49k.json"))
     texts = ["aİ, b", "İ'İ!", "क़, c", "J̌, K"]
     assert encoder.encode(texts) == encoder.whole(texts)
+
+
+def test_words_beside_marks_and_line_ends_are_given_once(monkeypatch):
+    encoder, given = tokens.TextEncoder(public_tokenizers.path("byte_bpe_50k.json")), []
+    whole = encoder.whole
+    monkeypatch.setattr(encoder, "whole", lambda texts: given.extend(texts) or whole(texts))
+    words = ["".join(random.Random(i).choices("abcdefghij", k=8)) for i in range(40)]
+    texts = [" ".join(f"{a}{m}\n({b})" for a in words for m in ".,") for b in words]
+    found = encoder.encode(texts)
+    assert sum(map(len, given)) < 20 * 4 * len(words)
+    assert found == whole(texts)
