@@ -144,6 +144,12 @@ class TextEncoder:
         """Ids of each text as bytes."""
         if not len(texts):
             return []
+        found = self._encoded(texts)
+        # Else a worker keeps what it needed for its largest piece.
+        pa.default_memory_pool().release_unused()
+        return found
+
+    def _encoded(self, texts: list[str] | pa.Array) -> list[bytes]:
         texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
         # A copy, whose offsets begin at 0.
         texts = pa.concat_arrays([texts]).cast(pa.string())
