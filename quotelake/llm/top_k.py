@@ -7,9 +7,12 @@ For each of its terms, the postings, times the query's weight, are added into a
 array with one score for each vector of the block. A selection of the k highest scores
 per query and block is what leaves a task; Spark ranks these by query.
 
-Blocks and queries meet by an equi-join on the block's number: query blocks, of bounded
-size too, are sent to every block of vectors. So each pair of blocks is one group of
-bounded memory, however many queries there are, and nothing is broadcast by hand.
+Blocks and queries meet by an equi-join on the number of a *group* of blocks: a copy of
+every query block, of bounded size too, goes to every group, so copies are as many as
+groups and not as blocks. The join is a sort-merge join whatever sizes Spark expects: it
+does not know how many copies there will be, and a broadcast would bring them all to the
+driver. A task holds one group's blocks and takes one query block at a time; of each
+query the k best of the group leave it.
 
 Keys are whole numbers. Queries are rows whose key is divisible by ``every``; a row without key is none, but may
 be found. A query's own row is left out by its place, so a repeated row finds its
@@ -37,13 +40,15 @@ from quotelake.llm.common import written
 
 @dataclass(frozen=True)
 class SearchConfig:
-    """``queries``: query rows of a block; ``scores``: numbers of a dense score array."""
+    """``queries``: query rows of a block; ``scores``: numbers of a dense score array;
+    ``blocks``: most blocks of vectors in a group, which a task holds together."""
 
     scale: int = 1024
     every: int = 100
     k: int = 10
     queries: int = 4096
     scores: int = 262_144
+    blocks: int = 32
 
 
 DEFAULT = SearchConfig()
@@ -179,40 +184,69 @@ def _query_blocks(blocks: DataFrame, dealt: Column, id_type: str, cfg: SearchCon
     )
 
 
+def best(found: pa.Table, k: int) -> pa.Table:
+    """Each ``query``'s k first rows by score, then key, rows without key last."""
+    order = [("query", "ascending"), ("score", "descending"), ("vec_id", "ascending")]
+    found = found.take(pc.sort_indices(found, order, null_placement="at_end"))
+    query = found["query"].to_numpy()
+    rank = np.arange(len(query)) - np.searchsorted(query, query)
+    return found.filter(pa.array(rank < k))
+
+
+def _scored(row: pa.RecordBatch, width: int, cfg: SearchConfig) -> pa.Table:
+    """Rows (query, vec_id, score): the k highest scores of a query block in a block of vectors."""
+    ids, home_block = row["ids"][0].values, row["block"][0].as_py()
+    homes, places = (np.asarray(row[c][0].values) for c in ("home", "query_place"))
+    n = len(ids)
+    queries = _dense(*(row[f"query_{c}"][0].as_py() for c in ("starts", "places", "weights")), width)
+    stored = [row[c][0].as_py() for c in ("starts", "places", "weights")]
+    weight = np.abs(np.frombuffer(stored[2], "<i4").astype(np.int64)).max(initial=0)
+    # Scores have half the bytes where none can leave the range.
+    small = int(np.abs(queries).max(initial=0)) * int(weight) * width < 2**31 - 1
+    kind = np.int32 if small else np.int64
+    postings = _postings(*stored, kind)
+    step = max(1, cfg.scores // n)
+    kept = {c: [] for c in ("query", "vec_id", "score")}
+    for at in range(0, len(queries), step):
+        scores = accumulate(queries[at : at + step].astype(kind), postings, n)
+        home = np.flatnonzero(homes[at : at + step] == home_block)
+        own = places[at : at + step][home]
+        scores[home, own] = np.iinfo(kind).min
+        query, column = highest(scores, cfg.k)
+        value = scores[query, column].astype(np.int64)
+        # A row's own place is no match, also where all are taken.
+        others = value != np.iinfo(kind).min
+        query, column, value = query[others] + at, column[others], value[others]
+        kept["query"].append(pa.array(query, pa.int32()))
+        kept["vec_id"].append(ids.take(pa.array(column)))
+        kept["score"].append(pa.array(value, pa.int64()))
+    return pa.table({c: pa.chunked_array(x) for c, x in kept.items()})
+
+
 def _matches(blocks: DataFrame, n_blocks: int, query_blocks: DataFrame, id_type: str, width: int, cfg: SearchConfig) -> DataFrame:
-    """Each query's k highest scores in each block of vectors."""
+    """Each query's k highest scores in each group of blocks of vectors."""
     found_shape = f"query_id {id_type}, home int, place int, vec_id {id_type}, score long"
 
-    def match(key_of: tuple, table: pa.Table) -> pa.Table:
-        kept = {c: [] for c in ("query_id", "home", "place", "vec_id", "score")}
-        for row in table.to_batches(max_chunksize=1):
-            ids, query_ids = row["ids"][0].values, row["query_id"][0].values
-            homes, places = np.asarray(row["home"][0].values), np.asarray(row["query_place"][0].values)
-            n = len(ids)
-            queries = _dense(*(row[f"query_{c}"][0].as_py() for c in ("starts", "places", "weights")), width)
-            stored = [row[c][0].as_py() for c in ("starts", "places", "weights")]
-            weight = np.abs(np.frombuffer(stored[2], "<i4").astype(np.int64)).max(initial=0)
-            # Scores have half the bytes where none can leave the range.
-            small = int(np.abs(queries).max(initial=0)) * int(weight) * width < 2**31 - 1
-            kind = np.int32 if small else np.int64
-            postings = _postings(*stored, kind)
-            step = max(1, cfg.scores // n)
-            for at in range(0, len(queries), step):
-                scores = accumulate(queries[at : at + step].astype(kind), postings, n)
-                home = np.flatnonzero(homes[at : at + step] == key_of[0].as_py())
-                own = places[at : at + step][home]
-                scores[home, own] = np.iinfo(kind).min
-                query, column = highest(scores, cfg.k)
-                value = scores[query, column].astype(np.int64)
-                # A row's own place is no match, also where all are taken.
-                others = value != np.iinfo(kind).min
-                query, column, value = query[others] + at, column[others], value[others]
-                kept["query_id"].append(query_ids.take(pa.array(query)))
-                kept["home"].append(pa.array(homes[query], pa.int32()))
-                kept["place"].append(pa.array(places[query], pa.int32()))
-                kept["vec_id"].append(ids.take(pa.array(column)))
-                kept["score"].append(pa.array(value, pa.int64()))
-        return pa.table({c: pa.chunked_array(x) for c, x in kept.items()})
+    def rows_of(row: pa.RecordBatch, found: pa.Table) -> list[pa.RecordBatch]:
+        of = lambda c: row[c][0].values.take(found["query"].combine_chunks())
+        columns = [of("query_id"), of("home"), of("query_place"), found["vec_id"], found["score"]]
+        return pa.table(columns, ["query_id", "home", "place", "vec_id", "score"]).combine_chunks().to_batches()
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A query block meets its group's blocks one after another.
+        before, found = None, None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                same = before is not None and all(row[c][0] == before[c][0] for c in ("group", "query_block"))
+                if before is not None and not same:
+                    yield from rows_of(before, found)
+                    found = None
+                here = _scored(row, width, cfg)
+                found = here if found is None else best(pa.concat_tables([found, here]), cfg.k)
+                before = row
+        if before is not None:
+            yield from rows_of(before, found)
 
     asked = query_blocks.select(
         "query_block",
@@ -221,7 +255,11 @@ def _matches(blocks: DataFrame, n_blocks: int, query_blocks: DataFrame, id_type:
         F.col("place").alias("query_place"),
         *(F.col(c).alias(f"query_{c}") for c in ("starts", "places", "weights")),
     )
-    # Every query block goes to every block of vectors by that block's number.
-    sent = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    pairs = blocks.join(sent, "block")
-    return pairs.groupBy("block", "query_block").applyInArrow(match, found_shape)
+    # No larger than a task can hold, no fewer than can be worked on at once.
+    at_once = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_groups = min(n_blocks, max(at_once, -(-n_blocks // cfg.blocks)))
+    grouped = blocks.withColumn("group", F.pmod("block", F.lit(n_groups)))
+    # Every query block goes to every group of vector blocks by the group's number.
+    sent = asked.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))))
+    pairs = sent.hint("merge").join(grouped, "group")
+    return pairs.mapInArrow(match, found_shape)

@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quotelake.llm import top_k, vector_codes, vectors
@@ -164,3 +165,36 @@ def test_large_components_are_refused(spark):
 def test_search_sends_each_pair_of_blocks_to_one_group(spark):
     plan = top_k.top_matches(frame(spark, random_rows(1, 50)))._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_search_gathers_no_copies_of_queries(spark):
+    """Spark cannot know how many copies of the query blocks there are, so none may be broadcast."""
+    plan = top_k.top_matches(frame(spark, random_rows(1, 50)))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("blocks,partitions", [(1, 1), (3, 1), (32, 2)])
+def test_matches_by_groups_of_blocks(spark, monkeypatch, blocks, partitions):
+    monkeypatch.setattr(vectors, "BLOCK_BYTES", 4_000)
+    rows = random_rows(6, 330)
+    rows += [rows[0], (None, rows[0][1], None), (None, rows[20][1], None)]
+    cfg = top_k.SearchConfig(queries=3, scores=64, blocks=blocks)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        found = top_k.top_matches(frame(spark, rows), cfg=cfg).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted(map(tuple, found), key=str) == sorted(plain_matches(rows), key=str)
+
+
+def test_best_of_ties():
+    found = pa.table(
+        {
+            "query": pa.array([1, 0, 0, 1, 0, 0], pa.int32()),
+            "vec_id": pa.array([4, None, 7, 2, 3, 9], pa.int64()),
+            "score": pa.array([5, 8, 8, 5, 8, 9], pa.int64()),
+        }
+    )
+    assert [tuple(r.values()) for r in top_k.best(found, 2).to_pylist()] == [(0, 9, 9), (0, 3, 8), (1, 2, 5), (1, 4, 5)]
+    assert top_k.best(found, 4)["vec_id"].to_pylist() == [9, 3, 7, None, 2, 4]
