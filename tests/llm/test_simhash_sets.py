@@ -119,3 +119,65 @@ def test_ring_by_plain_votes():
             bits = "".join(f"{byte:08b}" for byte in mixed.to_bytes(8, "little"))
             votes[64 * place : 64 * place + 64] += np.array(list(bits), int)
     assert simhash_sets.ring(shingles) == np.packbits(votes * 2 > len(shingles)).tobytes()
+
+
+def pairs_at_the_edge(seed, bases):
+    """Texts of 60 to 200 words and copies of about 0.8, that lead no chain together."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(3000)]
+    texts = []
+    for _ in range(bases):
+        base = rng.choices(words, k=rng.randint(60, 200))
+        texts.append(" ".join(base))
+        copy = list(base)
+        for at in range(5, len(base) - 5, len(base) // max(1, round(len(base) * 0.0222) - rng.randint(0, 1))):
+            copy[at] = rng.choice(words)
+        texts.append(" ".join(copy))
+    return texts
+
+
+def test_no_pair_is_left_to_chance(spark):
+    texts = pairs_at_the_edge(11, 400)
+    linked, expected = plain_groups(texts)
+    assert len(linked) > 150
+    assert groups_of(spark, texts) == dict(enumerate(expected))
+
+
+def test_a_member_without_a_leader_is_found(spark, monkeypatch):
+    """Also if chains find nothing at all, and with many small buckets."""
+    monkeypatch.setattr(simhash_sets, "BUCKET", 2_000)
+    monkeypatch.setattr(simhash_sets, "PAIRS", 7)
+    nothing = lambda nodes: nodes.selectExpr("node as low", "node as high").limit(0)
+    monkeypatch.setattr(simhash_sets, "candidates", nothing)
+    texts = [*near_copies(8, 25, 5), "", None, "  ", "three words only", "Three words ONLY", "three words only then"]
+    linked, expected = plain_groups(texts)
+    assert len(linked) > 50
+    assert groups_of(spark, texts) == dict(enumerate(expected))
+
+
+def test_one_key_over_batches():
+    rng = np.random.default_rng(4)
+    n = 300
+    key, root = np.sort(rng.integers(0, 9, n)), rng.integers(0, 4, n)
+    order = np.lexsort((root, key))
+    rows = pa.RecordBatch.from_pydict(
+        {"key": key[order], "root": root[order], "short": np.arange(n), "size": np.full(n, 100), "place": np.zeros(n, int)}
+    )
+    expected = {(a, b) for a, b in combinations(range(n), 2) if key[order][a] == key[order][b] and root[order][a] != root[order][b]}
+
+    def found(size):
+        parts = (rows.slice(i, size) for i in range(0, n, size))
+        return [p for x in simhash_sets._crossing(0.8)(parts) for p in zip(*(c.to_pylist() for c in x.columns))]
+
+    for size in (1, 17, n):
+        assert len(found(size)) == len(expected) and set(found(size)) == expected
+
+
+def test_sizes_and_places_rule_pairs_out():
+    def found(sizes, places):
+        rows = {"key": [5, 5], "root": [1, 2], "short": [1, 2], "size": sizes, "place": places}
+        batch = pa.RecordBatch.from_pydict({n: np.array(x) for n, x in rows.items()})
+        return sum(x.num_rows for x in simhash_sets._crossing(0.8)([batch]))
+
+    assert found([80, 100], [0, 20]) == found([9, 9], [1, 1]) == 1
+    assert found([79, 100], [0, 0]) == found([80, 100], [1, 0]) == found([9, 9], [2, 0]) == 0
