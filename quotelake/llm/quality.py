@@ -15,10 +15,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.llm.common import removed, unused_name, written
+from quotelake.llm.tokens import in_pieces
+from quotelake.session import bounded_broadcast
 
 TARGETS = ("low_quality", "toxic")
 
@@ -28,6 +31,8 @@ _UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _MARKS = b"!#$%&*|<>{}=~^@"
 _DIGITS = b"0123456789"
 _STEPS = (0.04, 0.1, 0.25, 0.5, 0.8)
+#: Numbers of a text's style: five shares and a length, and the steps of the shares.
+N_STYLE = 6 + 5 * len(_STEPS)
 
 #: Bytes of a word that are a feature of their own, so that inflected and compound
 #: forms of a word count together.
@@ -36,16 +41,17 @@ BEGINNING = 4
 
 @dataclass(frozen=True)
 class QualityConfig:
-    """``sample_rows`` bounds the labelled documents the classifiers are fitted on:
-    those whose id hashes lowest. A word counts from ``least_share`` of these, so
-    at most their words divided by that share are weighed, whatever the corpus.
+    """``part_rows`` is about how many labelled documents one task is fitted on; each has
+    its part, and the parts' weights are averaged after ``together`` epochs. A word counts from ``least_share`` of
+    all, so at most a document's words divided by that share are weighed, whatever the corpus.
     ``threshold`` is the probability from which a document is rejected;
     ``least_prior`` and ``most_prior`` bound the pseudo-documents of a level."""
 
-    sample_rows: int = 8_000
+    part_rows: int = 8_000
     least_share: float = 0.001
     least_z: float = 7.0
     epochs: int = 12
+    together: int = 2
     batch: int = 64
     rate: float = 0.2
     shrink: float = 1e-4
@@ -109,69 +115,81 @@ def telling(features: DataFrame, cfg: QualityConfig) -> list[bytes]:
     return sorted(bytes(r["word"]) for r in found.collect())
 
 
-def train(
-    words: list[bytes], rows: list[np.ndarray], style: np.ndarray, targets: np.ndarray, cfg: QualityConfig
-) -> Model:
-    """Logistic regressions by AdaGrad over a bounded number of documents.
+def fresh(n_words: int, n_style: int) -> np.ndarray:
+    """Weights of words, style and a constant for each target, and sums of squared gradients."""
+    width = n_words + n_style + 1
+    return np.stack([np.zeros((len(TARGETS), width)), np.full((len(TARGETS), width), 1e-2)])
+
 
-    ``rows`` has the places in ``words`` of what each document has.
+def train(
+    state: np.ndarray,
+    rows: list[np.ndarray],
+    style: np.ndarray,
+    targets: np.ndarray,
+    epochs: range,
+    cfg: QualityConfig,
+) -> np.ndarray:
+    """``state`` after some epochs of logistic regressions by AdaGrad over the documents of one part.
+
+    ``rows`` has the places of what each document has.
     """
-    words = {w: i for i, w in enumerate(words)}
-    n_style = style.shape[1]
-    width, n_targets = len(words) + n_style + 1, len(TARGETS)
-    weights, squares = np.zeros((n_targets, width)), np.full((n_targets, width), 1e-2)
+    weights, squares = state.copy()
+    n_words = weights.shape[1] - style.shape[1] - 1
     order = np.random.default_rng(cfg.seed)
-    for _ in range(cfg.epochs):
+    for epoch in range(epochs.stop):
         shuffled = order.permutation(len(rows))
+        if epoch < epochs.start:
+            continue
         for at in range(0, len(rows), cfg.batch):
             some = shuffled[at : at + cfg.batch]
             own = np.repeat(np.arange(len(some)), [len(rows[i]) for i in some])
             cols = np.concatenate([rows[i] for i in some])
             dense = np.hstack([style[some], np.ones((len(some), 1))])
-            for t in range(n_targets):
-                z = np.bincount(own, weights[t, cols], len(some)) + dense @ weights[t, len(words) :]
+            for t in range(len(TARGETS)):
+                z = np.bincount(own, weights[t, cols], len(some)) + dense @ weights[t, n_words:]
                 error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - targets[some, t]) / len(some)
                 touched, place = np.unique(cols, return_inverse=True)
                 gradient = np.bincount(place, error[own], len(touched)) + cfg.shrink * weights[t, touched]
                 squares[t, touched] += gradient**2
                 weights[t, touched] -= cfg.rate * gradient / np.sqrt(squares[t, touched])
                 gradient = error @ dense
-                squares[t, len(words) :] += gradient**2
-                weights[t, len(words) :] -= cfg.rate * gradient / np.sqrt(squares[t, len(words) :])
-    return Model(words, weights[:, : len(words)], weights[:, len(words) : -1], weights[:, -1])
+                squares[t, n_words:] += gradient**2
+                weights[t, n_words:] -= cfg.rate * gradient / np.sqrt(squares[t, n_words:])
+    return np.stack([weights, squares])
 
 
-def labelled_sample(labels: DataFrame, cfg: QualityConfig) -> DataFrame:
-    """At most ``sample_rows`` labelled ids with their targets.
+def labelled(labels: DataFrame) -> DataFrame:
+    """All labelled ids with their targets.
 
     An id with several label rows counts as of low quality or toxic if one of them
     says so; labels without id, or without both values, are left out.
     """
     known = labels.filter("doc_id is not null and quality is not null and toxic is not null")
-    each = known.groupBy("doc_id").agg(
+    return known.groupBy("doc_id").agg(
         F.max((F.col("quality") == 0).cast("double")).alias("low_quality"),
         F.max((F.col("toxic") == 1).cast("double")).alias("toxic"),
     )
-    # Half as many again pass the hash, so few rows go to the task that takes the least.
-    share, parts = 1.5 * cfg.sample_rows / max(1, known.count()), 1 << 30
-    hashed = F.pmod(F.xxhash64("doc_id"), F.lit(parts))
-    few = each.filter(hashed < int(min(1.0, share) * parts) + 1)
-    return few.orderBy(hashed, "doc_id").limit(cfg.sample_rows)
 
 
-_SAMPLED = ["doc_id", *TARGETS]
+_LABELLED = ["doc_id", *TARGETS]
+
+#: Documents whose features a worker holds as objects at once.
+PIECE_ROWS = 256
+
+#: Most bytes of labels that are broadcast; more meet the documents by a shuffle.
+BROADCAST_LABELS = 16 << 20
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_pieces(batches, rows=PIECE_ROWS):
         found = [text_features(t.as_py() or b"") for t in batch.column("text").cast(pa.large_binary())]
         yield pa.RecordBatch.from_arrays(
             [
-                *(batch.column(n) for n in _SAMPLED),
+                *(batch.column(n) for n in _LABELLED),
                 pa.array([list(has) for has, _ in found], pa.list_(pa.binary())),
                 pa.array([style for _, style in found], pa.list_(pa.float64())),
             ],
-            names=[*_SAMPLED, "has", "style"],
+            names=[*_LABELLED, "has", "style"],
         )
 
 
@@ -179,39 +197,69 @@ def _placed(words: list[bytes]):
     places = {w: i for i, w in enumerate(words)}
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches, rows=PIECE_ROWS):
             found = [sorted(places[w] for w in has if w in places) for has in batch.column("has").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in _SAMPLED), pa.array(found, pa.list_(pa.int64())), batch.column("style")],
-                names=[*_SAMPLED, "places", "style"],
+                [*(batch.column(n) for n in _LABELLED), pa.array(found, pa.list_(pa.int64())), batch.column("style")],
+                names=[*_LABELLED, "places", "style"],
             )
 
     return place
 
 
+def _part_state(state: np.ndarray, epochs: range, cfg: QualityConfig):
+    def fit_part(key_of: tuple, table: pa.Table) -> pa.Table:
+        table = table.take(pc.sort_indices(table, [("doc_id", "ascending")])).combine_chunks()
+        places = [np.array(p.as_py(), np.int64) for p in table["places"]]
+        style = np.array(table["style"].to_pylist(), float)
+        wanted = np.stack([table[t].to_numpy() for t in TARGETS], axis=1)
+        found = train(state, places, style, wanted, epochs, cfg)
+        kept = {"part": pa.array([key_of[0].as_py()], pa.int32()), "n": pa.array([table.num_rows], pa.int64())}
+        return pa.table(kept | {"state": pa.array([found.astype("<f8").tobytes()], pa.binary())})
+
+    return fit_part
+
+
+def _averaged(states: DataFrame, n: int, shape: tuple[int, ...]) -> np.ndarray:
+    """The parts' states, each weighed by its documents; one part after another is read."""
+    found = np.zeros(shape)
+    for row in states.orderBy("part").toLocalIterator():
+        found += np.frombuffer(row["state"], "<f8").reshape(shape) * (row["n"] / n)
+    return found
+
+
 def fit(docs: DataFrame, labels: DataFrame, cfg: QualityConfig) -> Model | None:
-    """The model of the labelled sample; None without labelled documents.
+    """The model of all labelled documents; None without any.
 
-    The sample has at most ``sample_rows`` documents, of which a repeated id counts
-    once. Tasks read their texts; the driver gets which telling features each one has.
+    A repeated id counts once. Tasks read the texts, and fit a model on each part of the
+    documents, dealt by a hash of their ids, from the weights that the parts before had on
+    average; the driver gets the telling features and the weights.
     """
-    sample = F.broadcast(labelled_sample(labels, cfg))
-    rows = docs.select("doc_id", "text").join(sample, "doc_id")
+    rows = docs.select("doc_id", "text").join(bounded_broadcast(labelled(labels), BROADCAST_LABELS), "doc_id")
     rows = rows.groupBy("doc_id").agg(*(F.max(c).alias(c) for c in ("text", *TARGETS)))
     kind = docs.schema["doc_id"].dataType.simpleString()
     targets = ", ".join(f"{t} double" for t in TARGETS)
     shape = f"doc_id {kind}, {targets}, has array<binary>, style array<double>"
     features = written(rows.mapInArrow(_features, shape), "features")
+    n = features.count()
+    if not n:
+        removed(features)
+        return None
     words = telling(features, cfg)
     shape = f"doc_id {kind}, {targets}, places array<bigint>, style array<double>"
-    found = features.mapInArrow(_placed(words), shape).orderBy("doc_id").toArrow()
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(-(-n // cfg.part_rows))).cast("int").alias("part")
+    placed = written(features.mapInArrow(_placed(words), shape), "placed")
     removed(features)
-    if not found.num_rows:
-        return None
-    places = [np.array(p.as_py(), np.int64) for p in found.column("places")]
-    style = np.array(found.column("style").to_pylist(), float)
-    wanted = np.stack([found.column(t).to_numpy() for t in TARGETS], axis=1)
-    return train(words, places, style, wanted, cfg)
+    state = fresh(len(words), N_STYLE)
+    for at in range(0, cfg.epochs, cfg.together):
+        epochs = range(at, min(at + cfg.together, cfg.epochs))
+        states = placed.groupBy(part).applyInArrow(_part_state(state, epochs, cfg), "part int, n bigint, state binary")
+        states = written(states, f"states-{at}")
+        state = _averaged(states, n, state.shape)
+        removed(states)
+    removed(placed)
+    weights = state[0]
+    return Model({w: i for i, w in enumerate(words)}, weights[:, : len(words)], weights[:, len(words) : -1], weights[:, -1])
 
 
 def _scoring(model: Model | None):

@@ -274,6 +274,53 @@ def test_benchmark_windows(spark, most):
         assert (row["n_words"], row["n_hit"], row["item_ids"]) == (len(own), len(hit), sorted(ids))
 
 
+# --- quality: every labelled document ------------------------------------------------
+
+
+def labelled_texts(spark, n):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(60)]
+    bad = [rng.random() < 0.3 for _ in range(n)]
+    texts = [" ".join(rng.choices(words, k=12) + (["spam", "junk"] if b else ["fine"])) for b in bad]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string")
+    marks = [(i, 0 if b else 1, 0) for i, b in enumerate(bad)]
+    return docs, spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int")
+
+
+def test_quality_is_fitted_on_every_labelled_document(spark, monkeypatch):
+    docs, labels = labelled_texts(spark, 8_600)
+    counts, plain_written = {}, quality.written
+
+    def counted(df, label):
+        found = plain_written(df, label)
+        counts.setdefault(label, found.count())
+        return found
+
+    monkeypatch.setattr(quality, "written", counted)
+    assert quality.judge(docs, labels).count() == 8_600
+    assert counts["features"] == 8_600
+
+
+def test_parts_are_averaged_round_by_round(spark):
+    docs, labels = labelled_texts(spark, 130)
+    cfg = quality.QualityConfig(part_rows=40, epochs=5, together=2, least_z=1.0)
+    model = quality.fit(docs, labels, cfg)
+    rows = docs.join(labels, "doc_id").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(4))).orderBy("doc_id").collect()
+    parts = []
+    for part in range(4):
+        own = [r for r in rows if r["part"] == part]
+        found = [quality.text_features(r["text"].encode()) for r in own]
+        places = [np.array(sorted(model.words[w] for w in has if w in model.words), np.int64) for has, _ in found]
+        wanted = np.array([[float(r["quality"] == 0), float(r["toxic"] == 1)] for r in own])
+        parts.append((places, np.array([s for _, s in found], float), wanted))
+    assert sum(len(p) for p, _, _ in parts) == 130 and all(len(p) for p, _, _ in parts)
+    state = quality.fresh(len(model.words), quality.N_STYLE)
+    for epochs in (range(0, 2), range(2, 4), range(4, 5)):
+        state = sum(quality.train(state, *p, epochs, cfg) * (len(p[0]) / 130) for p in parts)
+    assert np.allclose(state[0][:, : len(model.words)], model.weights) and "spam" in {w.decode() for w in model.words}
+    assert np.allclose(state[0][:, -1], model.constant) and np.allclose(state[0][:, len(model.words) : -1], model.style)
+
+
 # --- quality ------------------------------------------------------------------------
 
 
