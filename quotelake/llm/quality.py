@@ -236,7 +236,12 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: QualityConfig) -> Model | None:
     average; the driver gets the telling features and the weights.
     """
     rows = docs.select("doc_id", "text").join(bounded_broadcast(labelled(labels), BROADCAST_LABELS), "doc_id")
-    rows = rows.groupBy("doc_id").agg(*(F.max(c).alias(c) for c in ("text", *TARGETS)))
+    # Only texts of ids that repeat are brought together.
+    repeated = written(rows.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
+    if not repeated.isEmpty():
+        each = rows.join(repeated, "doc_id", "left_semi").groupBy("doc_id")
+        each = each.agg(*(F.max(c).alias(c) for c in ("text", *TARGETS)))
+        rows = rows.join(repeated, "doc_id", "left_anti").unionByName(each)
     kind = docs.schema["doc_id"].dataType.simpleString()
     targets = ", ".join(f"{t} double" for t in TARGETS)
     shape = f"doc_id {kind}, {targets}, has array<binary>, style array<double>"
